@@ -13,6 +13,7 @@ from .mixing import mix_sources
 from .neighbours import nearest
 from .packing import pack_documents
 from .quality import score_documents
+from .suffix_dedup import remove_repeats
 from .token_counts import count_tokens
 from .toxicity import score_toxicity
 
@@ -41,6 +42,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
@@ -55,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op5_toxicity,
             op6_best_fit_packing,
             op8_token_counts,
+            op9_suffix_array_dedup,
             op10_nearest_neighbours,
         )
     }
