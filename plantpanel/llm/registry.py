@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .jaccard_join import near_duplicates
 from .language import identify_languages
 from .mixing import mix_sources
 from .neighbours import nearest
@@ -38,6 +39,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -59,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op3_quality_rules,
             op5_toxicity,
             op6_best_fit_packing,
+            op7_jaccard_join,
             op8_token_counts,
             op9_suffix_array_dedup,
             op10_nearest_neighbours,
