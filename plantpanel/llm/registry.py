@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .jaccard_join import near_duplicates
 from .language import identify_languages
+from .line_dedup import line_dedup_digest
 from .mixing import mix_sources
 from .neighbours import nearest
 from .packing import pack_documents
@@ -31,6 +32,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup_digest(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -62,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op1_mix_sources,
             op2_language_id,
             op3_quality_rules,
+            op4_line_dedup,
             op5_toxicity,
             op6_best_fit_packing,
             op7_jaccard_join,
