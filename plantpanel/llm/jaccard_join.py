@@ -404,3 +404,17 @@ def _exact(spark, slim: DataFrame, clusters: DataFrame, classes: DataFrame, shin
     tiles = settled(left.join(right, ["component", "i", "j"]).mapInArrow(compare, "cid long, links long, root long"))
     links = tiles.groupBy("cid").agg(F.sum("links").alias("links"))
     return links, tiles.select(F.col("cid").alias("a"), F.col("root").alias("b"))
+
+
+def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, with one document left of each near-duplicate group.
+
+    The one with the smallest id stays, once if its row is repeated.  Rows with
+    a null id stay unless their group has an id.
+    """
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    gone = found.where("class_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    left = docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    if docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
+        return left
+    return left.where(F.col(id_col).isNull()).unionByName(left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))

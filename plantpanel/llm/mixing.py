@@ -11,12 +11,15 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import textkit as tk
 from .common import settled
 
 #: Words are runs of anything but these bytes.
@@ -209,3 +212,33 @@ def _taken_sql(block: int, seed: int) -> str:
         f"size * (take div shard_words) + aggregate(sequence((_end - size) div {block}, (_end - 1) div {block}), 0L, "
         f"(acc, j) -> acc + {picked}) END"
     )
+
+
+def take_mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The rows of the mix: whole copies of a document, then the rest of its words.
+
+    A document of which the mix takes 2.5 times its words comes back twice
+    whole and once with the first half of its words; one of which it takes none
+    is gone.  Rows that share an id share what the mix takes of them evenly.
+    """
+    mix = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    taken = mix.where("taken > 0").groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max("size").alias("_size"), F.expr("sum(taken) div count(*)").alias("_taken"))
+    joined = docs.join(taken.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_mix_id"))).drop("_mix_id")
+    names = docs.columns
+    text_at, n = names.index(text_col), len(names)
+
+    def repeat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, taken = (batch.column(n + k).to_numpy() for k in range(2))
+            rows = pa.RecordBatch.from_arrays(batch.columns[:n], names)
+            yield rows.take(pa.array(np.repeat(np.arange(len(size)), taken // np.maximum(size, 1))))
+            part = np.flatnonzero(taken % np.maximum(size, 1))
+            if len(part):
+                rows = rows.take(pa.array(part))
+                data, offsets = tk.packed(rows.column(text_at))
+                _, ends, owner = tk.words(data, offsets)
+                last = np.searchsorted(owner, np.arange(len(part))) + (taken % np.maximum(size, 1))[part] - 1
+                cut = [data[a:b].tobytes().decode() for a, b in zip(offsets[:-1], ends[last])]
+                yield rows.set_column(text_at, rows.schema.field(text_at), pa.array(cut, pa.string()))
+
+    return joined.mapInArrow(repeat, docs.schema)

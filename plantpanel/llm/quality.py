@@ -141,6 +141,26 @@ def with_trusted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") ->
     return docs.join(good, id_col, "left")
 
 
+def _verdicts(data: np.ndarray, offsets: np.ndarray, ratio: np.ndarray, min_score: float, bits: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Features and score, base_failed and kept of packed texts."""
+    out = []
+    for i, j, part, at in tk.chunks(data, offsets):
+        bucket, owner = ngram_buckets(part, at, bits)
+        total = np.bincount(owner, weights=ratio[bucket], minlength=j - i)
+        score = total / np.maximum(np.bincount(owner, minlength=j - i), 1)
+        out.append((*features(part, at), score))
+    cols = [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 5 + [np.zeros(0)]
+    n_words, *_, repeat, score = cols
+    failed = (n_words < 50) | (100 * repeat > 50 * n_words)
+    return cols, failed, ~failed & (score >= min_score)
+
+
+def _ratio(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, bits: int):
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    table = ratio_table(count_ngrams(with_trusted(slim, labels), "text", "_trusted", bits), bits)
+    return slim, docs.sparkSession.sparkContext.broadcast(table)
+
+
 def score_documents(
     docs: DataFrame,
     labels: DataFrame,
@@ -157,25 +177,25 @@ def score_documents(
     the base rules; with no trusted document all scores are 0 and only the base
     rules decide.  Repeated rows are judged alike; other columns are ignored.
     """
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    table = ratio_table(count_ngrams(with_trusted(slim, labels), "text", "_trusted", bits), bits)
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    slim, shared = _ratio(docs, labels, id_col, text_col, bits)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratio = shared.value
         for batch in batches:
-            data, offsets = tk.packed(batch.column(1))
-            out = []
-            for i, j, part, at in tk.chunks(data, offsets):
-                bucket, owner = ngram_buckets(part, at, bits)
-                total = np.bincount(owner, weights=ratio[bucket], minlength=j - i)
-                score = total / np.maximum(np.bincount(owner, minlength=j - i), 1)
-                out.append((*features(part, at), score))
-            cols = [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 5 + [np.zeros(0)]
-            n_words, *_, repeat, score = cols
-            failed = (n_words < 50) | (100 * repeat > 50 * n_words)
-            arrays = [batch.column(0), *(pa.array(c) for c in cols), pa.array(failed), pa.array(~failed & (score >= min_score))]
+            cols, failed, kept = _verdicts(*tk.packed(batch.column(1)), shared.value, min_score, bits)
+            arrays = [batch.column(0), *map(pa.array, cols), pa.array(failed), pa.array(kept)]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", "base_failed", "kept"])
 
     kind = slim.schema["doc_id"].dataType.simpleString()
     return slim.mapInArrow(judge, f"doc_id {kind}, {FEATURES}, score double, base_failed boolean, kept boolean")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_score: float = MIN_SCORE, bits: int = BUCKET_BITS) -> DataFrame:
+    """The rows of ``docs``, all columns, whose document ``score_documents`` would keep."""
+    _, shared = _ratio(docs, labels, id_col, text_col, bits)
+    text_at = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_verdicts(*tk.packed(batch.column(text_at)), shared.value, min_score, bits)[2]))
+
+    return docs.mapInArrow(keep, docs.schema)

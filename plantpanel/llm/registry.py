@@ -60,6 +60,12 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -74,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_token_counts,
             op9_suffix_array_dedup,
             op10_nearest_neighbours,
+            pipeline,
         )
     }
 
