@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +38,12 @@ ANCHOR_BYTES = 20
 #: Text bytes for each anchor bucket, and for each group of documents, on average.
 BUCKET_BYTES = 8 << 20
 GROUP_BYTES = 2 << 20
-#: Symbols of a shard whose suffixes are sorted together (at most 2**20).
-SHARD_SYMBOLS = 1 << 18
+#: Symbols of a shard whose suffixes are sorted together (at most 2**20), and of
+#: the shards merged at once, unless one anchor's runs have more.
+SHARD_SYMBOLS = 1 << 15
+UNIT_SYMBOLS = 1 << 16
+#: Symbols that one refinement round adds.
+STEP = 4
 
 
 # ---------------------------------------------------------------- runs
@@ -89,8 +94,8 @@ def _least_by(keys: tuple[np.ndarray, ...], doc: np.ndarray) -> tuple[np.ndarray
 # ---------------------------------------------------------------- Burrows-Wheeler
 
 
-def shard_transform(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix order and Burrows-Wheeler transform of strings that each end in a 0.
+def shard_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Suffix order of strings that each end in a 0; with ``preceding`` it gives the transform.
 
     ``text`` has symbols 1..256 and the terminators; ``ends`` the positions
     after them.  The strings must come in sorted order: a terminator is then
@@ -120,36 +125,56 @@ def shard_transform(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.
         after = np.where(left > have, np.append(rank, np.zeros(have, np.uint64))[have : n + have], 0).astype(np.uint64)
         key = (rank << np.uint64(bits)) | after
         have *= 2
-    begins = ends - np.diff(ends, prepend=0)
-    before = np.arange(-1, n - 1)
-    before[begins] = ends - 1
-    return sa, text[before[sa]]
+    return sa
 
 
-def merge_transforms(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
+def preceding(text: np.ndarray, ends: np.ndarray, sa: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``count`` symbols before each suffix, packed, and whether a terminator is among them."""
+    begins = ends - np.diff(ends, prepend=0)
+    back = np.arange(-1, len(text) - 1)
+    back[begins] = ends - 1  # before a string comes, cyclically, its own terminator
+    packed = np.zeros(len(text), dtype=np.uint64)
+    cut = np.zeros(len(text), dtype=bool)
+    at = sa
+    for k in range(count):
+        at = back[at]
+        packed |= text[at].astype(np.uint64) << np.uint64(9 * k)
+        cut |= text[at] == 0
+    return packed, cut
+
+
+def merge_transforms(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Interleave of shard transforms and, in merged order, blocks of suffixes that share ``depth`` symbols.
 
-    Each round sorts the interleave stably by the symbols before the suffixes,
-    which brings it from being sorted by k symbols to k + 1, and splits blocks
-    where symbols differ.  A terminator equals nothing, itself included.
+    ``shards`` holds (text, string ends, suffix order) of each.  A round sorts
+    the interleave stably by the symbols that precede the suffixes, which brings
+    it from being sorted by k symbols to k + STEP, and splits blocks where these
+    symbols differ.  A terminator equals nothing, itself included.
     """
-    shard = np.repeat(np.arange(len(transforms), dtype=np.uint16), [len(t) for t in transforms])
+    shard = np.repeat(np.arange(len(shards), dtype=np.uint16), [len(t) for t, _, _ in shards])
     n = len(shard)
+    bits = int(n).bit_length()
+    step = max(1, min(STEP, (64 - bits) // 9, depth))
     block = np.zeros(n, dtype=np.int32)
-    bits = np.uint64(max(1, int(n).bit_length()))
     at = np.arange(n, dtype=np.uint64)
-    mask = np.uint64((1 << int(bits)) - 1)
-    symbol = np.empty(n, dtype=np.uint64)
-    for _ in range(depth):
-        for z, t in enumerate(transforms):
-            symbol[shard == z] = t
-        order = np.sort((symbol << bits) | at)
+    mask = np.uint64((1 << bits) - 1)
+    symbols, cut = np.empty(n, dtype=np.uint64), np.empty(n, dtype=bool)
+    done, width = 0, 0
+    while done < depth:
+        now = depth % step or step if not done else step
+        if now != width:
+            width, before = now, [preceding(*s, now) for s in shards]
+        for z, (packed, ended) in enumerate(before):
+            mine = shard == z
+            symbols[mine], cut[mine] = packed, ended
+        order = np.sort((symbols << np.uint64(bits)) | at)
         moved = (order & mask).astype(np.int64)
-        head = order >> bits
+        head = order >> np.uint64(bits)
         was = block[moved]
         new = np.ones(n, dtype=bool)
-        new[1:] = (head[1:] != head[:-1]) | (was[1:] != was[:-1]) | (head[1:] == 0)
+        new[1:] = (head[1:] != head[:-1]) | (was[1:] != was[:-1]) | cut[moved[1:]]
         shard, block = shard[moved], np.cumsum(new, dtype=np.int32)
+        done += now
     return shard, block
 
 
@@ -165,13 +190,14 @@ def repeated_windows(strings: list[bytes], docs: np.ndarray, depth: int = MIN_BY
         if e - begin >= shard_symbols or i == len(ends) - 1:
             cuts.append(i + 1)
             begin = e
-    suffixes, transforms = [], []
+    suffixes, shards = [], []
     for a, b in zip(cuts[:-1], cuts[1:]):
         first = int(ends[a] - lengths[a])
-        sa, bwt = shard_transform(text[first : ends[b - 1]], ends[a:b] - first)
+        part = text[first : ends[b - 1]], ends[a:b] - first
+        sa = shard_order(*part)
         suffixes.append(sa + first)
-        transforms.append(bwt)
-    shard, block = merge_transforms(transforms, depth)
+        shards.append((*part, sa))
+    shard, block = merge_transforms(shards, depth)
     where = np.empty(len(text), dtype=np.int64)
     for z, sa in enumerate(suffixes):
         where[shard == z] = sa
@@ -229,7 +255,7 @@ def _entries(batches: Iterator[pa.RecordBatch], n_buckets: int, n_groups: int, s
 
 _ENTRY = pa.schema([("bucket", pa.int32()), ("g", pa.int32()), ("run", pa.binary()), ("doc", pa.binary()), ("anchor", pa.binary()), ("base", pa.int64())])
 _VERDICT = pa.schema([("g", pa.int32()), ("bucket", pa.int32()), ("run", pa.binary()), ("doc", pa.binary()), ("ask_run", pa.binary()), ("ask_doc", pa.binary())])
-_BYTES = pa.schema([("bucket", pa.int32()), ("g", pa.int32()), ("run", pa.binary()), ("doc", pa.binary()), ("size", pa.binary()), ("text", pa.binary())])
+_BYTES = pa.schema([("bucket", pa.int32()), ("g", pa.int32()), ("run", pa.binary()), ("doc", pa.binary()), ("anchor", pa.binary()), ("size", pa.binary()), ("text", pa.binary())])
 _WINDOWS = pa.schema([("g", pa.int32()), ("run", pa.binary()), ("doc", pa.binary()), ("size", pa.binary()), ("windows", pa.binary())])
 
 
@@ -298,34 +324,44 @@ def _fetch(texts: pa.Table, asked: pa.Table, size: int) -> pa.Table:
     ids = texts["doc_id"].to_numpy().astype(np.int64)
     data, offsets = tk.packed(texts["text"])
     place = np.full((len(want), 2), -1, dtype=np.int64)
+    anchors = np.zeros(len(want), dtype=np.uint64)
     for i, _, part, at in tk.chunks(data, offsets):
-        _, run, doc, starts, ends = runs(part, at, size)
+        anchor, run, doc, starts, ends = runs(part, at, size)
         key = _key(run, ids[i + doc])
         spot = np.minimum(np.searchsorted(want[order], key), len(want) - 1)
         hit = want[order][spot] == key
+        anchors[order[spot[hit]]] = anchor[hit]
         place[order[spot[hit]]] = np.stack([starts[hit], ends[hit]], axis=1) + offsets[i]
-    # Where one key was asked by several buckets they all get the bytes (equal keys are adjacent).
+    # A run has one anchor, so one bucket asks for it.
     raw, out = data.tobytes(), []
-    at_order = place[order]
-    for k in range(1, len(order)):
-        if want[order[k]] == want[order[k - 1]] and at_order[k, 0] < 0:
-            at_order[k] = at_order[k - 1]
-    place[order] = at_order
     for b in np.unique(bucket):
         part = np.flatnonzero((bucket == b) & (place[:, 0] >= 0))
+        part = part[np.argsort(anchors[part], kind="stable")]
         text = b"".join(raw[s:e] for s, e in place[part])
-        out.append({"bucket": int(b), "g": g, "run": want_run[part].tobytes(), "doc": want_doc[part].tobytes(), "size": (place[part, 1] - place[part, 0]).astype(np.uint32).tobytes(), "text": text})
+        out.append({"bucket": int(b), "g": g, "run": want_run[part].tobytes(), "doc": want_doc[part].tobytes(), "anchor": (anchors[part] >> np.uint64(32)).astype(np.uint32).tobytes(), "size": (place[part, 1] - place[part, 0]).astype(np.uint16).tobytes(), "text": zlib.compress(text, 1)})
     return pa.Table.from_pylist(out, schema=_BYTES)
 
 
 def _compare(table: pa.Table, size: int) -> pa.Table:
     """One bucket: which windows of its runs a smaller document's run has as well."""
-    run, doc, lengths = (np.concatenate(_bytes(table[c], k)) for c, k in (("run", np.uint64), ("doc", np.int64), ("size", np.uint32)))
+    run, doc, anchor, lengths = (np.concatenate(_bytes(table[c], k)) for c, k in (("run", np.uint64), ("doc", np.int64), ("anchor", np.uint32), ("size", np.uint16)))
     if not len(run):
         return _WINDOWS.empty_table()
-    text = b"".join(table["text"].to_pylist())
+    text = b"".join(map(zlib.decompress, table["text"].to_pylist()))
     ends = np.cumsum(lengths, dtype=np.int64)
-    found = repeated_windows([text[e - n : e] for e, n in zip(ends, lengths)], doc, size)
+    strings = [text[e - n : e] for e, n in zip(ends.tolist(), lengths.tolist())]
+    # Only runs of one anchor can share a window, so the bucket falls into units of whole anchors.
+    found: list[np.ndarray] = [np.zeros(0, bool)] * len(run)
+    order = np.argsort(anchor, kind="stable")
+    done = np.cumsum(lengths[order], dtype=np.int64) // UNIT_SYMBOLS
+    turn = np.append(True, anchor[order[1:]] != anchor[order[:-1]])
+    first = np.flatnonzero(turn)
+    unit = done[first]
+    cuts = first[np.append(True, unit[1:] != unit[:-1])]
+    for a, b in zip(cuts, np.append(cuts[1:], len(order))):
+        part = order[a:b]
+        for p, windows in zip(part, repeated_windows([strings[p] for p in part], doc[part], size)):
+            found[p] = windows
     g = np.repeat(table["g"].to_numpy(), [len(x) // 8 for x in table["run"].to_pylist()])
     some = np.array([w.any() for w in found])
     out = []
