@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from . import analysis_queries, panel_queries, row_queries, series_queries, source_queries  # noqa: F401
+from .base import QUERIES, SQL, Query
 
-def queries() -> dict:
-    return {}
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
