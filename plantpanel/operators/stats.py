@@ -161,7 +161,7 @@ def bh_fdr(tests: DataFrame, group: Sequence[str] = ("target",), p: str = "p_val
     w = Window.partitionBy(*group).orderBy(F.col(p).asc_nulls_last())
     m = F.count(p).over(Window.partitionBy(*group))
     raw = F.when(F.col(p).isNotNull(), F.col(p) * m / F.row_number().over(w))
-    reverse = Window.partitionBy(*group).orderBy(F.col(p).asc_nulls_last(), "_raw").rowsBetween(0, Window.unboundedFollowing)
+    reverse = Window.partitionBy(*group).orderBy(F.col(p).asc_nulls_last(), F.desc("_raw")).rowsBetween(0, Window.unboundedFollowing)
     return tests.withColumn("_raw", raw).withColumn(output, F.least(F.min("_raw").over(reverse), F.lit(1.0))).withColumn(output, F.when(F.col(p).isNotNull(), F.col(output))).drop("_raw")
 
 

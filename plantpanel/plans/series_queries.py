@@ -32,38 +32,38 @@ _NEAREST = """hit AS (
   SELECT a.event_id, a.click__ts, CASE WHEN p.ts IS NOT NULL AND (n.ts IS NULL OR a.click__ts - p.ts <= n.ts - a.click__ts) THEN p.ts ELSE n.ts END AS hit_ts
   FROM anchors a ASOF LEFT JOIN rolled p ON a.click__ts >= p.ts ASOF LEFT JOIN rolled n ON a.click__ts <= n.ts),
 near AS (SELECT event_id, click__ts, CASE WHEN abs(epoch_us(click__ts) - epoch_us(hit_ts)) <= 300000000 THEN hit_ts END AS hit_ts FROM hit)"""
-_ROUND = ", ".join(f"round(trend__{k}_value, 4) AS trend__{k}_value" for k in TYPES)
+_ROUND = ", ".join(f"round(trend__{k}_value, 8) AS trend__{k}_value" for k in TYPES)
 
 
 @query(f"WITH {_WIDE} SELECT ts, {_ROUND} FROM wide")
 def trend_align(spark, sf_dir):
-    return rounded(wide(spark, sf_dir))
+    return rounded(wide(spark, sf_dir), 8)
 
 
 @query(f"WITH {_WIDE}, {_ROLLED} SELECT ts, {_ROUND} FROM rolled")
 def trend_centered_window(spark, sf_dir):
     df = wide(spark, sf_dir)
-    return rounded(ts.centered_window(df, "ts", [f"trend__{k}_value" for k in TYPES], 11, chunk_rows=500))
+    return rounded(ts.centered_window(df, "ts", [f"trend__{k}_value" for k in TYPES], 11, chunk_rows=500), 8)
 
 
-@query(f"""WITH {_WIDE} SELECT ts, round(avg(trend__view_value) OVER w, 4) AS trend__view_value__mean, round(min(trend__view_value) OVER w, 4) AS trend__view_value__min, round(max(trend__view_value) OVER w, 4) AS trend__view_value__max
+@query(f"""WITH {_WIDE} SELECT ts, round(avg(trend__view_value) OVER w, 8) AS trend__view_value__mean, round(min(trend__view_value) OVER w, 8) AS trend__view_value__min, round(max(trend__view_value) OVER w, 8) AS trend__view_value__max
 FROM wide WINDOW w AS (ORDER BY ts ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING)""")
 def trend_window_aggs(spark, sf_dir):
     df = wide(spark, sf_dir).select("ts", "trend__view_value")
-    return rounded(ts.centered_window(df, "ts", ["trend__view_value"], 4, ["mean", "min", "max"], chunk_rows=200))
+    return rounded(ts.centered_window(df, "ts", ["trend__view_value"], 4, ["mean", "min", "max"], chunk_rows=200), 8)
 
 
 @query(f"WITH {_WIDE}, {_ROLLED}, {_ANCHORS}, {_NEAREST} SELECT event_id, click__ts, {_ROUND} FROM near LEFT JOIN rolled ON rolled.ts = hit_ts")
 def trend_join_window(spark, sf_dir):
     columns = [f"trend__{k}_value" for k in TYPES]
     out, _ = ts.join_trends(anchors(spark, sf_dir), wide(spark, sf_dir), {"click__ts": columns}, window=11, tolerance_seconds=300)
-    return rounded(out.select("event_id", "click__ts", *columns))
+    return rounded(out.select("event_id", "click__ts", *columns), 8)
 
 
 @query(f"WITH {_WIDE}, rolled AS (SELECT * FROM wide), {_ANCHORS}, {_NEAREST} SELECT event_id, {_ROUND} FROM near LEFT JOIN rolled ON rolled.ts = hit_ts")
 def asof_nearest_point(spark, sf_dir):
     out = ts.asof_nearest(anchors(spark, sf_dir), wide(spark, sf_dir), "click__ts", "ts", 300)
-    return rounded(out.select("event_id", *[f"trend__{k}_value" for k in TYPES]))
+    return rounded(out.select("event_id", *[f"trend__{k}_value" for k in TYPES]), 8)
 
 
 @query(f"""WITH {_WIDE}, {_ROLLED}, {_ANCHORS}, {_NEAREST} SELECT 'click__ts' AS anchor_column, count(*) AS n_vin, count(hit_ts) AS n_matched, min(click__ts) AS anchor_min_ts, max(click__ts) AS anchor_max_ts, round(count(hit_ts) / count(*), 6) AS match_rate FROM near""")
@@ -79,6 +79,6 @@ def resolve_anchors(spark, sf_dir):
     return ts.resolve_anchors(tokens, ["booth", "error", "gate", "signup_line"], {"view": "gate"}, "booth")
 
 
-@query("SELECT ts, round(avg(value), 4) AS value FROM (SELECT " + _GRID + " AS ts, value FROM events WHERE event_type = 'view') GROUP BY ts")
+@query("SELECT ts, round(avg(value), 8) AS value FROM (SELECT " + _GRID + " AS ts, value FROM events WHERE event_type = 'view') GROUP BY ts")
 def dedupe_mean(spark, sf_dir):
-    return rounded(ts.dedupe_mean(grid(spark, sf_dir).where("event_type = 'view'"), "ts", ["value"]))
+    return rounded(ts.dedupe_mean(grid(spark, sf_dir).where("event_type = 'view'"), "ts", ["value"]), 8)
