@@ -60,13 +60,13 @@ def test_pseudonyms(spark, monkeypatch):
 
 
 def test_downcast_and_nan(spark):
-    df = spark.createDataFrame([(1.5, 2.5, float("nan"))], "a double, b_積算値 double, c double")
+    df = spark.createDataFrame([(1.5, 2.5, float("nan"))], "a double, `b_積算値` double, c double")
     assert dict(cleaning.downcast(df).dtypes) == {"a": "float", "b_積算値": "double", "c": "float"}
     assert cleaning.nan_to_null(df).first()["c"] is None
 
 
 def test_select_by_suffix(spark):
-    df = spark.createDataFrame([(1, 2, 3)], "a_測定値 int, b_計算値 int, c int")
+    df = spark.createDataFrame([(1, 2, 3)], "`a_測定値` int, `b_計算値` int, c int")
     assert cleaning.select_by_suffix(df, ("測定値", "計算値"), exclude=["b_計算値"]) == ["a_測定値"]
     assert cleaning.select_by_suffix(df, ("測定値",), include=["c"]) == ["c"]
 

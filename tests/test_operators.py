@@ -15,7 +15,7 @@ def at(minutes):
 
 
 def test_multi_row_fold(spark):
-    df = spark.createDataFrame([("A", "r1", 1.0, "x", at(1)), ("A", "r2", 4.0, "w", at(0)), ("B", "r1", None, None, None)], "vin string, robot string, v_測定値 double, rep string, at timestamp")
+    df = spark.createDataFrame([("A", "r1", 1.0, "x", at(1)), ("A", "r2", 4.0, "w", at(0)), ("B", "r1", None, None, None)], "vin string, robot string, `v_測定値` double, rep string, at timestamp")
     plan = panel.multi_row_plan(df, exclude=["robot"])
     assert plan == {"stat": ["v_測定値"], "rep": ["rep"], "datetime": ["at"]}
     out = {r["vin"]: r for r in panel.multi_row_source(df, "s", numeric_aggs=("mean", "std"), exclude=["robot"]).collect()}
@@ -96,7 +96,7 @@ def test_join_trends_policies(spark):
 
 
 def test_prune(spark):
-    df = spark.createDataFrame([(None, 1, None, 0, "f", 1, float("nan")), (None, 1, 5, 1, "f", 1, float("nan"))], "nothing int, same int, lone int, two int, aフラグ string, repair_x int, nan double")
+    df = spark.createDataFrame([(None, 1, None, 0, "f", 1, float("nan")), (None, 1, 5, 1, "f", 1, float("nan"))], "nothing int, same int, lone int, two int, `aフラグ` string, repair_x int, nan double")
     kept, report = profile.prune(df)
     assert kept.columns == ["two", "aフラグ", "repair_x"]
     assert {r["column"]: (r["reason"], r["action"]) for r in report.collect()} == {"nothing": ("all_null", "drop"), "same": ("constant", "drop"), "lone": ("constant", "drop"), "nan": ("all_null", "drop"), "aフラグ": ("constant", "keep"), "repair_x": ("constant", "keep")}
