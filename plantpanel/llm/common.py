@@ -38,3 +38,14 @@ def settled(df: DataFrame) -> DataFrame:
 def held_out(column: str, modulus: int, remainder: int):
     """Whether crc32(id as text) mod ``modulus`` is ``remainder``; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % modulus == remainder, F.lit(False))
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """Names like the given ones that no column has (case does not count)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import settled
+from .common import settled, unused
 from .graph import components
 
 SHINGLE_WORDS = 5
@@ -413,8 +413,9 @@ def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     a null id stay unless their group has an id.
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    gone = found.where("class_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    (going,) = unused(docs.columns, "_gone")
+    gone = found.where("class_id <> doc_id").select(F.col("doc_id").alias(going)).distinct()
+    left = docs.join(gone, F.col(id_col) == F.col(going), "left_anti")
     if docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
         return left
     return left.where(F.col(id_col).isNull()).unionByName(left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))

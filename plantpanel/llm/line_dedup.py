@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textkit as tk
-from .common import settled
+from .common import settled, unused
 
 #: Lines that the rolling hash sees at a time.
 WINDOW_LINES = 2
@@ -122,12 +122,13 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         only = np.sort(np.array([r["h"] for r in repeated.select("h").toLocalIterator()], dtype=np.int64))
     again = chunk_table(slim, True, only).join(repeated, "h").withColumn("is_first", F.expr("doc_id = first_doc AND at = first_at"))
     firsts = again.where("is_first").select("h", F.col("body").alias("first_body")).dropDuplicates(["h"])
-    gone = again.where("NOT is_first").join(firsts, "h").where("body = first_body").groupBy("doc_id").agg(F.sort_array(F.collect_set("at")).alias("_gone"))
-    gone = gone.withColumnRenamed("doc_id", "_gone_id")
+    going, going_id = unused(docs.columns, "_gone", "_gone_id")
+    gone = again.where("NOT is_first").join(firsts, "h").where("body = first_body").groupBy("doc_id").agg(F.sort_array(F.collect_set("at")).alias(going))
+    gone = gone.withColumnRenamed("doc_id", going_id)
 
     counters = ["n_lines_removed", "n_chunks_removed", "n_bytes_removed"]
     kept = docs.drop(*counters)
-    joined = kept.join(gone.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col("_gone_id"), "left").drop("_gone_id")
+    joined = kept.join(gone.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col(going_id), "left").drop(going_id)
     text_at, gone_at = joined.columns.index(text_col), len(joined.columns) - 1
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

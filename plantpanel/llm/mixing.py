@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import settled
+from .common import settled, unused
 
 #: Words are runs of anything but these bytes.
 SEPARATORS = r"[\x20\x09-\x0D]+"
@@ -222,8 +222,9 @@ def take_mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     is gone.  Rows that share an id share what the mix takes of them evenly.
     """
     mix = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    taken = mix.where("taken > 0").groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max("size").alias("_size"), F.expr("sum(taken) div count(*)").alias("_taken"))
-    joined = docs.join(taken.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_mix_id"))).drop("_mix_id")
+    mix_id, size, taken = unused(docs.columns, "_mix_id", "_size", "_taken")
+    shares = mix.where("taken > 0").groupBy(F.col("doc_id").alias(mix_id)).agg(F.max("size").alias(size), F.expr("sum(taken) div count(*)").alias(taken))
+    joined = docs.join(shares.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col(mix_id))).drop(mix_id)
     names = docs.columns
     text_at, n = names.index(text_col), len(names)
 
