@@ -22,7 +22,7 @@ from .common import settled
 from .subwords import ByteLevelIds
 
 SEQUENCE_TOKENS = 2048
-OPEN_BINS = 512
+OPEN_BINS = 2048
 #: Pieces that one packing group has on average.
 GROUP_PIECES = 3000
 
@@ -106,8 +106,9 @@ def pack_best_fit(pieces: DataFrame, *, capacity: int = SEQUENCE_TOKENS, open_bi
 
     Pieces are spread over groups by a seeded hash (a document's own pieces
     too), and each group is packed on its own: groups hold ``group_pieces``
-    pieces on average whatever the corpus size.  The columns of ``pieces`` stay;
-    reruns agree, because each group is packed in seeded order.
+    pieces on average whatever the corpus size.  Inside a group the longest
+    pieces arrive first, ties in seeded order, so short ones fill the gaps that
+    long ones leave and reruns agree.  The columns of ``pieces`` stay.
     """
     pieces = settled(pieces)
     groups = max(1, math.ceil(pieces.where(F.col("length") < capacity).count() / group_pieces))
@@ -118,7 +119,7 @@ def pack_best_fit(pieces: DataFrame, *, capacity: int = SEQUENCE_TOKENS, open_bi
     rest = rest.withColumn("_group", F.pmod(F.xxhash64(F.lit(seed + 1), "_order"), F.lit(groups)).cast("int"))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_order", "doc_id", "piece"], kind="stable")
+        pdf = pdf.sort_values(["length", "_order", "doc_id", "piece"], ascending=[False, True, True, True], kind="stable")
         bins = OpenBins(capacity, open_bins)
         spots = [bins.place(int(n)) for n in pdf["length"]]
         base = (int(pdf["_group"].iloc[0]) + 1) << 32
