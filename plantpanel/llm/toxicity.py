@@ -97,7 +97,7 @@ def choose_terms(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     return best[z[best] >= MIN_Z]
 
 
-def fit_machine(docs: np.ndarray, cols: np.ndarray, y: np.ndarray, n_terms: int, *, steps: int = 400, rate: float = 0.05, decay: float = 2e-4, seed: int = 9) -> tuple[float, np.ndarray, np.ndarray]:
+def fit_machine(docs: np.ndarray, cols: np.ndarray, y: np.ndarray, n_terms: int, *, steps: int = 400, rate: float = 0.05, decay: float = 2e-5, seed: int = 9) -> tuple[float, np.ndarray, np.ndarray]:
     """Bias, weights and vectors by Adam on the logistic loss with weight decay."""
     x = np.zeros((len(y), n_terms), dtype=np.float32)
     x[docs, cols] = 1.0
