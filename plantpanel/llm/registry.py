@@ -85,5 +85,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+#: Links between distinct texts by brute force, groups by reachability.
+_OP7 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents),
+t AS (SELECT min(doc_id) AS id, text, any_value(w) AS w FROM d WHERE len(w) > 0 GROUP BY text),
+s AS (SELECT DISTINCT id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM t),
+n AS (SELECT id, count(*) AS n, md5(string_agg(g, '|' ORDER BY g)) AS key FROM s GROUP BY id),
+c AS (SELECT a.id AS a, b.id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.id <> b.id GROUP BY ALL),
+e AS (SELECT a, b FROM c JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 10 * k >= 8 * (x.n + y.n - k)),
+r(id, root) AS (SELECT id, id FROM n UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id),
+g AS (SELECT id, min(root) AS class_id FROM r GROUP BY id),
+l AS (SELECT a AS id, count(*) AS n_links FROM e GROUP BY a),
+m AS (SELECT key, min(id) AS copy_id FROM n GROUP BY key)
+SELECT d.doc_id, coalesce(g.class_id, d.doc_id) AS class_id, coalesce(m.copy_id, d.doc_id) AS copy_id, coalesce(l.n_links, 0) AS n_links
+FROM d LEFT JOIN t ON d.text = t.text LEFT JOIN n ON n.id = t.id LEFT JOIN g ON g.id = t.id LEFT JOIN l ON l.id = t.id LEFT JOIN m ON m.key = n.key"""
+
+_OP10 = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e) AS score FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM k WHERE rank <= 20"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the operators that it can express in time; the others are tested by brute force."""
+    return {"op7_jaccard_join": _OP7, "op10_nearest_neighbours": _OP10}
