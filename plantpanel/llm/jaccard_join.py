@@ -45,7 +45,7 @@ BUCKET_ROWS = 20_000
 SKETCH_MARGIN = 0.17
 #: Sets on one side of a tile.
 TILE = 2048
-#: Classes whose ids are broadcast to the scan that gathers their sets (8 bytes each).
+#: Texts to gather are broadcast by hash up to this many (8 bytes each); beyond it they are joined by shuffling.
 BROADCAST_CLASSES = 2_000_000
 _TOKEN_BITS = 52
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -266,7 +266,6 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rows share everything; rows with a null id take part but name no class; an
     empty table gives no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     runs = max(1, math.ceil(math.log(1 - target_recall) / math.log(1 - RUN_RECALL)))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -280,7 +279,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # One narrow row for each document; texts are told apart by their hash.
     members = settled(slim.select("doc_id", "text", F.xxhash64("text").alias("copy")).mapInArrow(keys, "doc_id long, cid long, copy long"))
     texts = members.where("cid IS NOT NULL").groupBy("cid", "copy").agg(F.min("doc_id").alias("least"))
-    classes = settled(texts.groupBy("cid").agg(F.count("*").alias("w"), F.min("least").alias("least")))
+    # One text of each class stands for its set.
+    classes = settled(texts.groupBy("cid").agg(F.count("*").alias("w"), F.min("least").alias("least"), F.min("copy").alias("copy")))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -335,7 +335,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         candidates = candidates.unionByName(more)
     clusters = settled(components(candidates.distinct()))
 
-    links, roots = _exact(spark, slim, clusters, classes, shingle_words, threshold)
+    links, roots = _exact(slim, clusters, classes, shingle_words, threshold)
     groups = components(roots)
     named = classes.join(groups, classes["cid"] == groups["node"], "left").select("cid", "w", "least", F.coalesce("component", "cid").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("class_id"))
@@ -352,29 +352,23 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     )
 
 
-def _exact(spark, slim: DataFrame, clusters: DataFrame, classes: DataFrame, shingle_words: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+def _exact(slim: DataFrame, clusters: DataFrame, classes: DataFrame, shingle_words: int, threshold: float) -> tuple[DataFrame, DataFrame]:
     """All pairs inside the clusters, in tiles: (cid, links) and the links' spanning forest."""
-    n = clusters.count()
-    ids = None
-    if n <= BROADCAST_CLASSES:
-        ids = np.sort(np.array([r["node"] for r in clusters.select("node").toLocalIterator()], dtype=np.int64))
-    wanted = spark.sparkContext.broadcast(ids)
+    wanted = clusters.select(F.col("node").alias("cid")).join(classes.select("cid", F.col("copy").alias("wanted")), "cid").select("wanted")
+    if wanted.count() <= BROADCAST_CLASSES:
+        wanted = F.broadcast(wanted)
+    texts = slim.join(wanted, F.xxhash64("text") == F.col("wanted"), "left_semi")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = wanted.value
         for batch in batches:
-            for i, j, owner, tokens, key in _sets(batch.column(0), batch.column(1), shingle_words):
+            for _, _, owner, tokens, key in _sets(batch.column(0), batch.column(1), shingle_words):
                 key = key.view(np.int64)
-                keep = key != 0
-                if ids is not None:
-                    spot = np.minimum(np.searchsorted(ids, key), max(len(ids) - 1, 0))
-                    keep &= (ids[spot] == key) if len(ids) else False
-                some = np.flatnonzero(keep)
+                some = np.flatnonzero(key)
                 some = some[np.unique(key[some], return_index=True)[1]]
                 starts, ends = np.searchsorted(owner, some), np.searchsorted(owner, some, side="right")
                 yield pa.RecordBatch.from_arrays([pa.array(key[some]), pa.array([tokens[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())], ["cid", "tokens"])
 
-    sets = slim.mapInArrow(gather, "cid long, tokens binary").dropDuplicates(["cid"])
+    sets = texts.mapInArrow(gather, "cid long, tokens binary").dropDuplicates(["cid"])
     sizes = clusters.groupBy("component").agg(F.count("*").alias("n"))
     placed = clusters.join(sizes, "component").select(
         F.col("node").alias("cid"), "component",

@@ -27,7 +27,7 @@ MEAN_LINES = 4
 #: Chunks of fewer lines with a word, or of fewer bytes, stay where they are.
 MIN_LINES = 2
 MIN_BYTES = 40
-#: Repeated hashes are broadcast up to this many (8 bytes each).
+#: Repeated hashes are broadcast up to this many (24 bytes each).
 BROADCAST_HASHES = 2_000_000
 WHITE = b" \t\n\v\f\r"
 
@@ -74,13 +74,11 @@ def chunk_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return c_docs, c_starts, c_ends, n_lines, hasher.spans(begins, stops)
 
 
-def chunk_table(docs: DataFrame, with_bytes: bool, only: np.ndarray | None = None) -> DataFrame:
-    """(h, doc_id, at[, body]) of every chunk that could go; ``only`` keeps the hashes in a sorted array."""
-    shared = docs.sparkSession.sparkContext.broadcast(only)
+def chunk_table(docs: DataFrame, with_bytes: bool) -> DataFrame:
+    """(h, doc_id, at[, body]) of every chunk that could go."""
     names = ["h", "doc_id", "at"] + ["body"] * with_bytes
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = shared.value
         for batch in batches:
             ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
             known = np.asarray(batch.column(0).is_valid().to_numpy(zero_copy_only=False))
@@ -89,8 +87,6 @@ def chunk_table(docs: DataFrame, with_bytes: bool, only: np.ndarray | None = Non
                 doc, start, end, n_lines, h = chunk_lines(part, at)
                 h = h.view(np.int64)
                 keep = (n_lines >= MIN_LINES) & (end - start >= MIN_BYTES) & known[i + doc]
-                if hashes is not None:
-                    keep &= hashes[np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)] == h if len(hashes) else False
                 arrays = [pa.array(h[keep]), pa.array(ids[i + doc[keep]]), pa.array((start - at[doc])[keep])]
                 if with_bytes:
                     raw = part.tobytes()
@@ -116,11 +112,9 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     place = F.struct("doc_id", "at")
     seen = chunk_table(slim, False).groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     repeated = settled(seen.where("first <> last").select("h", F.col("first.doc_id").alias("first_doc"), F.col("first.at").alias("first_at")))
-    # The hashes go to the scan while they are few; otherwise the join alone sorts the chunks out.
-    only = None
-    if repeated.count() <= BROADCAST_HASHES:
-        only = np.sort(np.array([r["h"] for r in repeated.select("h").toLocalIterator()], dtype=np.int64))
-    again = chunk_table(slim, True, only).join(repeated, "h").withColumn("is_first", F.expr("doc_id = first_doc AND at = first_at"))
+    # While they are few, chunks meet them before any shuffle.
+    known = F.broadcast(repeated) if repeated.count() <= BROADCAST_HASHES else repeated
+    again = chunk_table(slim, True).join(known, "h").withColumn("is_first", F.expr("doc_id = first_doc AND at = first_at"))
     firsts = again.where("is_first").select("h", F.col("body").alias("first_body")).dropDuplicates(["h"])
     going, going_id = unused(docs.columns, "_gone", "_gone_id")
     gone = again.where("NOT is_first").join(firsts, "h").where("body = first_body").groupBy("doc_id").agg(F.sort_array(F.collect_set("at")).alias(going))
