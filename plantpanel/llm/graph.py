@@ -21,7 +21,9 @@ def components(links: DataFrame, max_rounds: int = 40) -> DataFrame:
     before = None
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # Written first, the minima meet the links in a join of its own, which Spark can
+        # split where one node has very many links.
+        least = settled(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         star = large.join(small, "a").select("a", "b", "m")

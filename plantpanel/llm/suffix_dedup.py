@@ -40,8 +40,8 @@ BUCKET_BYTES = 8 << 20
 GROUP_BYTES = 2 << 20
 #: Symbols of a shard whose suffixes are sorted together (at most 2**20), and of
 #: the shards merged at once, unless one anchor's runs have more.
-SHARD_SYMBOLS = 1 << 15
-UNIT_SYMBOLS = 1 << 16
+SHARD_SYMBOLS = 1 << 14
+UNIT_SYMBOLS = 1 << 15
 #: Symbols that one refinement round adds.
 STEP = 4
 
@@ -56,27 +56,31 @@ def runs(data: np.ndarray, offsets: np.ndarray, size: int = MIN_BYTES) -> tuple[
     if n < size:
         return empty
     hasher = tk.Hasher(data)
-    at = np.arange(n - gram + 1)
-    h = hasher.spans(at, at + gram)
+    h = hasher.grams(gram)
     # High half: hash; low half: position, so the minimum is the leftmost one.
-    least = (h & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
+    least = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
     width, have = size - gram + 1, 1
     while 2 * have <= width:
         least = np.minimum(least[:-have], least[have:])
         have *= 2
     if have < width:
         least = np.minimum(least[: len(least) - (width - have)], least[width - have :])
-    docs = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    window = np.flatnonzero(docs[: n - size + 1] == docs[size - 1 :])
-    if not len(window):
+    # A window must not reach into the next text.
+    inside = np.ones(len(least), dtype=bool)
+    for end in offsets[1:-1].tolist():
+        inside[max(0, end - size + 1) : end] = False
+    # Runs begin where the anchor changes or windows begin again, and end likewise.
+    change = np.ones(len(least) + 1, dtype=bool)
+    change[1:-1] = (least[1:] != least[:-1]) | (inside[1:] != inside[:-1])
+    edge = np.flatnonzero(change)
+    edge = edge[edge <= len(least)]
+    starts, stops = edge[:-1], edge[1:]
+    good = inside[starts]
+    starts, ends = starts[good], stops[good] + size - 1
+    if not len(starts):
         return empty
-    anchor = (least[window] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    new = np.ones(len(window), dtype=bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (window[1:] != window[:-1] + 1)
-    first = np.flatnonzero(new)
-    starts = window[first]
-    ends = np.append(window[first[1:] - 1], window[-1]) + size
-    return h[anchor[first]], hasher.spans(starts, ends), docs[starts], starts, ends
+    anchor = (least[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    return h[anchor], hasher.spans(starts, ends), tk.owner(offsets, starts), starts, ends
 
 
 def _least_by(keys: tuple[np.ndarray, ...], doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -163,10 +167,10 @@ def merge_transforms(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], de
     while done < depth:
         now = depth % step or step if not done else step
         if now != width:
-            width, before = now, [preceding(*s, now) for s in shards]
-        for z, (packed, ended) in enumerate(before):
-            mine = shard == z
-            symbols[mine], cut[mine] = packed, ended
+            width, before = now, [np.concatenate(x) for x in zip(*(preceding(*s, now) for s in shards))]
+        # A shard's suffixes keep their order in the interleave.
+        mine = np.argsort(shard, kind="stable")
+        symbols[mine], cut[mine] = before
         order = np.sort((symbols << np.uint64(bits)) | at)
         moved = (order & mask).astype(np.int64)
         head = order >> np.uint64(bits)
@@ -199,8 +203,7 @@ def repeated_windows(strings: list[bytes], docs: np.ndarray, depth: int = MIN_BY
         shards.append((*part, sa))
     shard, block = merge_transforms(shards, depth)
     where = np.empty(len(text), dtype=np.int64)
-    for z, sa in enumerate(suffixes):
-        where[shard == z] = sa
+    where[np.argsort(shard, kind="stable")] = np.concatenate(suffixes)
     owner = np.repeat(np.array(docs)[order], lengths)
     # Blocks are contiguous in merged order: least document of each.
     opens = np.flatnonzero(np.diff(block, prepend=-1))

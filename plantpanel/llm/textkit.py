@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes handled at once inside a task; a longer text is handled alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -63,6 +63,12 @@ class Hasher:
         return mix((self._sums[ends] - self._sums[starts]) * self._down[starts] + (ends - starts).astype(np.uint64))
 
 
+    def grams(self, size: int) -> np.ndarray:
+        """Hashes of all spans of ``size`` bytes, one for each start."""
+        sums, n = self._sums, len(self._sums) - size
+        return mix((sums[size:] - sums[:n]) * self._down[:n] + np.uint64(size))
+
+
 def packed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a text column; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
