@@ -272,13 +272,13 @@ def _labelled(spark, sf_dir):
 
 @query()
 def ml_cross_validation(spark, sf_dir):
-    return rounded(ml.cross_validate(_labelled(spark, sf_dir), NUMERIC[:3], ["l_linestatus"], "classification", k=3, trees=5, rounds=3))
+    return rounded(ml.cross_validate(_labelled(spark, sf_dir), NUMERIC[:3], ["l_linestatus"], "classification", k=2, trees=5, rounds=2))
 
 
 @query()
 def ml_regression(spark, sf_dir):
     df = ml.prepare(panel(spark, sf_dir), NUMERIC[:1] + NUMERIC[2:], ["l_linestatus"], "l_extendedprice")
-    return rounded(ml.cross_validate(df, NUMERIC[:1] + NUMERIC[2:], ["l_linestatus"], "regression", k=2, trees=5, rounds=3))
+    return rounded(ml.cross_validate(df, NUMERIC[:1] + NUMERIC[2:], ["l_linestatus"], "regression", k=2, trees=5, rounds=2))
 
 
 @query()
