@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from plantpanel.llm.common import shared_dir, table
 from plantpanel.llm.jaccard_join import one_of_each_group
-from plantpanel.llm.line_dedup import dedup_lines
+from plantpanel.llm.line_dedup import dedup_passages
 from plantpanel.llm.mixing import take_mix
 from plantpanel.llm.packing import pack_documents
 from plantpanel.llm.quality import keep_good
@@ -32,7 +32,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _measured(dedup_lines(docs), docs.columns)
+    return _measured(dedup_passages(docs), docs.columns)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,9 +1,13 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup: passages of several lines that an earlier place of the corpus has.
 
-A rolling hash over the hashes of neighbouring lines chooses chunk boundaries,
-so they depend on nearby lines only and survive insertions elsewhere.  Chunks
-of several lines that an earlier place in the corpus has already are removed
-after a comparison of their bytes.
+``dedup_passages`` finds every such passage, wherever it begins and ends: the
+least windows that could be a passage are joined by hash, one or two for every
+line, and go after a comparison of their bytes; windows that overlap make up
+longer passages, so nothing need be extended.
+
+``dedup_lines`` removes whole content-defined chunks only.  A rolling hash over
+the hashes of neighbouring lines chooses their boundaries, so they depend on
+nearby lines only and survive insertions elsewhere.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from .common import settled, unused
 WINDOW_LINES = 2
 #: One boundary in so many lines, on average.
 MEAN_LINES = 4
-#: Chunks of fewer lines with a word, or of fewer bytes, stay where they are.
+#: Chunks and passages of fewer lines with a word, or of fewer bytes, stay where they are.
 MIN_LINES = 2
 MIN_BYTES = 40
 #: Repeated hashes are broadcast up to this many (24 bytes each).
@@ -151,8 +155,139 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     return joined.mapInArrow(cut, schema)
 
 
+def full_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lines with a word: text, start of the line, first byte of a word, end of the last word."""
+    starts, ends, docs = tk.lines(data, offsets)
+    word = tk.WORD_BYTE[data]
+    at = np.flatnonzero(word)
+    sums = np.zeros(len(data) + 1, dtype=np.int64)
+    np.cumsum(word, out=sums[1:])
+    f = np.flatnonzero(sums[ends] > sums[starts])
+    return docs[f], starts[f], at[sums[starts[f]]], at[sums[ends[f]] - 1] + 1
+
+
+def least_windows(docs: np.ndarray, begins: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last line of the shortest passages from every line onwards and up to every line.
+
+    A passage has ``MIN_LINES`` lines and, joined by newlines, ``MIN_BYTES``
+    bytes.  One of any length is covered by those inside it: up to the end of
+    the window at its first line by that one, beyond by windows that end there.
+    """
+    n = len(docs)
+    k = np.arange(n)
+    upto = np.concatenate([[0], np.cumsum(stops - begins + 1)])
+    onwards = np.maximum(np.searchsorted(upto, upto[:-1] + MIN_BYTES + 1) - 1, k + MIN_LINES - 1)
+    back = np.minimum(np.searchsorted(upto, upto[1:] - MIN_BYTES - 1, side="right") - 1, k - MIN_LINES + 1)
+    ok, ok_back = onwards < n, back >= 0
+    ok[ok] = docs[onwards[ok]] == docs[ok]
+    ok_back[ok_back] = docs[back[ok_back]] == docs[ok_back]
+    pairs = np.unique(np.concatenate([k[ok] * (n + 1) + onwards[ok], back[ok_back] * (n + 1) + k[ok_back]]))
+    return pairs // (n + 1), pairs % (n + 1)
+
+
+def window_table(slim: DataFrame, with_bytes: bool) -> DataFrame:
+    """(h, doc_id, text_id, at, stop[, body]) of every least window; white space around a line's words is left out."""
+    names = ["h", "doc_id", "text_id", "at", "stop"] + ["body"] * with_bytes
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
+            known = np.asarray(batch.column(0).is_valid().to_numpy(zero_copy_only=False))
+            text_ids = batch.column(2).to_numpy(zero_copy_only=False)
+            data, offsets = tk.packed(batch.column(1))
+            for i, _, part, at in tk.chunks(data, offsets):
+                docs, _, begins, stops = full_lines(part, at)
+                a, b = least_windows(docs, begins, stops)
+                keep = known[i + docs[a]]
+                a, b = a[keep], b[keep]
+                up, down = tk.powers(len(docs) + 1)
+                sums = np.zeros(len(docs) + 1, dtype=np.uint64)
+                np.cumsum(tk.Hasher(part).spans(begins, stops) * up[:-1], out=sums[1:])
+                h = tk.mix((sums[b + 1] - sums[a]) * down[a] + (b - a + 1).astype(np.uint64)).view(np.int64)
+                d = docs[a]
+                arrays = [pa.array(x) for x in (h, ids[i + d], text_ids[i + d], begins[a] - at[d], stops[b] - at[d])]
+                if with_bytes:
+                    raw = part.tobytes()
+                    bodies = [raw[x:y] for x, y in zip(begins[a].tolist(), stops[b].tolist())]
+                    # Where more than a newline lies between two lines, it is left out.
+                    gaps = np.concatenate([[0, 0], np.cumsum(begins[1:] != stops[:-1] + 1)])
+                    for k in np.flatnonzero(gaps[b + 1] > gaps[a + 1]).tolist():
+                        bodies[k] = b"\n".join(raw[begins[x] : stops[x]] for x in range(a[k], b[k] + 1))
+                    arrays.append(pa.array(bodies, pa.binary()))
+                yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return slim.mapInArrow(find, "h long, doc_id long, text_id long, at long, stop long" + ", body binary" * with_bytes)
+
+
+def dedup_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Remove every passage of several lines that an earlier place of the corpus has.
+
+    A passage is a run of at least ``MIN_LINES`` lines with a word, of at least
+    ``MIN_BYTES`` bytes.  Places are ordered by id, then position; a line goes
+    if some passage around it lies at an earlier place as well, and that place
+    does not overlap it.  So of each line that goes an equal one stays earlier.
+
+    Returns the input rows with the text shortened, and with the columns
+    ``n_lines_removed``, ``n_chunks_removed`` (runs of lines that went) and
+    ``n_bytes_removed`` (columns of these names are replaced).  Null, empty and
+    one-line texts come back as they are; rows with a null id keep all and make
+    nothing go; rows repeated under one id keep the same lines, different texts
+    under one id are ordered by their hash.  A text may become empty.  Blank
+    lines go with the line before them; they and white space around a line's
+    words do not count in the comparison.
+    """
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_id"))
+    # Repeated hashes: narrow rows with map-side minima, whatever the passage's size or number.
+    place = F.struct("doc_id", "text_id", "at", "stop")
+    seen = window_table(slim, False).groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    repeated = settled(seen.where("first <> last").select("h", "first"))
+    # While they are few, windows meet them before any shuffle.
+    known = F.broadcast(repeated) if repeated.count() <= BROADCAST_HASHES else repeated
+    again = window_table(slim, True).join(known, "h").withColumn("same_text", F.expr("doc_id = first.doc_id AND text_id = first.text_id"))
+    firsts = again.where("same_text AND at = first.at").select("h", F.col("body").alias("first_body")).dropDuplicates(["h"])
+    later = again.where("NOT same_text OR at >= first.stop").select("h", "doc_id", "text_id", "at", "stop", "body")
+    going, going_id, going_text = unused(docs.columns, "_gone", "_gone_id", "_gone_text")
+    gone = later.join(firsts, "h").where("body = first_body").groupBy(F.col("doc_id").alias(going_id), F.col("text_id").alias(going_text))
+    gone = gone.agg(F.collect_set(F.struct("at", "stop")).alias(going)).select(going_id, going_text, F.col(f"{going}.at").alias(going), F.col(f"{going}.stop").alias(f"{going}_stop"))
+
+    counters = ["n_lines_removed", "n_chunks_removed", "n_bytes_removed"]
+    kept = docs.drop(*counters)
+    joined = kept.join(gone.hint("shuffle_hash"), (F.col(id_col).cast("long") == F.col(going_id)) & (F.xxhash64(text_col) == F.col(going_text)), "left").drop(going_id, going_text)
+    text_at, gone_at = joined.columns.index(text_col), len(joined.columns) - 2
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column, at, stop = batch.column(text_at), batch.column(gone_at), batch.column(gone_at + 1)
+            data, offsets = tk.packed(column)
+            touched = np.flatnonzero(np.asarray(at.is_valid().to_numpy(zero_copy_only=False)))
+            n_lines, n_chunks, n_bytes = (np.zeros(batch.num_rows, dtype=np.int64) for _ in range(3))
+            keep = np.ones(len(data), dtype=bool)
+            for d in touched.tolist():
+                part = data[offsets[d] : offsets[d + 1]]
+                _, starts, begins, stops = full_lines(part, np.array([0, len(part)]))
+                edges = np.zeros(len(starts) + 1, dtype=np.int64)
+                np.add.at(edges, np.searchsorted(begins, at[d].values.to_numpy()), 1)
+                np.add.at(edges, np.searchsorted(stops, stop[d].values.to_numpy()) + 1, -1)
+                going = np.cumsum(edges[:-1]) > 0
+                # The first line takes what lies before it along, every line what lies up to the next.
+                bounds = np.concatenate([[0], starts[1:], [len(part)]])
+                gone_bytes = np.repeat(going, np.diff(bounds))
+                keep[offsets[d] : offsets[d + 1]] = ~gone_bytes
+                n_lines[d], n_chunks[d], n_bytes[d] = going.sum(), (going & ~np.append(False, going[:-1])).sum(), gone_bytes.sum()
+            if len(touched):
+                left = np.concatenate([[0], np.cumsum(keep)])[offsets].astype(np.int64)
+                text = pa.LargeStringArray.from_buffers(batch.num_rows, pa.py_buffer(left.tobytes()), pa.py_buffer(data[keep].tobytes())).cast(pa.string())
+                column = pc.if_else(column.is_valid(), text, pa.scalar(None, pa.string()))
+            columns = list(batch.columns[:gone_at])
+            columns[text_at] = column
+            yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, (n_lines, n_chunks, n_bytes))], [*batch.schema.names[:gone_at], *counters])
+
+    schema = T.StructType([*kept.schema.fields, *(T.StructField(c, T.LongType()) for c in counters)])
+    return joined.mapInArrow(cut, schema)
+
+
 def line_dedup_digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """What ``dedup_lines`` leaves of every document: id, the three counters, and its size and hash."""
-    out = dedup_lines(docs.select(id_col, text_col), id_col=id_col, text_col=text_col)
+    """What ``dedup_passages`` leaves of every document: id, the three counters, and its size and hash."""
+    out = dedup_passages(docs.select(id_col, text_col), id_col=id_col, text_col=text_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
     return out.select(id_col, "n_lines_removed", "n_chunks_removed", "n_bytes_removed", F.octet_length(text).cast("long").alias("n_bytes_kept"), F.sha2(text, 256).alias("kept_sha256"))

@@ -202,3 +202,72 @@ def test_chunks_survive_insertions():
 
     assert len(bodies(lines) - bodies(["new line in front", *lines])) <= 2
     assert len(bodies(lines) - bodies([*lines[:20], "new line inside", *lines[20:]])) <= 3
+
+
+def brute_passages(docs):
+    """Lines that go: those in a run of 2 or more equal lines, of 40 bytes or more, that an earlier place has, by trying all pairs of places."""
+    white = b" \t\n\v\f\r"
+    rows = sorted({(r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] is not None and r["text"] is not None})
+    texts = [[(k, line.strip(white)) for k, line in enumerate(t.encode().split(b"\n")) if line.strip(white)] for _, t in rows]
+    places = defaultdict(list)
+    for d, lines in enumerate(texts):
+        for k, (_, line) in enumerate(lines):
+            places[line].append((d, k))
+    out = {}
+    for d, ((i, t), lines) in enumerate(zip(rows, texts)):
+        gone = set()
+        for k, (_, line) in enumerate(lines):
+            for e, m in places[line]:
+                if (e, m) >= (d, k):
+                    break
+                n = 0
+                most = len(lines) - k if e < d else min(len(lines) - k, k - m)
+                while n < most and m + n < len(texts[e]) and texts[e][m + n][1] == lines[k + n][1]:
+                    n += 1
+                if n >= 2 and len(b"\n".join(x for _, x in lines[k : k + n])) >= 40:
+                    gone |= set(range(k, k + n))
+        raw = t.encode().split(b"\n")
+        starts = np.concatenate([[0], np.cumsum([len(x) + 1 for x in raw])])
+        bounds = [0, *(int(starts[k]) for k, _ in lines[1:]), len(t.encode())]
+        left = b"".join(t.encode()[bounds[k] : bounds[k + 1]] for k in range(len(lines)) if k not in gone) if lines else t.encode()
+        out[i] = (left.decode(), len(gone), sum(k - 1 not in gone for k in gone))
+    return out
+
+
+def passages(spark):
+    """Passages at random places between other lines, with short lines, blank lines and carriage returns."""
+    rng = random.Random(12)
+    line = lambda: prose(rng, rng.randint(1, 9)).replace("\n", "")
+    pool = [[line() for _ in range(rng.randint(2, 9))] for _ in range(12)] + [["a", "b", "c d"] * 6, ["x", "y"]]
+    rows = []
+    for i in range(80):
+        text = [line() for _ in range(rng.randint(0, 4))]
+        for _ in range(rng.randint(0, 3)):
+            p = rng.choice(pool)
+            a = rng.randrange(len(p))
+            text += p[a : a + rng.randint(1, 9)] + [line() for _ in range(rng.randint(0, 3))]
+        rows.append((i, "".join(x + rng.choice(["\n", "\n", "\n\n", "\r\n", " \n"]) for x in text), "en", "s", 1))
+    rows.append((90, "again and again and again\n" * 7, "en", "s", 1))
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.mark.parametrize("make", [corpus, crowd, passages])
+def test_every_passage_goes_whole(spark, make):
+    docs = make(spark)
+    want = brute_passages(docs)
+    rows = line_dedup.dedup_passages(with_clashes(docs)).collect()
+    assert len(rows) == docs.count() and any(n for _, n, _ in want.values())
+    for r in rows:
+        if r["doc_id"] in want:
+            assert (r["text"], r["n_lines_removed"], r["n_chunks_removed"]) == want[r["doc_id"]], r["doc_id"]
+    assert same(line_dedup.dedup_passages(docs.repartition(5)), line_dedup.dedup_passages(docs))
+    digest = {r["doc_id"]: r["kept_sha256"] for r in line_dedup.line_dedup_digest(docs).collect()}
+    assert all(digest[i] == hashlib.sha256(t.encode()).hexdigest() for i, (t, _, _) in want.items())
+    assert line_dedup.dedup_passages(empty(spark)).count() == 0
+
+
+def test_passages_of_texts_that_share_an_id(spark):
+    two = "first line of the passage\nsecond line of the passage\n"
+    rows = [(1, two), (2, two + "and more"), (2, "something of its own\nthat no other text has\nof all of them")]
+    out = line_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == [(1, two), (2, "and more"), rows[2]]
