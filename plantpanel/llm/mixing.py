@@ -10,7 +10,6 @@ one source in a task, so a source with a third of all rows is cut into many.
 from __future__ import annotations
 
 import heapq
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -103,6 +102,7 @@ def mix_sources(
     shard_docs: int = 500,
     max_sources: int = 1_000_000,
     seed: int = 17,
+    with_ranges: bool = False,
 ) -> DataFrame:
     """Decide how many words of every document the mix takes.
 
@@ -114,7 +114,10 @@ def mix_sources(
 
     Null or blank texts have size 0 and nothing is taken from them.  Repeated
     rows are separate documents.  Empty tables give an empty result.  Other
-    columns are ignored, so their names cannot clash.
+    columns are ignored, so their names cannot clash.  A source of n documents
+    falls into ``n / shard_docs`` shards.  ``with_ranges`` adds ``whole``, the
+    whole copies taken, ``ranges``, the words taken besides them as (lo, hi) in
+    ascending order, and ``text_id``, the text's hash.
 
     The per-source totals meet on the driver: one row for each source of the
     mixing recipe (``max_sources`` bounds them).
@@ -125,22 +128,22 @@ def mix_sources(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).cast("string").alias("source"),
             word_count(F.col(text_col)).alias("size"),
+            F.xxhash64(F.col(text_col)).alias("text_id"),
         )
     )
-    n = narrow.count()
-    shards = max(1, math.ceil(n / shard_docs))
-    keyed = narrow.withColumns(
+    sources = settled(narrow.groupBy(F.col("source").alias("_source")).agg(F.ceil(F.count("*") / shard_docs).alias("_shards")))
+    if sources.count() > max_sources:
+        raise ValueError(f"more than {max_sources} sources: name their weights by a coarser column")
+    keyed = narrow.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumns(
         {
             "_null": F.col("source").isNull(),
             "_key": F.coalesce("source", F.lit("")),
             "_order": F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"), F.col("size")),
         }
-    ).withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed + 1), "_order"), F.lit(shards)).cast("int"))
+    ).withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed + 1), "_order"), F.col("_shards")).cast("int"))
 
     shard_sizes = keyed.groupBy("_null", "_key", "_shard").agg(F.sum("size").alias("shard_words"))
-    totals = shard_sizes.groupBy("_null", "_key").agg(F.sum("shard_words").alias("words")).limit(max_sources + 1).toPandas()
-    if len(totals) > max_sources:
-        raise ValueError(f"more than {max_sources} sources: name their weights by a coarser column")
+    totals = shard_sizes.groupBy("_null", "_key").agg(F.sum("shard_words").alias("words")).toPandas()
     totals = totals.iloc[sorted(range(len(totals)), key=lambda i: (totals["_null"][i], totals["_key"][i].encode("utf-32-be")))].reset_index(drop=True)
     named = [None if null else key for null, key in zip(totals["_null"], totals["_key"])]
     weight = np.array([WEIGHT_CYCLE[i % 3] if weights is None else weights.get(s, 0.0) for i, s in enumerate(named)], dtype=float)
@@ -170,76 +173,86 @@ def mix_sources(
         .applyInPandas(deal, "_null boolean, _key string, _shard int, shard_words long, source_words long, target double, take long")
     )
 
-    w = Window.partitionBy("_null", "_key", "_shard").orderBy("_order", "doc_id")
+    w = Window.partitionBy("_null", "_key", "_shard").orderBy("_order", "doc_id", "text_id")
     laid = keyed.withColumn("_end", F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    placed = laid.join(quotas, ["_null", "_key", "_shard"])
+    placed = laid.join(quotas, ["_null", "_key", "_shard"]).withColumns(
+        {"whole": F.expr("take div greatest(shard_words, 1L)"), "ranges": F.expr(_ranges_sql(block, seed))}
+    )
     return placed.select(
         "doc_id",
         "size",
         F.col("source_words").alias("source_size"),
         "target",
-        F.expr(_taken_sql(block, seed)).alias("taken"),
+        F.expr("size * whole + aggregate(ranges, 0L, (n, r) -> n + r.hi - r.lo)").alias("taken"),
         "source",
+        *["whole", "ranges", "text_id"] * with_ranges,
     )
 
 
-def _taken_sql(block: int, seed: int) -> str:
-    """Words taken of the document that lies at [_end - size, _end) in its shard.
+def _ranges_sql(block: int, seed: int) -> str:
+    """Words taken, besides whole passes, of the document that lies at [_end - size, _end) in its shard.
 
     ``take`` words leave the shard: whole passes first, then whole blocks from a
-    seeded first block onwards, round the end, then part of one more block.  The
-    documents themselves lie in seeded order, so neighbouring blocks are a
-    random choice of documents and most documents stay whole.
+    seeded first block onwards, round the end, then part of one more block (of
+    the words behind the last block, if they suffice).  The documents themselves
+    lie in seeded order, so neighbouring blocks are a random choice of documents
+    and most documents stay whole.
     """
     full = f"(shard_words div {block})"
-    rest = "(take % shard_words)"
-    base = f"pmod(xxhash64({seed}, _key, _shard), greatest({full}, 1L))"
-    rank = f"pmod(j - {base}, greatest({full}, 1L))"
-    whole = f"({rest} div {block})"
+    rest = "(take % greatest(shard_words, 1L))"
     part = f"({rest} % {block})"
-    overlap = (
-        "greatest(0L, least(_end, j * {b} + n) - greatest(_end - size, j * {b}))"
-    ).replace("{b}", f"{block}L")
-    wanted = (
-        f"CASE WHEN j < {full} AND {rank} < {whole} THEN {block}L "
-        f"WHEN j = {full} AND shard_words % {block} >= {part} THEN {part} "
-        f"WHEN j < {full} AND {rank} = {whole} AND shard_words % {block} < {part} THEN {part} "
-        f"ELSE 0L END"
-    )
-    picked = overlap.replace("+ n)", f"+ {wanted})")
-    return (
-        "CASE WHEN size = 0 OR shard_words = 0 THEN 0L ELSE "
-        f"size * (take div shard_words) + aggregate(sequence((_end - size) div {block}, (_end - 1) div {block}), 0L, "
-        f"(acc, j) -> acc + {picked}) END"
-    )
+    behind = f"(shard_words % {block} >= {part})"
+    limit = f"({full} * {block})"
+    start = f"(pmod(xxhash64({seed}, _key, _shard), greatest({full}, 1L)) * {block})"
+    stop = f"({start} + {rest} div {block} * {block} + IF({behind}, 0L, {part}))"
+    chosen = f"array(struct(0L AS lo, {stop} - {limit} AS hi), struct({start} AS lo, least({stop}, {limit}) AS hi), struct({limit} AS lo, {limit} + IF({behind}, {part}, 0L) AS hi))"
+    mine = f"transform({chosen}, r -> struct(greatest(r.lo - _end + size, 0L) AS lo, least(r.hi - _end + size, size) AS hi))"
+    return f"filter({mine}, r -> r.hi > r.lo)"
 
 
 def take_mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The rows of the mix: whole copies of a document, then the rest of its words.
 
     A document of which the mix takes 2.5 times its words comes back twice
-    whole and once with the first half of its words; one of which it takes none
-    is gone.  Rows that share an id share what the mix takes of them evenly.
+    whole and once with those of its words that lie in the chosen blocks, as
+    one row for each connected range; one of which it takes none is gone.  Of
+    rows that share an id each comes back as often as the mix takes it.
     """
-    mix = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    mix_id, size, taken = unused(docs.columns, "_mix_id", "_size", "_taken")
-    shares = mix.where("taken > 0").groupBy(F.col("doc_id").alias(mix_id)).agg(F.max("size").alias(size), F.expr("sum(taken) div count(*)").alias(taken))
-    joined = docs.join(shares.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col(mix_id))).drop(mix_id)
+    mix = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, with_ranges=True, **options)
+    mix_id, mix_source, mix_text, mix_copy, copy, whole, ranges = unused(docs.columns, "_mix_id", "_mix_source", "_mix_text", "_mix_copy", "_copy", "_whole", "_ranges")
+    taken = mix.select("taken", F.col("doc_id").alias(mix_id), F.col("source").alias(mix_source), F.col("text_id").alias(mix_text), F.col("whole").alias(whole), F.col("ranges").alias(ranges))
+    left, same = docs, F.col(id_col).eqNullSafe(F.col(mix_id))
+    if not docs.groupBy(id_col).count().where("count > 1").isEmpty():
+        # Rows of one id, source and text are numbered on both sides.
+        keys = [F.col(id_col), F.col(source_col).cast("string"), F.xxhash64(text_col)]
+        left = docs.withColumn(copy, F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))))
+        taken = taken.withColumn(mix_copy, F.row_number().over(Window.partitionBy(mix_id, mix_source, mix_text).orderBy("taken")))
+        for key, other in zip([*keys[1:], F.col(copy)], (mix_source, mix_text, mix_copy)):
+            same &= key.eqNullSafe(F.col(other))
     names = docs.columns
+    joined = left.join(taken.where("taken > 0").drop("taken").hint("shuffle_hash"), same).select(*[left[f"`{c}`"] for c in names], whole, ranges)
     text_at, n = names.index(text_col), len(names)
 
     def repeat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, taken = (batch.column(n + k).to_numpy() for k in range(2))
+            each = np.arange(batch.num_rows)
             rows = pa.RecordBatch.from_arrays(batch.columns[:n], names)
-            yield rows.take(pa.array(np.repeat(np.arange(len(size)), taken // np.maximum(size, 1))))
-            part = np.flatnonzero(taken % np.maximum(size, 1))
-            if len(part):
-                rows = rows.take(pa.array(part))
+            yield rows.take(pa.array(np.repeat(each, batch.column(n).to_numpy())))
+            found = batch.column(n + 1)
+            who = np.repeat(each, found.value_lengths().to_numpy())
+            lo, hi = (found.flatten().field(k).to_numpy() for k in range(2))
+            if len(who):
+                # Ranges that touch are one.
+                opens = np.append(True, (who[1:] != who[:-1]) | (lo[1:] != hi[:-1]))
+                who, lo, hi = who[opens], lo[opens], hi[np.append(opens[1:], True)]
+                rows = rows.take(pa.array(who))
                 data, offsets = tk.packed(rows.column(text_at))
-                _, ends, owner = tk.words(data, offsets)
-                last = np.searchsorted(owner, np.arange(len(part))) + (taken % np.maximum(size, 1))[part] - 1
-                cut = [data[a:b].tobytes().decode() for a, b in zip(offsets[:-1], ends[last])]
+                starts, ends, owner = tk.words(data, offsets)
+                first = np.searchsorted(owner, np.arange(len(who)))
+                size = np.diff(first, append=len(owner))
+                begin = np.where(lo == 0, offsets[:-1], starts[first + lo])
+                stop = np.where(hi == size, offsets[1:], ends[first + hi - 1])
+                cut = [data[a:b].tobytes().decode() for a, b in zip(begin, stop)]
                 yield rows.set_column(text_at, rows.schema.field(text_at), pa.array(cut, pa.string()))
 
     return joined.mapInArrow(repeat, docs.schema)

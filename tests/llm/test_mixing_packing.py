@@ -80,6 +80,60 @@ def test_take_mix_repeats_and_cuts(spark):
     assert mixing.take_mix(docs).columns == docs.columns and mixing.take_mix(empty(spark)).count() == 0
 
 
+def test_cut_documents_keep_the_chosen_words(spark):
+    rng = random.Random(5)
+    size = {i: rng.randint(1, 90) for i in range(300)}
+    docs = spark.createDataFrame([(i, " ".join(f"d{i}w{k}" for k in range(n)), f"s{i % 10}") for i, n in size.items()], "doc_id long, text string, source string")
+    options = {"shard_docs": 30, "weights": {f"s{k}": 1.0 + k for k in range(10)}, "share": 0.5, "block_words": 8}
+    taken = {r["doc_id"]: r["taken"] for r in mixing.mix_sources(docs, **options).collect()}
+    pieces, counts = defaultdict(list), defaultdict(int)
+    for r in mixing.take_mix(docs, **options).collect():
+        i, w = r["doc_id"], words_of(r["text"])
+        start = int(w[0].split("w")[1])
+        assert w == [f"d{i}w{k}" for k in range(start, start + len(w))]
+        counts[i] += len(w)
+        if len(w) < size[i]:
+            pieces[r["source"]].append((start, start + len(w) < size[i]))
+    assert dict(counts) == {k: v for k, v in taken.items() if v}
+    # A source of 30 documents is one shard: a run of blocks, round the end, and the words behind them.
+    assert all(len(p) <= 5 and sum(start > 0 for start, _ in p) <= 3 for p in pieces.values())
+    assert any(start > 0 and not more for p in pieces.values() for start, more in p)
+
+
+def test_ranges_hold_the_chosen_blocks(spark):
+    rng = random.Random(2)
+    rows, block, end = [], 8, 0
+    for shard in range(60):
+        sizes = [rng.choice([0, 1, 3, 20, 100]) for _ in range(rng.randint(1, 8))]
+        words = sum(sizes)
+        take, end = rng.randint(0, 3 * words), 0
+        for n in sizes:
+            end += n
+            rows.append(("k", shard, words, take, n, end))
+    df = spark.createDataFrame(rows, "_key string, _shard int, shard_words long, take long, size long, _end long")
+    out = df.selectExpr("*", "xxhash64(17, _key, _shard) AS h", f"{mixing._ranges_sql(block, 17)} AS ranges").collect()
+    for r in out:
+        full, rest = r["shard_words"] // block, r["take"] % max(r["shard_words"], 1)
+        part, tail, chosen = rest % block, r["shard_words"] % block, set()
+        for rank in range(rest // block):
+            j = (r["h"] + rank) % full
+            chosen |= set(range(j * block, j * block + block))
+        more = full if tail >= part else (r["h"] + rest // block) % full
+        chosen |= set(range(more * block, more * block + part))
+        assert len(chosen) == rest
+        got = [k for lo, hi in r["ranges"] for k in range(lo, hi)]
+        assert got == [k for k in range(r["size"]) if r["_end"] - r["size"] + k in chosen]
+
+
+def test_rows_of_one_id_come_back_as_they_are_taken(spark):
+    rows = [(i % 5 or None, " ".join(f"d{i % 15}w{k}" for k in range(20)), f"s{i % 2}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mix = mixing.mix_sources(docs, with_ranges=True).collect()
+    got = mixing.take_mix(docs).collect()
+    assert sum(len(words_of(r["text"])) for r in got) == sum(r["taken"] for r in mix)
+    assert {(r["doc_id"], r["source"], words_of(r["text"])[0].split("w")[0]) for r in got} <= {(i, s, t.split("w")[0]) for i, t, s in rows}
+
+
 def awkward_texts():
     rng = random.Random(8)
     alphabet = list("ab'sStTrReEvVmMlLdD  \n\t\r!?.,19२½é́ÀİßΣς中​🙂가Å") + ["<|endoftext|>", "<|startoftext|>", "'ll ", "'re", "  ", " ", " "]
