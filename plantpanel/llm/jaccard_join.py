@@ -253,7 +253,7 @@ def compare_tile(row: dict, threshold: float) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cid[some]), pa.array(np.rint(links[some]).astype(np.int64)), pa.array(cid[roots[some]])], schema=_TILE_OUT)
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, shingle_words: int = SHINGLE_WORDS, target_recall: float = TARGET_RECALL) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, shingle_words: int = SHINGLE_WORDS, target_recall: float = TARGET_RECALL, with_keys: bool = False) -> DataFrame:
     """One row per document: its class, near-duplicate group and number of links.
 
     Returns id, ``class_id`` (smallest id of its near-duplicate group, itself
@@ -264,7 +264,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Texts without a word (null and empty ones too) have no set: they are alone,
     without links.  Shorter texts than a shingle count as one shingle.  Repeated
     rows share everything; rows with a null id take part but name no class; an
-    empty table gives no rows; other columns are ignored.
+    empty table gives no rows; other columns are ignored.  ``with_keys`` adds
+    ``text_id``, the text's hash, and ``group_id``, which tells groups apart
+    that share their smallest id (null without a word).
     """
     kind = docs.schema[id_col].dataType.simpleString()
     runs = max(1, math.ceil(math.log(1 - target_recall) / math.log(1 - RUN_RECALL)))
@@ -342,13 +344,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     by_class = (
         named.join(least, "component")
         .join(links, "cid", "left")
-        .select("cid", "class_id", F.col("least").alias("copy_id"), (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"))
+        .select("cid", "component", "class_id", F.col("least").alias("copy_id"), (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"))
     )
     return members.join(by_class, "cid", "left").select(
         F.col("doc_id").cast(kind).alias("doc_id"),
         F.coalesce("class_id", "doc_id").cast(kind).alias("class_id"),
         F.coalesce("copy_id", "doc_id").cast(kind).alias("copy_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        *[F.col("copy").alias("text_id"), F.col("component").alias("group_id")] * with_keys,
     )
 
 
@@ -403,13 +406,22 @@ def _exact(slim: DataFrame, clusters: DataFrame, classes: DataFrame, shingle_wor
 def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns, with one document left of each near-duplicate group.
 
-    The one with the smallest id stays, once if its row is repeated.  Rows with
-    a null id stay unless their group has an id.
+    The one with the smallest id stays, once if its row is repeated; of several
+    texts of that id in one group the one of the smallest hash.  Texts that
+    share an id are judged one by one.  Rows with a null id stay unless their
+    group has an id.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    (going,) = unused(docs.columns, "_gone")
-    gone = found.where("class_id <> doc_id").select(F.col("doc_id").alias(going)).distinct()
-    left = docs.join(gone, F.col(id_col) == F.col(going), "left_anti")
-    if docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, with_keys=True, **options)
+    going, going_text, text_id = unused(docs.columns, "_gone", "_gone_text", "_text_id")
+    gone = found.where("class_id <> doc_id OR doc_id IS NULL AND class_id IS NOT NULL").select("doc_id", "text_id")
+    unique = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty()
+    if not unique:
+        heads = found.where("class_id = doc_id AND group_id IS NOT NULL").select("group_id", "doc_id", "text_id").distinct()
+        first = heads.groupBy("group_id").agg(F.min("text_id").alias("first_text"))
+        gone = gone.unionByName(heads.join(first, "group_id").where("text_id <> first_text").select("doc_id", "text_id"))
+    gone = gone.distinct().select(F.col("doc_id").alias(going), F.col("text_id").alias(going_text))
+    left = docs.join(gone, F.col(id_col).eqNullSafe(F.col(going)) & (F.xxhash64(text_col) == F.col(going_text)), "left_anti")
+    if unique:
         return left
-    return left.where(F.col(id_col).isNull()).unionByName(left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
+    once = left.where(F.col(id_col).isNotNull()).withColumn(text_id, F.xxhash64(text_col)).dropDuplicates([id_col, text_id]).drop(text_id)
+    return left.where(F.col(id_col).isNull()).unionByName(once)

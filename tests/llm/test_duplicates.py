@@ -74,6 +74,20 @@ def test_join_edges(spark):
     assert len(ids) == len(set(ids)) and 3 in ids and not {130, 131, 132} & set(ids) and 100 in ids and not {101, 107} & set(ids)
 
 
+def test_one_of_each_group_with_odd_ids(spark):
+    rows = [
+        (1, "a b c"), (None, "a  b c"), (None, "a b c"),  # null ids go where their group has an id
+        (None, "d e f"), (None, "d  e f"),  # and stay where it has none
+        (2, "g h i"), (2, "j k l"), (3, "g  h i"),  # a clean text of a shared id stays
+        (4, "a\tb c"), (4, "m n o"), (4, "m n o"),  # one text of an id goes, the other stays once
+        (5, "p q r"), (5, "p  q r"),  # one of two near copies of one id stays
+        (6, None), (None, None),
+    ]
+    left = [tuple(r) for r in jaccard_join.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sum(i == 5 for i, _ in left) == 1 and set(left) <= set(rows)
+    assert sorted(map(str, (r for r in left if r[0] != 5))) == sorted(map(str, [rows[0], rows[3], rows[4], rows[5], rows[6], rows[9], rows[13], rows[14]]))
+
+
 def test_tiles_agree_with_one_block(spark, monkeypatch):
     docs = crowd(spark)
     whole = jaccard_join.near_duplicates(docs)
