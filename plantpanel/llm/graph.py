@@ -16,6 +16,8 @@ def components(links: DataFrame, max_rounds: int = 40) -> DataFrame:
     neighbour it knows, until nothing changes; the number of rounds grows with
     the logarithm of the longest chain.  Each round is written to the shared
     folder, so the plan stays short and lost executors cost one round at most.
+    Links that have not settled after ``max_rounds`` (chains of some 2**40 nodes)
+    raise an error.
     """
     now = settled(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
@@ -33,4 +35,6 @@ def components(links: DataFrame, max_rounds: int = 40) -> DataFrame:
         if mark == before:
             break
         before = mark
+    else:
+        raise RuntimeError(f"links have not settled after {max_rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -8,8 +8,11 @@ their sets' Jaccard similarity reaches the threshold.
   decided by a hash of node and token, so similar sets follow common tokens
   and meet.  Nodes with few sets are compared at once on small sketches; nodes
   with many are split further, and what the last level leaves together counts
-  as candidates unseen.  A set's paths depend on nothing but the set, so no
-  step needs more than one level's meetings.
+  as candidates unseen (this costs comparisons, never a link).
+* Who walks on: a partner at the threshold lacks at most (1 - threshold) of a
+  set's tokens.  So a set of whose m first steps s ended in small nodes meets
+  it there with probability 1 - exp(-(s - (1 - threshold) * m)) at least; only
+  sets for which this misses the target recall walk below their large nodes.
 * Links: candidates form clusters, and inside a cluster *all* pairs are
   compared exactly, tile by tile.  So the walk need only connect a cluster
   somewhere, no partner is capped, and large groups spread over many tasks
@@ -34,8 +37,9 @@ SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 #: Chance that a pair at the threshold meets in at least one run.
 TARGET_RECALL = 0.9999
-#: Chance that it meets in one run (a critical branching walk of three levels).
-RUN_RECALL = 0.45
+#: Chance that it meets in one run of three levels at worst: one set holds the other, which
+#: leaves one common step on average at each level (0.632, 0.469, 0.374 after one, two, three).
+RUN_RECALL = 0.37
 LEVELS = 3
 #: Sets that a node may hold to be compared at once.
 SMALL_NODE = 128
@@ -43,8 +47,9 @@ SMALL_NODE = 128
 BUCKET_ROWS = 20_000
 #: How far below the threshold a sketch estimate may fall (four standard errors).
 SKETCH_MARGIN = 0.17
-#: Sets on one side of a tile.
+#: Sets, and tokens in all, on one side of a tile (a larger set is a side by itself).
 TILE = 2048
+TILE_TOKENS = 1 << 22
 #: Texts to gather are broadcast by hash up to this many (8 bytes each); beyond it they are joined by shuffling.
 BROADCAST_CLASSES = 2_000_000
 _TOKEN_BITS = 52
@@ -97,28 +102,41 @@ def _sets(batch_ids: pa.Array, column: pa.Array, size: int) -> Iterator[tuple[in
             yield i + a, i + b, docs, tokens, key
 
 
-def paths(docs: np.ndarray, tokens: np.ndarray, n: int, runs: int, threshold: float) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(level, text, parent node, node) arrays of the chosen paths of each set."""
+def limits(counts: np.ndarray, threshold: float) -> np.ndarray:
+    """The hash below which a set of so many tokens follows a token."""
+    return np.minimum(2.0**64 / (threshold * np.maximum(counts, 1)), 2.0**64 - 2048).astype(np.uint64)
+
+
+def first_steps(docs: np.ndarray, tokens: np.ndarray, n: int, runs: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(text, node) of the first steps of each set in all runs, by text."""
+    # One hash serves two runs: its halves are drawn apart.
+    limit = np.repeat(limits(tk.per_text(docs, n), threshold) >> np.uint64(32), tk.per_text(docs, n)).astype(np.uint32)
+    owners, nodes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for pair, root in enumerate(tk.mix(np.arange(1, (runs + 1) // 2 + 1, dtype=np.uint64))):
+        h = tk.mix(tokens * _K ^ root)
+        for half in range(min(2, runs - 2 * pair)):
+            taken = np.flatnonzero((h >> np.uint64(32) if half else h).astype(np.uint32) < limit)
+            owners.append(docs[taken])
+            nodes.append(tk.mix(root + np.uint64(half + 1) + tokens[taken] * _K))
+    owner, node = np.concatenate(owners), np.concatenate(nodes)
+    order = np.argsort(owner, kind="stable")
+    return owner[order], node[order]
+
+
+def next_steps(docs: np.ndarray, tokens: np.ndarray, n: int, owner: np.ndarray, node: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, parent, node) of the steps that sets take from the nodes where they are."""
     counts = tk.per_text(docs, n)
-    begin = np.cumsum(counts) - counts
-    limit = np.minimum(2.0**64 / (threshold * np.maximum(counts, 1)), 2.0**64 - 2048).astype(np.uint64)
-    out = []
-    owner, node = np.repeat(np.flatnonzero(counts), runs), np.tile(tk.mix(np.arange(1, runs + 1, dtype=np.uint64)), int((counts > 0).sum()))
-    for level in range(1, LEVELS + 1):
-        owners, parents, nodes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-        for a, b in _slices(counts[owner]):
-            size = counts[owner[a:b]]
-            at = np.repeat(begin[owner[a:b]] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-            up = np.repeat(node[a:b], size)
-            h = tk.mix(tokens[at] * _K ^ up)
-            who = np.repeat(owner[a:b], size)
-            taken = h < limit[who]
-            owners.append(who[taken])
-            parents.append(up[taken])
-            nodes.append(tk.mix(up[taken] + tokens[at[taken]] * _K))
-        owner, parent, node = np.concatenate(owners), np.concatenate(parents), np.concatenate(nodes)
-        out.append((level, owner, parent, node))
-    return out
+    begin, limit = np.cumsum(counts) - counts, limits(counts, threshold)
+    owners, parents, nodes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    for a, b in _slices(counts[owner]):
+        size = counts[owner[a:b]]
+        at = np.repeat(begin[owner[a:b]] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        up, who = np.repeat(node[a:b], size), np.repeat(owner[a:b], size)
+        taken = tk.mix(tokens[at] * _K ^ up) < limit[who]
+        owners.append(who[taken])
+        parents.append(up[taken])
+        nodes.append(tk.mix(up[taken] + tokens[at[taken]] * _K))
+    return np.concatenate(owners), np.concatenate(parents), np.concatenate(nodes)
 
 
 def _slices(sizes: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
@@ -270,7 +288,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     kind = docs.schema[id_col].dataType.simpleString()
     runs = max(1, math.ceil(math.log(1 - target_recall) / math.log(1 - RUN_RECALL)))
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -279,7 +297,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key, mask=key == 0), batch.column(2)], ["doc_id", "cid", "copy"])
 
     # One narrow row for each document; texts are told apart by their hash.
-    members = settled(slim.select("doc_id", "text", F.xxhash64("text").alias("copy")).mapInArrow(keys, "doc_id long, cid long, copy long"))
+    members = settled(slim.select("doc_id", "text", F.xxhash64("text").alias("copy")).mapInArrow(keys, f"doc_id {kind}, cid long, copy long"))
     texts = members.where("cid IS NOT NULL").groupBy("cid", "copy").agg(F.min("doc_id").alias("least"))
     # One text of each class stands for its set.
     classes = settled(texts.groupBy("cid").agg(F.count("*").alias("w"), F.min("least").alias("least"), F.min("copy").alias("copy")))
@@ -294,50 +312,41 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 keep = lead[owner]
                 owner, tokens = owner[keep], tokens[keep]
                 used, bit = sketches(owner, tokens, j - i)
-                steps = paths(owner, tokens, j - i, runs, threshold)
-                size = tk.per_text(owner, j - i)
-                who = np.flatnonzero(lead)
-                cols: dict[str, pa.Array] = {"cid": pa.array(key[who].view(np.int64)), "size": pa.array(size[who]), "used": pa.array([used[k].tobytes() for k in who], pa.binary()), "bit": pa.array([bit[k].tobytes() for k in who], pa.binary())}
-                for level, at, parent, node in steps:
-                    order = np.argsort(at, kind="stable")
-                    ends = np.searchsorted(at[order], who, side="right")
-                    starts = np.searchsorted(at[order], who, side="left")
-                    for name, values in (("parent", parent), ("node", node)):
-                        v = values[order].view(np.int64)
-                        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, ends[-1] if len(ends) else 0), pa.int32()), pa.array(v))
-                        cols[f"{name}{level}"] = lists
-                yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
-
-    steps_ddl = ", ".join(f"parent{k} array<long>, node{k} array<long>" for k in range(1, LEVELS + 1))
-    walked = slim.mapInArrow(walk, f"cid long, size long, used binary, bit binary, {steps_ddl}")
+                at, node = first_steps(owner, tokens, j - i, runs, threshold)
+                size, who = tk.per_text(owner, j - i), np.flatnonzero(lead)
+                nodes = pa.ListArray.from_arrays(_list_offsets(at, who), pa.array(node.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[who].view(np.int64)), pa.array(size[who]), pa.array([used[k].tobytes() for k in who], pa.binary()), pa.array([bit[k].tobytes() for k in who], pa.binary()), nodes],
+                    ["cid", "size", "used", "bit", "nodes"],
+                )
+
+    walked = slim.mapInArrow(walk, "cid long, size long, used binary, bit binary, nodes array<long>")
     # Copies in different chunks have walked alike: one row for each class stays.
     info = settled(walked.dropDuplicates(["cid"]))
 
-    found = []
-    large = None
-    for level in range(1, LEVELS + 1):
-        rows = info.select("cid", F.explode(F.arrays_zip(F.col(f"parent{level}").alias("parent"), F.col(f"node{level}").alias("node"))).alias("s"))
-        rows = rows.select("cid", F.col("s.parent").alias("parent"), F.col("s.node").alias("node"))
-        if large is not None:
-            rows = rows.join(large.select(F.col("node").alias("parent")), "parent", "left_semi")
-        rows = rows.select("cid", "node").distinct() if level > 1 else rows.select("cid", "node")
+    def meet(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Sets that are not alone at a node, and the candidates of small nodes."""
         sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("cid").alias("least")).where("n > 1")
         met = settled(rows.join(sizes, "node"))
         few = met.where(F.col("n") <= SMALL_NODE).select("node", "cid")
         buckets = max(1, math.ceil(few.count() / BUCKET_ROWS))
         small = few.join(info.select("cid", "size", "used", "bit"), "cid").withColumn("bucket", F.pmod(F.xxhash64("node"), F.lit(buckets)))
-        found.append(small.groupBy("bucket").applyInArrow(lambda t: compare_small(t, threshold), "a long, b long"))
-        large = settled(met.where(F.col("n") > SMALL_NODE).select("node").distinct())
-        if level == LEVELS:
-            found.append(met.where(F.col("n") > SMALL_NODE).select(F.col("cid").alias("a"), F.col("least").alias("b")))
-        elif large.isEmpty():
-            break
-    candidates = found[0]
-    for more in found[1:]:
-        candidates = candidates.unionByName(more)
+        return met.where(F.col("n") > SMALL_NODE), small.groupBy("bucket").applyInArrow(lambda t: compare_small(t, threshold), "a long, b long")
+
+    many, candidates = meet(info.select("cid", F.explode("nodes").alias("node")))
+    missed = -math.log(1 - target_recall)
+    parents = many.groupBy("cid").agg(F.count("*").alias("n_large"), F.collect_list("node").alias("parents"))
+    deep = info.select("cid", F.size("nodes").alias("m")).join(parents, "cid")
+    deep = settled(deep.where(F.col("m") - F.col("n_large") - (1 - threshold) * F.col("m") < missed).select("cid", "parents"))
+    if not deep.isEmpty():
+        steps = settled(_deep_steps(slim, classes, deep, shingle_words, threshold))
+        second, more = meet(steps.where("level = 2").select("cid", "node").distinct())
+        third = steps.where("level = 3").join(second.select("cid", F.col("node").alias("parent")), ["cid", "parent"], "left_semi")
+        last, still_more = meet(third.select("cid", "node").distinct())
+        candidates = candidates.unionByName(more).unionByName(still_more).unionByName(last.select(F.col("cid").alias("a"), F.col("least").alias("b")))
     clusters = settled(components(candidates.distinct()))
 
-    links, roots = _exact(slim, clusters, classes, shingle_words, threshold)
+    links, roots = _exact(slim, clusters, classes, info, shingle_words, threshold)
     groups = components(roots)
     named = classes.join(groups, classes["cid"] == groups["node"], "left").select("cid", "w", "least", F.coalesce("component", "cid").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("class_id"))
@@ -347,20 +356,48 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         .select("cid", "component", "class_id", F.col("least").alias("copy_id"), (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"))
     )
     return members.join(by_class, "cid", "left").select(
-        F.col("doc_id").cast(kind).alias("doc_id"),
-        F.coalesce("class_id", "doc_id").cast(kind).alias("class_id"),
-        F.coalesce("copy_id", "doc_id").cast(kind).alias("copy_id"),
+        "doc_id",
+        F.coalesce("class_id", "doc_id").alias("class_id"),
+        F.coalesce("copy_id", "doc_id").alias("copy_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         *[F.col("copy").alias("text_id"), F.col("component").alias("group_id")] * with_keys,
     )
 
 
-def _exact(slim: DataFrame, clusters: DataFrame, classes: DataFrame, shingle_words: int, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """All pairs inside the clusters, in tiles: (cid, links) and the links' spanning forest."""
-    wanted = clusters.select(F.col("node").alias("cid")).join(classes.select("cid", F.col("copy").alias("wanted")), "cid").select("wanted")
+def _list_offsets(at: np.ndarray, who: np.ndarray) -> pa.Array:
+    """Offsets of the lists of some texts, from the sorted text of each entry (others have none)."""
+    return pa.array(np.append(np.searchsorted(at, who), len(at)), pa.int32())
+
+
+def _texts_of(slim: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The documents whose text has a wanted hash."""
     if wanted.count() <= BROADCAST_CLASSES:
         wanted = F.broadcast(wanted)
-    texts = slim.join(wanted, F.xxhash64("text") == F.col("wanted"), "left_semi")
+    return slim.join(wanted, F.xxhash64("text") == F.col("wanted"), "left_semi")
+
+
+def _deep_steps(slim: DataFrame, classes: DataFrame, deep: DataFrame, shingle_words: int, threshold: float) -> DataFrame:
+    """(cid, level, parent, node) of the second and third steps of sets below their large nodes."""
+    named = settled(deep.join(classes.select("cid", "copy"), "cid"))
+    texts = _texts_of(slim, named.select(F.col("copy").alias("wanted"))).select(F.xxhash64("text").alias("copy"), "text").dropDuplicates(["copy"])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, docs, tokens, _ in _sets(batch.column(0), batch.column(1), shingle_words):
+                parents = batch.column(2).slice(i, j - i)
+                owner = np.repeat(np.arange(j - i), parents.value_lengths().to_numpy())
+                node = parents.flatten().to_numpy().view(np.uint64)
+                for level in (2, 3):
+                    owner, parent, node = next_steps(docs, tokens, j - i, owner, node, threshold)
+                    ids = batch.column(0).slice(i, j - i).take(pa.array(owner))
+                    yield pa.RecordBatch.from_arrays([ids, pa.array(np.full(len(owner), level, np.int32)), pa.array(parent.view(np.int64)), pa.array(node.view(np.int64))], ["cid", "level", "parent", "node"])
+
+    return texts.join(named, "copy").select("cid", "text", "parents").mapInArrow(walk, "cid long, level int, parent long, node long")
+
+
+def _exact(slim: DataFrame, clusters: DataFrame, classes: DataFrame, info: DataFrame, shingle_words: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """All pairs inside the clusters, in tiles: (cid, links) and the links' spanning forest."""
+    texts = _texts_of(slim, clusters.select(F.col("node").alias("cid")).join(classes.select("cid", F.col("copy").alias("wanted")), "cid").select("wanted"))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -372,12 +409,14 @@ def _exact(slim: DataFrame, clusters: DataFrame, classes: DataFrame, shingle_wor
                 yield pa.RecordBatch.from_arrays([pa.array(key[some]), pa.array([tokens[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())], ["cid", "tokens"])
 
     sets = texts.mapInArrow(gather, "cid long, tokens binary").dropDuplicates(["cid"])
-    sizes = clusters.groupBy("component").agg(F.count("*").alias("n"))
-    placed = clusters.join(sizes, "component").select(
-        F.col("node").alias("cid"), "component",
-        F.ceil(F.col("n") / TILE).cast("int").alias("blocks"),
-        F.pmod(F.xxhash64(F.lit(3), "node"), F.ceil(F.col("n") / TILE)).cast("int").alias("block"),
-    )
+    # Only clusters of several blocks are listed: at most one for TILE sets or TILE_TOKENS tokens of the corpus.
+    sized = clusters.join(info.select(F.col("cid").alias("node"), "size"), "node")
+    blocks = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("size") / TILE_TOKENS)).cast("int")
+    several = settled(sized.groupBy("component").agg(blocks.alias("several")).where("several > 1"))
+    if several.count() <= BROADCAST_CLASSES:
+        several = F.broadcast(several)
+    placed = clusters.join(several, "component", "left").select(F.col("node").alias("cid"), "component", F.coalesce("several", F.lit(1)).alias("blocks"))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64(F.lit(3), "cid"), "blocks").cast("int"))
     rows = sets.join(placed, "cid").join(classes.select("cid", "w"), "cid")
 
     def pack(table: pa.Table) -> pa.Table:

@@ -96,6 +96,42 @@ def test_tiles_agree_with_one_block(spark, monkeypatch):
     assert same(jaccard_join.near_duplicates(docs), whole)
 
 
+def test_all_large_nodes_walk_on(spark, monkeypatch):
+    """With every shared node large, the deeper steps alone must find the groups."""
+    monkeypatch.setattr(jaccard_join, "SMALL_NODE", 1)
+    docs = crowd(spark, 60)
+    want = brute_join(docs)
+    by_id = defaultdict(set)
+    for (i, _), v in want.items():
+        by_id[i].add(v)
+    for r in jaccard_join.near_duplicates(docs).collect():
+        assert (r["class_id"], r["n_links"]) in by_id[r["doc_id"]], r
+
+
+@pytest.mark.parametrize(("left", "right", "common"), [(80, 100, 80), (90, 90, 80), (400, 500, 400)])
+def test_walks_meet_as_often_as_stated(left, right, common):
+    """Pairs at the threshold, contained ones too: share of runs that meet after one and after three levels."""
+    rng = np.random.default_rng(5)
+    pairs, runs = 150, 20
+    tokens = rng.integers(0, 1 << 52, pairs * (left + right - common), dtype=np.uint64).reshape(pairs, -1)
+    sets = [np.sort(np.concatenate([t[:common], t[common:left]])) if k == 0 else np.sort(np.concatenate([t[:common], t[left:]])) for t in tokens for k in (0, 1)]
+    docs, flat = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.concatenate(sets)
+    owner, node = jaccard_join.first_steps(docs, flat, len(sets), runs, 0.8)
+    mean = np.bincount(owner, minlength=len(sets)) / runs
+    assert mean.mean() == pytest.approx(1.25, rel=0.05)
+    met = lambda owner, node: [len(np.intersect1d(node[owner == 2 * k], node[owner == 2 * k + 1])) > 0 for k in range(pairs)]
+    assert np.mean(met(owner, node)) > 0.99
+    for _ in range(2):
+        owner, _, node = jaccard_join.next_steps(docs, flat, len(sets), owner, node, 0.8)
+    assert np.mean(met(owner, node)) > 0.99
+
+
+def test_string_ids(spark):
+    docs = corpus(spark).where("doc_id IS NOT NULL").withColumn("doc_id", F.format_string("d%05d", "doc_id"))
+    numbers = {f"d{r['doc_id']:05d}": (f"d{r['class_id']:05d}", r["n_links"]) for r in jaccard_join.near_duplicates(corpus(spark).where("doc_id IS NOT NULL")).collect()}
+    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_join.near_duplicates(docs).collect()} == numbers
+
+
 def test_components(spark):
     rng = random.Random(1)
     pairs = [(i, i + 1) for i in range(60)] + [(rng.randrange(100, 160), rng.randrange(100, 160)) for _ in range(40)]
