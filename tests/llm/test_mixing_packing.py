@@ -205,3 +205,31 @@ def test_best_fit_takes_the_tightest_bin():
         assert (free.get(number, 100) == min(fitting)) if fitting else number not in free
         assert offset == 100 - free.get(number, 100)
         free[number] = free.get(number, 100) - n
+
+
+def test_the_limit_of_open_bins_binds():
+    """At production parameters pieces arrive in any order, bins close as the fullest, and little room is lost."""
+    rng = random.Random(8)
+    lengths = [min(2047, int(rng.lognormvariate(6.3, 0.8)) + 1) for _ in range(packing.GROUP_PIECES)]
+    bins = packing.OpenBins(packing.SEQUENCE_TOKENS, packing.OPEN_BINS)
+    for n in lengths:
+        bins.place(n)
+    assert bins.n_closed > 0 and bins.n_open <= packing.OPEN_BINS
+    assert bins.n_bins <= 1.02 * sum(lengths) / packing.SEQUENCE_TOKENS
+
+
+def test_rows_repeated_very_often_spread_over_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "REPEATS", 10)
+    pieces = spark.createDataFrame([(1, 0, 0, 300, 7)] * 200 + [(k, 0, 0, 100 + k, k) for k in range(2, 40)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = packing.pack_best_fit(pieces, group_pieces=20).collect()
+    assert len(rows) == 238
+    assert len({r["sequence_id"] >> 32 for r in rows if r["doc_id"] == 1}) > 3
+    spans = defaultdict(list)
+    for r in rows:
+        spans[r["sequence_id"]].append((r["offset"], r["length"]))
+    for one in spans.values():
+        at = 0
+        for offset, n in sorted(one):
+            assert offset == at
+            at += n
+        assert at <= packing.SEQUENCE_TOKENS
