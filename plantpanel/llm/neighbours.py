@@ -2,10 +2,11 @@
 
 Every vector, less the centre, is rotated at random and kept as the signs of
 its coordinates plus two correction scalars: its length and the code's own
-inner product with the unit vector.  The inner product with a query is then
-estimated from packed bits, with an error bound that holds with high
-probability; only vectors whose bound reaches the best ones found are reranked
-with their original values.
+inner product with the unit vector.  A rotated query is cut into ``QUERY_BITS``
+bit planes, so its inner product with a code is a sum of bit counts over packed
+words, and with the scalars it estimates the inner product of the originals
+within a bound that holds with high probability.  Only vectors whose bound
+reaches the best ones found are reranked with their original values.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 from .common import settled
 
 #: Vectors in a base block and queries in a query block.
-BLOCK_VECTORS = 8192
-BLOCK_QUERIES = 1024
+BLOCK_VECTORS = 4096
+BLOCK_QUERIES = 2048
+#: Bits of a rotated query's coordinates.
+QUERY_BITS = 4
 #: Width of the error bound in standard errors.
 BOUND = 2.5
 #: Bound of the sample that the centre is fitted on.
@@ -36,27 +39,54 @@ def rotation(dim: int, seed: int = 41) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def packed_words(signs: np.ndarray) -> np.ndarray:
+    """Rows of bits as 64-bit words, filled up with zeros."""
+    raw = np.packbits(signs, axis=1)
+    full = np.zeros((len(raw), (raw.shape[1] + 7) // 8 * 8), dtype=np.uint8)
+    full[:, : raw.shape[1]] = raw
+    return full.view(np.uint64)
+
+
 def encode(vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Packed sign bits, residual lengths, and code-vector inner products."""
     rest = (vectors - centre) @ turn.T
     length = np.sqrt((rest * rest).sum(axis=1))
     signs = rest >= 0
     own = np.where(length > 0, np.abs(rest).sum(axis=1) / np.maximum(length, 1e-300) / math.sqrt(vectors.shape[1]), 1.0)
-    return np.packbits(signs, axis=1), length, own
-
-
-def estimate(bits: np.ndarray, length: np.ndarray, own: np.ndarray, queries: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products (queries x vectors) and their error bounds."""
-    dim = queries.shape[1]
-    turned = (queries @ turn.T).astype(np.float32)
-    codes = np.unpackbits(bits, axis=1, count=dim).astype(np.float32) * 2 - 1
-    scale = (length / own / math.sqrt(dim)).astype(np.float32)
-    about = turned @ codes.T
-    about *= scale
-    about += (queries @ centre)[:, None].astype(np.float32)
+    return packed_words(signs), length, own
+
+
+class Query:
+    """One query against packed codes."""
+
+    def __init__(self, query: np.ndarray, centre: np.ndarray, turn: np.ndarray, bits: int = QUERY_BITS):
+        turned = turn @ query
+        self.low = float(turned.min())
+        self.step = max((float(turned.max()) - self.low) / ((1 << bits) - 1), 1e-300)
+        level = np.rint((turned - self.low) / self.step).astype(np.int64)
+        self.total = int(level.sum())
+        self.planes = [packed_words((level >> k & 1 > 0)[None, :])[0] for k in range(bits)]
+        self.shift, self.length, self.dim = float(query @ centre), float(np.sqrt(query @ query)), len(query)
+
+    def estimate(self, words: np.ndarray, ones: np.ndarray, scale: np.ndarray, spread: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Estimated inner products with the vectors of the codes, and their error bounds.
+
+        ``ones`` counts the bits of each code; ``scale`` and ``spread`` come from its two scalars.
+        """
+        common = np.zeros(len(words), dtype=np.int32)
+        for k, plane in enumerate(self.planes):
+            for column, word in zip(words.T, plane):
+                common += np.bitwise_count(column & word).astype(np.int32) << k
+        # Code entries are +1 and -1: twice what the ones have less what all have.
+        inner = self.step * (2 * common - self.total) + self.low * (2 * ones - self.dim)
+        rounding = self.step * math.sqrt(self.dim / 12)
+        return inner * scale + self.shift, BOUND * (self.length * spread + rounding * scale)
+
+
+def scalars(words: np.ndarray, length: np.ndarray, own: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bit counts of codes, factors of their estimates, and standard errors for a query of length 1."""
     spread = length * np.sqrt(np.maximum(1 - own * own, 0)) / own / math.sqrt(max(dim - 1, 1))
-    q_length = np.sqrt((queries * queries).sum(axis=1))
-    return about, (BOUND * q_length[:, None] * spread).astype(np.float32)
+    return np.bitwise_count(words).sum(axis=1, dtype=np.int64), length / own / math.sqrt(dim), spread
 
 
 def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -64,26 +94,33 @@ def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.add.accumulate(vectors * query, axis=1)[:, -1]
 
 
-def search_block(q_ids, queries, ids, vectors, bits, length, own, centre, turn, k):
+def best_of(ids: np.ndarray, score: np.ndarray, k: int, slack: float) -> np.ndarray:
+    """Entries among the k largest, or within ``slack`` of them."""
+    if len(ids) <= k:
+        return np.arange(len(ids))
+    return np.flatnonzero(score >= np.partition(score, len(ids) - k)[len(ids) - k] - slack)
+
+
+def search_block(q_ids, queries, ids, vectors, words, length, own, centre, turn, k):
     """The k nearest of one block for each query, by bound-guided reranking."""
-    about, bound = estimate(bits, length, own, queries, centre, turn)
-    low = about - bound
-    high = about
-    high += bound
+    ones, scale, spread = scalars(words, length, own, queries.shape[1])
     out = []
-    for i in range(len(queries)):
-        if len(ids) > k + 1:  # one more than k: the query itself may be among them
-            floor = np.partition(low[i], len(ids) - k - 1)[len(ids) - k - 1]
-            at = np.flatnonzero(high[i] >= floor)
-        else:
-            at = np.arange(len(ids))
-        at = at[ids[at] != q_ids[i]]
-        score = exact(vectors[at], queries[i])
-        if len(at) > k:
-            best = np.flatnonzero(score >= np.partition(score, len(at) - k)[len(at) - k])
-            at, score = at[best], score[best]
+    for q_id, v in zip(q_ids, queries):
+        query = Query(v, centre, turn)
+        about, bound = query.estimate(words, ones, scale, spread)
+        about[ids == q_id] = -np.inf  # a query is no candidate of its own
+        # The vectors that look nearest set the floor; those whose bound reaches it are reranked.
+        first = best_of(ids, about, k, 0.0)
+        first = first[np.isfinite(about[first])]
+        floor = np.partition(vectors[first] @ v, len(first) - k)[len(first) - k] if len(first) >= k else -np.inf
+        slack = 1e-9 * query.length * (float(length.max()) + float(np.linalg.norm(centre)))
+        near = about + bound >= floor - slack
+        near[first] = True
+        at = np.flatnonzero(near & (about > -np.inf))
+        at = at[best_of(at, vectors[at] @ v, k, slack)]
+        score = exact(vectors[at], v)
         order = np.lexsort((ids[at], -score))[:k]
-        out.append((np.full(len(order), q_ids[i]), ids[at[order]], score[order]))
+        out.append((np.full(len(order), q_id), ids[at[order]], score[order]))
     return [np.concatenate(x) for x in zip(*out)]
 
 
@@ -103,11 +140,17 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
     the same id and values count once; nearest first, ties to the smaller id;
     an empty table gives no rows; other columns are ignored.
 
-    Query blocks meet base blocks by an equi-join on the block number; each
-    meeting emits at most k rows for each query.
+    Every meeting of a query block and a base block is a key of its own in an
+    equi-join, so work spreads by blocks of both, and emits at most k rows for
+    each query.  Original vectors travel with their codes, in the table's own
+    precision: of a block of queries some have almost every vector as a
+    candidate, so fetching candidates afterwards would move them all the same.
+    Ids must be whole numbers, since queries are told by division.
     """
     spark = vectors.sparkSession
-    slim = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    single = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
+    real = np.float32 if single else np.float64
+    slim = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(f"array<{'float' if single else 'double'}>").alias("v"))
     slim = slim.where(F.col("id").isNotNull()).where(usable(F.col("v")))
     sizes = slim.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     schema = "query_id long, rank int, vec_id long, score double"
@@ -127,8 +170,8 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre, turn = shared.value
         for batch in batches:
-            v = np.asarray(batch.column(1).flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(-1, dim)
-            bits, length, own = encode(v, centre, turn)
+            v = np.asarray(batch.column(1).flatten().to_numpy(zero_copy_only=False), dtype=real).reshape(-1, dim)
+            bits, length, own = encode(v.astype(np.float64), centre, turn)
             raw = [pa.array([row.tobytes() for row in x], pa.binary()) for x in (v, bits)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *raw, pa.array(length), pa.array(own)], ["id", "v", "bits", "length", "own"])
 
@@ -152,17 +195,22 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
     q_blocks = max(1, math.ceil(asked.count() / block_queries))
     queries = blocks(asked.select("id", "v"), q_blocks, ["v"], "q")
     base = blocks(index, n_blocks, ["v", "bits", "length", "own"], "b")
-    pairs = base.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))).join(queries, "q")
+
+    def each(number: int) -> F.Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(number - 1)))
+
+    pairs = base.withColumn("q", each(q_blocks)).join(queries.withColumn("b", each(n_blocks)).hint("shuffle_hash"), ["q", "b"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre, turn = shared.value
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = {c: batch.column(i)[at].as_py() for i, c in enumerate(batch.schema.names)}
                 ids = np.frombuffer(row["b_ids"], np.int64)
                 found = search_block(
-                    np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["q_v"], np.float64).reshape(-1, dim),
-                    ids, np.frombuffer(row["b_v"], np.float64).reshape(-1, dim),
-                    np.frombuffer(row["b_bits"], np.uint8).reshape(len(ids), -1),
+                    np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["q_v"], real).reshape(-1, dim).astype(np.float64),
+                    ids, np.frombuffer(row["b_v"], real).reshape(-1, dim).astype(np.float64),
+                    np.frombuffer(row["b_bits"], np.uint64).reshape(len(ids), -1),
                     np.frombuffer(row["b_length"], np.float64), np.frombuffer(row["b_own"], np.float64), centre, turn, k,
                 )
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["query_id", "vec_id", "score"])

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 import corpus_pipeline
 from plantpanel.llm import neighbours, registry
@@ -48,12 +49,32 @@ def test_few_vectors(spark):
     assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in rows] == [(0, 1, 1, 1.0), (0, 2, 2, 0.5)]
 
 
-def test_error_bound_holds():
+@pytest.mark.parametrize("dim", [64, 100])
+def test_error_bound_holds(dim):
     rng = np.random.default_rng(4)
-    v, q = rng.normal(size=(3000, 64)), rng.normal(size=(20, 64))
-    centre, turn = v.mean(axis=0), neighbours.rotation(64)
-    about, bound = neighbours.estimate(*neighbours.encode(v, centre, turn), q, centre, turn)
-    assert np.mean(np.abs(about - q @ v.T) <= bound) > 0.97
+    v, q = rng.normal(size=(3000, dim)), rng.normal(size=(20, dim))
+    centre, turn = v.mean(axis=0), neighbours.rotation(dim)
+    words, length, own = neighbours.encode(v, centre, turn)
+    parts = neighbours.scalars(words, length, own, dim)
+    off = []
+    for x in q:
+        about, bound = neighbours.Query(x, centre, turn).estimate(words, *parts)
+        off.append(np.abs(about - v @ x) <= bound)
+    assert np.mean(off) > 0.97
+
+
+def test_bit_counts_are_inner_products():
+    """The packed estimate equals the plain product of the code with the rounded query."""
+    rng = np.random.default_rng(6)
+    v, q = rng.normal(size=(50, 70)), rng.normal(size=70)
+    centre, turn = np.zeros(70), neighbours.rotation(70)
+    words, length, own = neighbours.encode(v, centre, turn)
+    query = neighbours.Query(q, centre, turn)
+    turned = turn @ q
+    rounded = np.rint((turned - turned.min()) / query.step) * query.step + turned.min()
+    codes = np.where(v @ turn.T >= 0, 1.0, -1.0)
+    about, _ = query.estimate(words, *neighbours.scalars(words, length, own, 70))
+    assert about == pytest.approx((codes @ rounded) * length / own / np.sqrt(70))
 
 
 def test_stages_keep_the_columns(spark, sf):
