@@ -1,13 +1,16 @@
 """Line dedup: passages of several lines that an earlier place of the corpus has.
 
-``dedup_passages`` finds every such passage, wherever it begins and ends: the
-least windows that could be a passage are joined by hash, one or two for every
-line, and go after a comparison of their bytes; windows that overlap make up
-longer passages, so nothing need be extended.
-
-``dedup_lines`` removes whole content-defined chunks only.  A rolling hash over
-the hashes of neighbouring lines chooses their boundaries, so they depend on
-nearby lines only and survive insertions elsewhere.
+Texts are cut into content-defined chunks: a rolling hash over the hashes of
+neighbouring lines chooses the boundaries, so they depend on nearby lines only
+and survive insertions elsewhere.  Chunks of several lines meet by their hash
+over the whole corpus, and those that repeat go after a comparison of their
+bytes.
+
+``dedup_lines`` does that and no more; what a passage has before its first and
+after its last boundary stays.  ``dedup_passages`` takes the seams along: next
+to the chunks, the least windows from and up to every line, hashed the same way,
+meet in the same join, so a repeated passage goes whole wherever it begins and
+ends, short ones without a boundary too.
 """
 
 from __future__ import annotations
@@ -36,6 +39,18 @@ BROADCAST_HASHES = 2_000_000
 WHITE = b" \t\n\v\f\r"
 
 
+def _cuts(h: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Whether a chunk ends with each line, from the hashes and texts of the lines with a word."""
+    rolling = np.zeros(len(h), dtype=np.uint64)
+    for k in range(WINDOW_LINES):
+        part = np.zeros(len(h), dtype=np.uint64)
+        same = np.arange(len(h)) >= k
+        part[k:] = h[: len(h) - k]
+        same[k:] &= docs[k:] == docs[: len(h) - k]
+        rolling = rolling * np.uint64(0x9E3779B97F4A7C15) + np.where(same, part, 0).astype(np.uint64)
+    return (tk.mix(rolling) >> np.uint64(32)) % np.uint64(MEAN_LINES) == 0
+
+
 def chunk_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Chunks of packed texts: text, start, end (newline included), lines, hash.
 
@@ -50,15 +65,7 @@ def chunk_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     hasher = tk.Hasher(data)
     f = np.flatnonzero(full)
     h, d = hasher.spans(starts[f], ends[f]), docs[f]
-    rolling = np.zeros(len(f), dtype=np.uint64)
-    for k in range(WINDOW_LINES):
-        part = np.zeros(len(f), dtype=np.uint64)
-        part[k:] = h[: len(f) - k] if k else h
-        part[:k] = 0
-        same = np.ones(len(f), dtype=bool)
-        same[k:] = d[k:] == d[: len(f) - k]
-        rolling = rolling * np.uint64(0x9E3779B97F4A7C15) + np.where(same, part, 0).astype(np.uint64)
-    cut = (tk.mix(rolling) >> np.uint64(32)) % np.uint64(MEAN_LINES) == 0
+    cut = _cuts(h, d)
     # A chunk begins with the first full line of a text and with a full line after a cut.
     begin = np.ones(len(f), dtype=bool)
     begin[1:] = cut[:-1] | (d[1:] != d[:-1])
@@ -84,20 +91,20 @@ def chunk_table(docs: DataFrame, with_bytes: bool) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
             known = np.asarray(batch.column(0).is_valid().to_numpy(zero_copy_only=False))
             data, offsets = tk.packed(batch.column(1))
             for i, _, part, at in tk.chunks(data, offsets):
                 doc, start, end, n_lines, h = chunk_lines(part, at)
                 h = h.view(np.int64)
                 keep = (n_lines >= MIN_LINES) & (end - start >= MIN_BYTES) & known[i + doc]
-                arrays = [pa.array(h[keep]), pa.array(ids[i + doc[keep]]), pa.array((start - at[doc])[keep])]
+                arrays = [pa.array(h[keep]), batch.column(0).take(pa.array(i + doc[keep])), pa.array((start - at[doc])[keep])]
                 if with_bytes:
                     raw = part.tobytes()
                     arrays.append(pa.array([raw[a:b].strip(WHITE) for a, b in zip(start[keep].tolist(), end[keep].tolist())], pa.binary()))
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return docs.select("doc_id", "text").mapInArrow(find, "h long, doc_id long, at long" + ", body binary" * with_bytes)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(find, f"h long, doc_id {kind}, at long" + ", body binary" * with_bytes)
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -111,7 +118,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     one id keep the same places.  A text may become empty.  White space around
     a chunk's words does not count in the comparison.
     """
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # Repeated hashes: narrow rows with map-side minima, whatever the chunk's size or number.
     place = F.struct("doc_id", "at")
     seen = chunk_table(slim, False).groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last"))
@@ -126,7 +133,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     counters = ["n_lines_removed", "n_chunks_removed", "n_bytes_removed"]
     kept = docs.drop(*counters)
-    joined = kept.join(gone.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col(going_id), "left").drop(going_id)
+    joined = kept.join(gone.hint("shuffle_hash"), F.col(id_col) == F.col(going_id), "left").drop(going_id)
     text_at, gone_at = joined.columns.index(text_col), len(joined.columns) - 1
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,27 +192,41 @@ def least_windows(docs: np.ndarray, begins: np.ndarray, stops: np.ndarray) -> tu
     return pairs // (n + 1), pairs % (n + 1)
 
 
+def content_chunks(h: np.ndarray, docs: np.ndarray, begins: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last line of the content-defined chunks that are long enough to go."""
+    n = len(h)
+    edge = np.ones(n + 1, dtype=bool)
+    edge[1:n] = _cuts(h, docs)[: n - 1] | (docs[1:] != docs[:-1]) if n else False
+    at = np.flatnonzero(edge)
+    first, last = at[:-1], at[1:] - 1
+    upto = np.concatenate([[0], np.cumsum(stops - begins + 1)])
+    long = (last - first + 1 >= MIN_LINES) & (upto[last + 1] - upto[first] - 1 >= MIN_BYTES)
+    return first[long], last[long]
+
+
 def window_table(slim: DataFrame, with_bytes: bool) -> DataFrame:
-    """(h, doc_id, text_id, at, stop[, body]) of every least window; white space around a line's words is left out."""
+    """(h, doc_id, text_id, at, stop[, body]) of every chunk and least window; white space around a line's words is left out."""
     names = ["h", "doc_id", "text_id", "at", "stop"] + ["body"] * with_bytes
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
             known = np.asarray(batch.column(0).is_valid().to_numpy(zero_copy_only=False))
             text_ids = batch.column(2).to_numpy(zero_copy_only=False)
             data, offsets = tk.packed(batch.column(1))
             for i, _, part, at in tk.chunks(data, offsets):
                 docs, _, begins, stops = full_lines(part, at)
-                a, b = least_windows(docs, begins, stops)
+                line = tk.Hasher(part).spans(begins, stops)
+                n = len(docs)
+                pairs = np.unique(np.concatenate([x * (n + 1) + y for x, y in (content_chunks(line, docs, begins, stops), least_windows(docs, begins, stops))]))
+                a, b = pairs // (n + 1), pairs % (n + 1)
                 keep = known[i + docs[a]]
                 a, b = a[keep], b[keep]
-                up, down = tk.powers(len(docs) + 1)
-                sums = np.zeros(len(docs) + 1, dtype=np.uint64)
-                np.cumsum(tk.Hasher(part).spans(begins, stops) * up[:-1], out=sums[1:])
+                up, down = tk.powers(n + 1)
+                sums = np.zeros(n + 1, dtype=np.uint64)
+                np.cumsum(line * up[:-1], out=sums[1:])
                 h = tk.mix((sums[b + 1] - sums[a]) * down[a] + (b - a + 1).astype(np.uint64)).view(np.int64)
                 d = docs[a]
-                arrays = [pa.array(x) for x in (h, ids[i + d], text_ids[i + d], begins[a] - at[d], stops[b] - at[d])]
+                arrays = [pa.array(h), batch.column(0).take(pa.array(i + d)), *(pa.array(x) for x in (text_ids[i + d], begins[a] - at[d], stops[b] - at[d]))]
                 if with_bytes:
                     raw = part.tobytes()
                     bodies = [raw[x:y] for x, y in zip(begins[a].tolist(), stops[b].tolist())]
@@ -216,10 +237,11 @@ def window_table(slim: DataFrame, with_bytes: bool) -> DataFrame:
                     arrays.append(pa.array(bodies, pa.binary()))
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return slim.mapInArrow(find, "h long, doc_id long, text_id long, at long, stop long" + ", body binary" * with_bytes)
+    kind = slim.schema["doc_id"].dataType.simpleString()
+    return slim.mapInArrow(find, f"h long, doc_id {kind}, text_id long, at long, stop long" + ", body binary" * with_bytes)
 
 
-def dedup_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", with_counters: bool = True) -> DataFrame:
     """Remove every passage of several lines that an earlier place of the corpus has.
 
     A passage is a run of at least ``MIN_LINES`` lines with a word, of at least
@@ -229,14 +251,15 @@ def dedup_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     Returns the input rows with the text shortened, and with the columns
     ``n_lines_removed``, ``n_chunks_removed`` (runs of lines that went) and
-    ``n_bytes_removed`` (columns of these names are replaced).  Null, empty and
-    one-line texts come back as they are; rows with a null id keep all and make
-    nothing go; rows repeated under one id keep the same lines, different texts
-    under one id are ordered by their hash.  A text may become empty.  Blank
+    ``n_bytes_removed`` (columns of these names are replaced; without
+    ``with_counters`` no column is).  Null, empty and one-line texts come back
+    as they are, very long ones are read whole; rows with a null id keep all and
+    make nothing go; rows repeated under one id keep the same lines, different
+    texts under one id are ordered by their hash; an empty table stays empty.  A text may become empty.  Blank
     lines go with the line before them; they and white space around a line's
     words do not count in the comparison.
     """
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_id"))
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_id"))
     # Repeated hashes: narrow rows with map-side minima, whatever the passage's size or number.
     place = F.struct("doc_id", "text_id", "at", "stop")
     seen = window_table(slim, False).groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last"))
@@ -250,9 +273,9 @@ def dedup_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     gone = later.join(firsts, "h").where("body = first_body").groupBy(F.col("doc_id").alias(going_id), F.col("text_id").alias(going_text))
     gone = gone.agg(F.collect_set(F.struct("at", "stop")).alias(going)).select(going_id, going_text, F.col(f"{going}.at").alias(going), F.col(f"{going}.stop").alias(f"{going}_stop"))
 
-    counters = ["n_lines_removed", "n_chunks_removed", "n_bytes_removed"]
+    counters = ["n_lines_removed", "n_chunks_removed", "n_bytes_removed"] if with_counters else []
     kept = docs.drop(*counters)
-    joined = kept.join(gone.hint("shuffle_hash"), (F.col(id_col).cast("long") == F.col(going_id)) & (F.xxhash64(text_col) == F.col(going_text)), "left").drop(going_id, going_text)
+    joined = kept.join(gone.hint("shuffle_hash"), (F.col(id_col) == F.col(going_id)) & (F.xxhash64(text_col) == F.col(going_text)), "left").drop(going_id, going_text)
     text_at, gone_at = joined.columns.index(text_col), len(joined.columns) - 2
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,7 +303,7 @@ def dedup_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 column = pc.if_else(column.is_valid(), text, pa.scalar(None, pa.string()))
             columns = list(batch.columns[:gone_at])
             columns[text_at] = column
-            yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, (n_lines, n_chunks, n_bytes))], [*batch.schema.names[:gone_at], *counters])
+            yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, (n_lines, n_chunks, n_bytes)[: len(counters)])], [*batch.schema.names[:gone_at], *counters])
 
     schema = T.StructType([*kept.schema.fields, *(T.StructField(c, T.LongType()) for c in counters)])
     return joined.mapInArrow(cut, schema)

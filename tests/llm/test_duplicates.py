@@ -321,3 +321,33 @@ def test_passages_of_texts_that_share_an_id(spark):
     rows = [(1, two), (2, two + "and more"), (2, "something of its own\nthat no other text has\nof all of them")]
     out = line_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == [(1, two), (2, "and more"), rows[2]]
+
+
+def test_passages_with_string_ids_and_clashing_counters(spark):
+    docs = passages(spark)
+    named = docs.withColumn("doc_id", F.format_string("d%05d", "doc_id")).withColumn("n_lines_removed", F.lit("mine"))
+    out = line_dedup.dedup_passages(named, with_counters=False)
+    assert out.columns == named.columns and {r["n_lines_removed"] for r in out.collect()} == {"mine"}
+    want = {f"d{r['doc_id']:05d}": r["text"] for r in line_dedup.dedup_passages(docs).collect()}
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == want
+    chunks = {f"d{r['doc_id']:05d}": r["text"] for r in line_dedup.dedup_lines(docs).collect()}
+    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(named).collect()} == chunks
+
+
+def test_boundaries_are_those_of_a_plain_loop():
+    rng = random.Random(21)
+    text = "\n".join(prose(rng, rng.randint(1, 9)).replace("\n", "") for _ in range(200)).encode()
+    data = np.frombuffer(text, np.uint8)
+    docs, _, begins, stops = line_dedup.full_lines(data, np.array([0, len(data)]))
+    h = tk.Hasher(data).spans(begins, stops)
+    want, first = [], 0
+    for k in range(len(h)):
+        rolled = 0
+        for j in range(line_dedup.WINDOW_LINES):
+            rolled = (rolled * 0x9E3779B97F4A7C15 + (int(h[k - j]) if k >= j else 0)) % 2**64
+        mixed = int(tk.mix(np.array([rolled], np.uint64))[0])
+        if (mixed >> 32) % line_dedup.MEAN_LINES == 0 or k == len(h) - 1:
+            if k > first and len(text[begins[first] : stops[k]]) >= line_dedup.MIN_BYTES:
+                want.append((first, k))
+            first = k + 1
+    assert list(zip(*(x.tolist() for x in line_dedup.content_chunks(h, docs, begins, stops)))) == want
