@@ -28,22 +28,42 @@ def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules, unchanged.
+
+    Null, empty and short texts go; repeated rows fare alike; an empty table
+    stays empty; other columns stay whatever their names.
+    """
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _measured(dedup_passages(docs), docs.columns)
+    """All documents, less the passages of lines that an earlier one has.
+
+    A null text stays null and a text may become empty; rows with a null id
+    lose nothing; ``n_chars``, if there, follows the text; other columns stay.
+    """
+    return _measured(dedup_passages(docs, with_counters=False), docs.columns)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, unchanged: the one with the smallest id.
+
+    Texts without a word are in no group and stay, as do rows with a null id
+    whose group has no id.
+    """
     return one_of_each_group(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often, and with as many of their words, as the mix takes them.
+
+    Texts without a word are not taken; a null source is a source of its own.
+    """
     return _measured(take_mix(docs), docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in sequences; a null text has its end token only."""
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -30,4 +30,3 @@ PROTECTED_SUBSTRINGS = ("フラグ",)
 #: Outcome columns, which may not explain outcomes.
 LEAKAGE_PREFIXES = ("defect", "repair", "has_repair")
 ID_COLUMNS = ("vin", "vin_base")
-MAX_COLUMNS = 200

@@ -6,7 +6,7 @@ import unicodedata
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..defaults import EXCLUDED, EXCLUDED_VALUES, OUT_OF_SCOPE, UNMATCHED
@@ -21,6 +21,22 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def load_mapping(spark: SparkSession, path: str) -> DataFrame:
+    """(value, category) from a CSV file in which lines that begin with # are comments.
+
+    Another header, empty cells and values that occur twice are refused.
+    """
+    table = spark.read.option("header", True).option("comment", "#").option("nullValue", "").csv(path)
+    if table.columns != ["value", "category"]:
+        raise ValueError(f"the header must be value,category, not {','.join(table.columns)}: {path}")
+    if not table.where("value IS NULL OR category IS NULL").isEmpty():
+        raise ValueError(f"the mapping has empty cells: {path}")
+    twice = table.groupBy("value").count().where("count > 1").orderBy("value").limit(20).collect()
+    if twice:
+        raise ValueError(f"values occur twice: {', '.join(r['value'] for r in twice)}: {path}")
+    return table
+
+
 def map_category(df: DataFrame, mapping: DataFrame, column: str, output: str) -> DataFrame:
     """value -> category; values without one keep their own trimmed text, null stays null."""
     table = small(mapping.select(F.trim("value").alias("_value"), F.trim("category").alias("_category")).dropDuplicates(["_value"]))
@@ -70,9 +86,16 @@ def map_composite(
     The first key alone decides whether a row is in scope at all.
     """
     out_of_scope, unmatched, excluded = labels
-    lookup = small(table.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(value).alias("_value")))
-    scope = small(table.select(F.col(next(iter(keys))).alias("_scope")).distinct())
+    # One lookup serves both questions: the scope is the first key of its own rows.
+    lookup = table.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(value).alias("_value"))
     data = [F.trim(F.col(c)) for c in keys.values()]
+    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        # As few rows as the bound allows are read once and sent along as they are.
+        lookup = df.sparkSession.createDataFrame(lookup.collect(), lookup.schema)
+        scope = F.broadcast(lookup.select(F.col("_k0").alias("_scope")).distinct())
+        lookup = F.broadcast(lookup)
+    else:
+        scope = lookup.select(F.col("_k0").alias("_scope")).distinct()
     on = data[0] == F.col("_k0")
     for i, c in enumerate(data[1:], 1):
         on = on & (c == F.col(f"_k{i}"))

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import stats
-from .select import apply_filters, describe_filters
+from . import profile, stats
+from .select import apply_filters, describe_filters, equipment_groups
 
 MAX_HUE, MAX_CATEGORIES, MAX_POINTS = 8, 15, 20_000
 REQUIRED = {"scatter": ("x", "y"), "bar": ("x",), "histogram": ("x",), "box": ("y",), "heatmap": ("columns",)}
@@ -27,8 +27,8 @@ def top_levels(df: DataFrame, column: str, k: int) -> DataFrame:
 
 
 def deterministic_sample(df: DataFrame, key: Sequence[str], n: int = MAX_POINTS, seed: int = 42) -> DataFrame:
-    """At most n rows, the same on every run: the smallest seeded hashes."""
-    h = F.xxhash64(F.lit(seed), *[_q(c) for c in key])
+    """At most n rows, the same on every run: the smallest seeded hashes of the key, ties by the key."""
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[_q(c).cast("string") for c in key]))
     return df.withColumn("_h", h).orderBy("_h", *[_q(c) for c in key]).limit(n).drop("_h")
 
 
@@ -57,31 +57,57 @@ def bar(df: DataFrame, x: str, y: str | None = None, agg: str = "mean", hue: str
     return df.where(_q(x).isNotNull()).groupBy(*groups).agg(value.alias("value"))
 
 
-def histogram(df: DataFrame, x: str, bins: int = 30, hue: str | None = None, density: bool = False) -> DataFrame:
-    """Counts (or densities) in equal-width bins over the column's range; the last bin is closed."""
-    v = _q(x).cast("double")
-    rows = df.where(v.isNotNull() & ~F.isnan(v)).select(v.alias("v"), *([_q(hue).alias("hue")] if hue else []))
-    if hue:
-        rows = rows.where("hue IS NOT NULL")
-    span = F.broadcast(rows.agg(F.min("v").alias("lo"), F.max("v").alias("hi")))  # one row
+def _unpivoted(df: DataFrame, columns: Sequence[str], by: str | None) -> DataFrame:
+    """(column, hue, v) of the numbers of several columns, nulls and NaN left out; hue is text."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), _q(c).cast("double").alias("v")) for c in columns])
+    hue = _q(by).cast("string") if by else F.lit("all")
+    rows = df.select(hue.alias("hue"), F.explode(cells).alias("c")).select("hue", "c.column", "c.v")
+    return rows.where("hue IS NOT NULL AND v IS NOT NULL AND NOT isnan(v)")
+
+
+def _binned(rows: DataFrame, groups: Sequence[str], bins: int, density: bool) -> DataFrame:
+    """Counts of ``v`` in equal-width bins over each group's own range; the last bin is closed."""
+    span = rows.groupBy(*groups).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("total"))
     w = (F.col("hi") - F.col("lo")) / bins
     bin_ = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("v") - F.col("lo")) / w), F.lit(bins - 1))).otherwise(0)
-    keys = ["bin"] + (["hue"] if hue else [])
-    out = rows.join(span).withColumn("bin", bin_.cast("int")).groupBy(*keys, "lo", "hi").agg(F.count("*").alias("n"))
-    total = F.sum("n").over(Window.partitionBy("hue")) if hue else F.sum("n").over(Window.partitionBy("lo", "hi"))
-    value = F.try_divide(F.col("n"), total * w) if density else F.col("n").cast("double")
-    return out.select(*keys, (F.col("lo") + F.col("bin") * w).alias("left"), (F.col("lo") + (F.col("bin") + 1) * w).alias("right"), "n", value.alias("value"))
+    joined = rows.join(span, list(groups)).withColumn("bin", bin_.cast("int"))
+    out = joined.groupBy(*groups, "bin", "lo", "hi", "total").agg(F.count("*").alias("n"))
+    value = F.try_divide(F.col("n"), F.col("total") * w) if density else F.col("n").cast("double")
+    return out.select(*groups, "bin", (F.col("lo") + F.col("bin") * w).alias("left"), (F.col("lo") + (F.col("bin") + 1) * w).alias("right"), "n", value.alias("value"))
 
 
-def box(df: DataFrame, y: str, x: str | None = None) -> DataFrame:
-    """Quartiles and 1.5 IQR whiskers (the last values inside the fences) by group."""
-    v = _q(y).cast("double")
-    rows = df.where(v.isNotNull() & ~F.isnan(v)).select((_q(x).cast("string") if x else F.lit("all")).alias("x"), v.alias("v")).where("x IS NOT NULL")
-    q = rows.groupBy("x").agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.count("*").alias("n")).select("x", "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
-    j = rows.join(q, "x")
+def histogram(df: DataFrame, x: str, bins: int = 30, hue: str | None = None, density: bool = False) -> DataFrame:
+    """Counts (or densities) in equal-width bins; with a hue each of its levels has bins over its own range."""
+    rows = _unpivoted(df, [x], None).select("v")
+    if not hue:
+        return _binned(rows.withColumn("_all", F.lit(0)), ["_all"], bins, density).drop("_all")
+    v = _q(x).cast("double")
+    return _binned(df.where(v.isNotNull() & ~F.isnan(v) & _q(hue).isNotNull()).select(v.alias("v"), _q(hue).alias("hue")), ["hue"], bins, density)
+
+
+def histograms(df: DataFrame, columns: Sequence[str], hue: str | None = None, bins: int = 25, density: bool = True) -> DataFrame:
+    """Histograms of many columns by one aggregation: (column, hue, bin, left, right, n, value)."""
+    return _binned(_unpivoted(df, columns, hue), ["column", "hue"], bins, density)
+
+
+def _boxed(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
+    quarters = F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")
+    q = rows.groupBy(*groups).agg(quarters, F.count("*").alias("n"))
+    q = q.select(*groups, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.when(F.col("v").between(F.col("q1") - reach, F.col("q3") + reach), F.col("v"))
-    return j.groupBy("x", "n", "q1", "median", "q3").agg(F.min(inside).alias("whisker_low"), F.max(inside).alias("whisker_high"))
+    joined = rows.join(q, list(groups))
+    return joined.groupBy(*groups, "n", "q1", "median", "q3").agg(F.min(inside).alias("whisker_low"), F.max(inside).alias("whisker_high"))
+
+
+def box(df: DataFrame, y: str, x: str | None = None) -> DataFrame:
+    """Quartiles and 1.5 IQR whiskers (the last values inside the fences) by group."""
+    return _boxed(_unpivoted(df, [y], x).select(F.col("hue").alias("x"), "v"), ["x"])
+
+
+def boxes(df: DataFrame, columns: Sequence[str], by: str | None = None) -> DataFrame:
+    """Boxes of many columns by one aggregation: (column, hue, n, quartiles, whiskers)."""
+    return _boxed(_unpivoted(df, columns, by), ["column", "hue"])
 
 
 def histogram_columns(profile: DataFrame, numeric: Sequence[str], min_unique: int = 10, k: int = 6) -> DataFrame:
@@ -117,22 +143,34 @@ def check_spec(df: DataFrame, spec: dict) -> str | None:
     return None
 
 
+def _skipped(df: DataFrame, spec: dict, why: str) -> DataFrame:
+    return df.sparkSession.createDataFrame([(None if spec.get("title") is None else str(spec["title"]), why)], "title string, skipped string")
+
+
 def chart_table(df: DataFrame, spec: dict, max_hue: int = MAX_HUE, max_points: int = MAX_POINTS, max_categories: int = MAX_CATEGORIES) -> DataFrame:
-    """The table behind one chart; a bad spec gives one row with the reason."""
+    """The table behind one chart, with the filters in words and the number of rows that pass them.
+
+    A bad spec, or filters that leave nothing, give one row with the reason.
+    A heat map has no hue and ignores one.
+    """
     why = check_spec(df, spec)
     if why:
-        return df.sparkSession.createDataFrame([(str(spec.get("title")), why)], "title string, skipped string")
+        return _skipped(df, spec, why)
     said = describe_filters(df, spec.get("filters") or [])
     rows = apply_filters(df, spec.get("filters") or [])
-    hue = spec.get("hue")
+    n_rows = rows.count()
+    if not n_rows:
+        return _skipped(df, spec, f"no row is left after the filters: {said}")
+    kind = spec["type"]
+    hue = spec.get("hue") if kind != "heatmap" else None
     if hue:
         rows = top_levels(rows, hue, max_hue)
-    kind = spec["type"]
     if kind in ("bar", "box") and spec.get("x"):
         rows = top_levels(rows, spec["x"], max_categories)
     if kind == "scatter":
         columns = [spec["x"], spec["y"]] + ([hue] if hue else [])
-        out = deterministic_sample(rows.where(_q(spec["x"]).isNotNull() & _q(spec["y"]).isNotNull()), columns, max_points).select(*[_q(c).alias(n) for c, n in zip(columns, ("x", "y", "hue"))])
+        points = rows.where(_q(spec["x"]).isNotNull() & _q(spec["y"]).isNotNull())
+        out = deterministic_sample(points, columns, max_points).select(*[_q(c).alias(n) for c, n in zip(columns, ("x", "y", "hue"))])
     elif kind == "bar":
         out = bar(rows, spec["x"], spec.get("y"), spec.get("agg", "mean"), hue)
     elif kind == "histogram":
@@ -141,7 +179,7 @@ def chart_table(df: DataFrame, spec: dict, max_hue: int = MAX_HUE, max_points: i
         out = box(rows, spec["y"], spec.get("x"))
     else:
         out = stats.correlation_matrix(rows, spec["columns"], spec.get("method", "pearson"))
-    return out.withColumn("filters", F.lit(said))
+    return out.withColumns({"filters": F.lit(said), "n_rows": F.lit(n_rows).cast("long")})
 
 
 def chart_tables(df: DataFrame, specs: Sequence[dict], **caps) -> dict[str, DataFrame]:
@@ -149,13 +187,47 @@ def chart_tables(df: DataFrame, specs: Sequence[dict], **caps) -> dict[str, Data
     return {str(s.get("title") or i): chart_table(df, s, **caps) for i, s in enumerate(specs)}
 
 
-def eda_tables(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, day: str | None = None) -> dict[str, DataFrame]:
-    """The fixed set: rates, correlations, histograms, boxes and the daily trend."""
-    out = {"correlation_with_target": stats.correlation_with_target(df, numeric, target), "correlation_matrix": stats.correlation_matrix(df, numeric[:60])}
+def eda_tables(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, day: str | None = None, *,
+    bins: int = 25, min_unique: int = 10, max_histograms: int = 6, max_boxes: int = 20, max_heatmap: int = 15, top_k: int = 3,
+) -> dict[str, DataFrame]:
+    """The fixed exploratory set, by table name.
+
+    rate_by_category; histograms of the measures with enough distinct values
+    and least missing ones, over all equipment and for each; boxes of each
+    equipment's measures with most distinct values; correlation_with_target;
+    correlations inside each equipment and among the ``top_k`` measures of all;
+    daily_trend.  The column profile, one row per measure, decides what is shown.
+    """
+    groups = equipment_groups(df.select(*[_q(c) for c in numeric]))
+    measures = [c for columns in groups.values() for c in columns]
+    out = {"correlation_with_target": stats.correlation_with_target(df, numeric, target)}
     if categorical:
         out["rate_by_category"] = rate_by_category(df, categorical, target)
     if day:
         out["daily_trend"] = daily_trend(df, day, target)
-    out |= {f"histogram:{c}": histogram(df, c, 25, target) for c in numeric[:6]}
-    out |= {f"box:{c}": box(df, c, target) for c in numeric[:6]}
+    if not measures:
+        return out
+    told = {r["column"]: r for r in profile.column_profile(df.select(*[_q(c) for c in measures])).collect()}
+
+    def shown(columns: Sequence[str]) -> list[str]:
+        varied = [c for c in columns if told[c]["n_unique"] >= min_unique]
+        return sorted(varied, key=lambda c: (told[c]["n_missing"], c))[:max_histograms]
+
+    def widest(columns: Sequence[str], k: int) -> list[str]:
+        return sorted(columns, key=lambda c: (-told[c]["n_unique"], c))[:k]
+
+    flag = _q(target).isin(0, 1)
+    each = list(dict.fromkeys(c for columns in groups.values() for c in shown(columns)))
+    if shown(measures):
+        out["histograms"] = histograms(df.where(flag), shown(measures), target, bins)
+    if each:
+        out["histograms_by_equipment"] = histograms(df.where(flag), each, target, bins)
+    out["boxes"] = boxes(df.where(flag), [c for columns in groups.values() for c in widest(columns, max_boxes)], target)
+    inside = None
+    for equipment, columns in groups.items():
+        part = stats.correlation_matrix(df, [*widest(columns, max_heatmap), target]).withColumn("equipment", F.lit(equipment))
+        inside = part if inside is None else inside.unionByName(part)
+    out["correlations_by_equipment"] = inside
+    out["correlations_across_equipment"] = stats.correlation_matrix(df, [*[c for columns in groups.values() for c in sorted(widest(columns, top_k))], target])
     return out

@@ -65,33 +65,45 @@ def protection(name: str, columns=PROTECTED_COLUMNS, prefixes=PROTECTED_PREFIXES
     return "substring" if any(s in name for s in substrings) else None
 
 
-def low_cardinality(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, str]:
-    """Columns that are all null or hold one value: column -> reason.
+def low_cardinality(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, dict]:
+    """Columns that are all null or hold one value: column -> reason, n_unique, n_missing, value.
 
     Count, minimum and maximum of every column in one aggregation: no distinct,
     hence no shuffle of values.  NaN counts as missing.
     """
-    out: dict[str, str] = {}
+    out: dict[str, dict] = {}
     for part in _chunks(list(columns or df.columns)):
         folds = []
-        for c in part:
+        for i, c in enumerate(part):
             kind = df.schema[c].dataType
             v = F.nanvl(_q(c), F.lit(None).cast(kind)) if isinstance(kind, T.FloatType | T.DoubleType) else _q(c)
-            folds.append(F.struct(F.count(v).alias("n"), F.min(v).eqNullSafe(F.max(v)).alias("one")).alias(c))
+            one = F.min(v).eqNullSafe(F.max(v))
+            folds.append(F.struct(F.count(v).alias("n"), F.count("*").alias("rows"), one.alias("one"), F.min(v).cast("string").alias("value")).alias(f"c{i}"))
         row = df.agg(*folds).first()
-        out |= {c: "all_null" if row[c]["n"] == 0 else "constant" for c in part if row[c]["n"] == 0 or row[c]["one"]}
+        for i, c in enumerate(part):
+            n, rows, one, value = row[f"c{i}"]
+            if n == 0 or one:
+                out[c] = {"reason": "constant" if n else "all_null", "n_unique": int(n > 0), "n_missing": rows - n, "value": value}
     return out
 
 
-def prune(df: DataFrame, *, drop_all_null: bool = True, drop_constant: bool = True, protect_columns=PROTECTED_COLUMNS, protect_prefixes=PROTECTED_PREFIXES, protect_substrings=PROTECTED_SUBSTRINGS) -> tuple[DataFrame, DataFrame]:
-    """Drop columns without information unless protected; returns the panel and the report."""
-    rows = []
-    for c, reason in low_cardinality(df).items():
+def prune(
+    df: DataFrame, *, sources: Sequence[str] = (), drop_all_null: bool = True, drop_constant: bool = True,
+    protect_columns=PROTECTED_COLUMNS, protect_prefixes=PROTECTED_PREFIXES, protect_substrings=PROTECTED_SUBSTRINGS,
+) -> tuple[DataFrame, DataFrame]:
+    """Drop columns without information unless protected; returns the panel and the report.
+
+    The report has each such column's source and type, how many values and
+    nulls it has, its only value, why it is listed, whether it was dropped or
+    kept, and the rule that kept it.
+    """
+    kinds, rows = {f.name: f.dataType.simpleString() for f in df.schema}, []
+    for c, found in low_cardinality(df).items():
         rule = protection(c, protect_columns, protect_prefixes, protect_substrings)
-        wanted = drop_all_null if reason == "all_null" else drop_constant
-        rows.append((c, reason, "keep" if rule or not wanted else "drop", rule))
-    report = df.sparkSession.createDataFrame(rows, "column string, reason string, action string, rule string")
-    return df.drop(*[r[0] for r in rows if r[2] == "drop"]), report.orderBy("action", "reason", "column")
+        wanted = drop_all_null if found["reason"] == "all_null" else drop_constant
+        rows.append((c, column_source(c, sources), kinds[c], found["n_unique"], found["n_missing"], found["value"], found["reason"], "keep" if rule or not wanted else "drop", rule))
+    report = df.sparkSession.createDataFrame(rows, "column string, source string, dtype string, n_unique long, n_missing long, value string, reason string, action string, rule string")
+    return df.drop(*[r[0] for r in rows if r[7] == "drop"]), report.orderBy("action", "source", "column")
 
 
 def schema_catalog(texts: DataFrame, by: str | None = None, ratio: float = 0.9, formats: Sequence[str] = ("yyyy/M/d H:m:s", "yyyy-M-d H:m:s", "yyyy/M/d", "yyyy-M-d")) -> DataFrame:

@@ -2,7 +2,8 @@
 
 The panel is unpivoted to (feature, x, y); moments and ranks of all features
 then take one aggregation each.  Ranks come from counts of distinct values, so
-ties are exact and no partition holds more than a feature's distinct values.
+ties are exact; the values of a feature are cut into ranges whose counts are
+summed up first, so no task sorts more than one range of one feature.
 """
 
 from __future__ import annotations
@@ -13,9 +14,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.pvalues import chi2_tail, f_tail, normal_two_sided, t_two_sided
+from ..functions.pvalues import chi2_tail, f_tail, normal_two_sided, rank_sum_two_sided, t_two_sided
 
 SCHEMA = "target string, feature string, feature_type string, test string, statistic double, p_value double, effect_size double, effect_name string, n long"
+#: Equal ranges that the values of a feature are cut into for ranking.
+RANK_RANGES = 512
+#: Up to this size of the smaller group, and this many values of U, Mann-Whitney is exact without ties.
+EXACT_GROUP, EXACT_VALUES = 8, 1_000_000
+#: Pairs of columns that one aggregation correlates.
+PAIRS_AT_ONCE = 500
 _OUT = ["target", "feature", "feature_type", "test", "statistic", "df1", "df2", "tail", "effect_size", "effect_name", "n"]
 
 
@@ -28,19 +35,71 @@ def long_form(df: DataFrame, features: Sequence[str], target: str, numeric: bool
     return long.where("NOT isnan(x)") if numeric else long
 
 
-def average_ranks(counts: DataFrame, group: Sequence[str], value: str, n: str = "n") -> DataFrame:
-    """Add ``rank`` (mean rank of tied values) to (group, value, n) counts."""
-    w = Window.partitionBy(*group).orderBy(value)
-    before = F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return counts.withColumn("rank", before + (F.col(n) + 1) / 2.0)
+def _ends(rows: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """Smallest and largest value of each group."""
+    return rows.groupBy(*group).agg(F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
+
+
+def _in_ranges(rows: DataFrame, group: Sequence[str], value: str, ranges: int, ends: DataFrame | None = None) -> DataFrame:
+    """Add ``_range``: the number of the equal range between the ends of its group that a value falls into."""
+    v = F.col(value)
+    ends = F.broadcast(_ends(rows, group, value) if ends is None else ends)  # a row per group
+    part = (v - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
+    # Infinite ends leave no ratio: the ends keep their places, the rest shares one range.
+    spot = F.when(v == F.col("_lo"), 0).when(v == F.col("_hi"), ranges).when(part.between(0, 1), F.floor(part * ranges)).otherwise(ranges // 2)
+    return rows.join(ends, list(group)).withColumn("_range", spot.cast("int")).drop("_lo", "_hi")
+
+
+def _with_starts(counts: DataFrame, placed: DataFrame, group: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Add ``_start_{s}``: the sums over all rows of the group in lower ranges (at most ranges + 1 rows per group are sent along)."""
+    upto = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy(*group, "_range").agg(*[F.sum(c).alias(c) for c in sums])
+    starts = starts.select(*group, "_range", *[F.coalesce(F.sum(c).over(upto), F.lit(0)).alias(f"_start_{c}") for c in sums])
+    return counts.join(F.broadcast(starts), [*group, "_range"])
+
+
+def prefix_sums(rows: DataFrame, group: Sequence[str], value: str, sums: dict[str, Column], ranges: int = RANK_RANGES) -> DataFrame:
+    """One row per distinct value of each group: the sums of its rows, and ``before_{s}`` over all smaller values.
+
+    Values are numbers, not NaN; groups are few, like features.  Only the table
+    of ranges is summed up in one place for each group; inside, every range is
+    a window partition of its own.
+    """
+    group = list(group) or ["_all"]
+    rows = rows.select(*([F.lit(0).alias("_all")] if group == ["_all"] else group), F.col(value).cast("double").alias(value), *[e.alias(c) for c, e in sums.items()])
+    placed = _in_ranges(rows, group, value, ranges)
+    inside = Window.partitionBy(*group, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(*group, "_range", value).agg(*[F.sum(c).alias(c) for c in sums])
+    out = _with_starts(counts.withColumns({f"_in_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums}), placed, group, list(sums))
+    told = [(F.col(f"_in_{c}") + F.col(f"_start_{c}")).alias(f"before_{c}") for c in sums]
+    return out.select(*[c for c in group if c != "_all"], value, *sums, *told)
+
+
+def ranked_cells(cells: DataFrame, value: str, ends: DataFrame, ranges: int = RANK_RANGES) -> DataFrame:
+    """Add ``rank`` (mean rank in the feature) and ``tied`` (rows of the value) to cells with a number of rows ``n``.
+
+    For cells of which few share a value, such as those of a value by level.
+    """
+    placed = _in_ranges(cells, ["feature"], value, ranges, ends)
+    upto = F.sum("n").over(Window.partitionBy("feature", "_range").orderBy(value))  # equal values included
+    tied = F.sum("n").over(Window.partitionBy("feature", "_range", value))
+    out = _with_starts(placed.withColumns({"_upto": upto, "tied": tied}), placed, ["feature"], ["n"])
+    return out.withColumn("rank", F.col("_start_n") + F.col("_upto") - (F.col("tied") - 1) / 2.0).drop("_range", "_upto", "_start_n")
+
+
+def average_ranks(rows: DataFrame, group: Sequence[str], value: str, ranges: int = RANK_RANGES, **sums: Column) -> DataFrame:
+    """Distinct values of each group with their number ``n``, mean ``rank`` and further sums."""
+    counted = prefix_sums(rows, group, value, {"n": F.lit(1), **sums}, ranges)
+    return counted.select(*group, value, "n", *sums, (F.col("before_n") + (F.col("n") + 1) / 2.0).alias("rank"))
 
 
 def _ratio(a: Column, b: Column) -> Column:
     return a / F.nullif(b, F.lit(0.0))
 
 
-def _finish(df: DataFrame, target: str, kind: str, test: str, effect: str, tail: str) -> DataFrame:
-    fixed = {"target": F.lit(target), "feature_type": F.lit(kind), "test": F.lit(test), "effect_name": F.lit(effect), "tail": F.lit(tail)}
+def _finish(df: DataFrame, target: str, kind: str, test: str, effect: str, tail: str | Column) -> DataFrame:
+    fixed = {"target": F.lit(target), "feature_type": F.lit(kind), "test": F.lit(test), "effect_name": F.lit(effect)}
+    fixed["tail"] = F.lit(tail) if isinstance(tail, str) else tail
     missing = {c: F.lit(None).cast("double") for c in ("df1", "df2") if c not in df.columns}
     return df.withColumns(fixed | missing).select(*[F.col(c).cast("double") if c in ("statistic", "df1", "df2", "effect_size") else F.col(c) for c in _OUT])
 
@@ -58,19 +117,32 @@ def welch(long: DataFrame, target: str) -> DataFrame:
 
 
 def mann_whitney(long: DataFrame, target: str) -> DataFrame:
-    """U of label 1, rank-biserial effect, tie-corrected normal approximation.
+    """U of label 1 and its rank-biserial effect.
 
-    ``df1`` carries the z value with continuity correction.
+    Without ties and with a group of at most ``EXACT_GROUP`` rows the p value
+    is exact (``df1`` and ``df2`` carry the group sizes), else it comes from
+    the tie-corrected normal approximation with continuity correction (``df1``
+    carries the z value).
     """
-    counts = long.where("y IN (0, 1)").groupBy("feature", "x").agg(F.count("*").alias("n"), F.sum("y").alias("k1"))
-    ranked = average_ranks(counts, ["feature"], "x")
-    m = ranked.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("k1").alias("n1"), F.sum(F.col("k1") * F.col("rank")).alias("r1"), F.sum(F.col("n") * F.col("n") * F.col("n") - F.col("n")).cast("double").alias("ties"), F.count("*").alias("levels"))
-    m = m.withColumn("n0", F.col("n") - F.col("n1")).where("n0 >= 2 AND n1 >= 2 AND levels >= 2")
-    u = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2
-    mean = F.col("n1") * F.col("n0") / 2
-    sd = F.sqrt(F.col("n1") * F.col("n0") / 12 * ((F.col("n") + 1) - F.col("ties") / (F.col("n") * (F.col("n") - 1))))
-    z = _ratio(F.greatest(u, F.col("n1") * F.col("n0") - u) - mean - 0.5, sd)
-    return _finish(m.select("feature", u.alias("statistic"), z.alias("df1"), (1 - _ratio(2 * u, F.col("n1") * F.col("n0"))).alias("effect_size"), F.col("n").cast("long").alias("n")), target, "numeric", "mann_whitney", "rank_biserial", "z")
+    ranked = average_ranks(long.where("y IN (0, 1)"), ["feature"], "x", k1=F.col("y"))
+    n, n0, n1 = F.col("n"), F.col("n0"), F.col("n1")
+    m = ranked.groupBy("feature").agg(
+        F.sum("n").alias("n"),
+        F.sum("k1").alias("n1"),
+        F.sum(F.col("k1") * F.col("rank")).alias("r1"),
+        F.sum(n * n * n - n).cast("double").alias("ties"),
+        F.count("*").alias("levels"),
+    )
+    m = m.withColumn("n0", n - n1).where("n0 >= 2 AND n1 >= 2 AND levels >= 2")
+    u = F.col("r1") - n1 * (n1 + 1) / 2
+    sd = F.sqrt(n1 * n0 / 12 * ((n + 1) - F.col("ties") / (n * (n - 1))))
+    z = _ratio(F.greatest(u, n1 * n0 - u) - n1 * n0 / 2 - 0.5, sd)
+    exact = (F.col("levels") == n) & (F.least(n0, n1) <= EXACT_GROUP) & (n0 * n1 <= EXACT_VALUES)
+    told = m.select(
+        "feature", u.alias("statistic"), F.when(exact, n1).otherwise(z).alias("df1"), F.when(exact, n0).alias("df2"),
+        (1 - _ratio(2 * u, n1 * n0)).alias("effect_size"), n.cast("long").alias("n"),
+    )
+    return _finish(told, target, "numeric", "mann_whitney", "rank_biserial", F.when(F.col("df2").isNotNull(), "u").otherwise("z"))
 
 
 def chi_square(long: DataFrame, target: str) -> DataFrame:
@@ -108,14 +180,18 @@ def _t_of_r() -> Column:
 def spearman(long: DataFrame, target: str) -> DataFrame:
     """Pearson's correlation of mean ranks, from the counts of distinct pairs."""
     pairs = long.groupBy("feature", "x", "y").agg(F.count("*").alias("n"))
-    rx = average_ranks(pairs.groupBy("feature", "x").agg(F.sum("n").alias("n")), ["feature"], "x").select("feature", "x", F.col("rank").alias("rx"))
-    ry = average_ranks(pairs.groupBy("feature", "y").agg(F.sum("n").alias("n")), ["feature"], "y").select("feature", "y", F.col("rank").alias("ry"))
+    rx = average_ranks(long, ["feature"], "x").select("feature", "x", F.col("rank").alias("rx"))
+    ry = average_ranks(long, ["feature"], "y").select("feature", "y", F.col("rank").alias("ry"))
     j = pairs.join(rx, ["feature", "x"]).join(ry, ["feature", "y"])
-    s = j.groupBy("feature").agg(F.sum("n").alias("n"), *[F.sum(F.col("n") * e).alias(a) for a, e in (("sx", F.col("rx")), ("sy", F.col("ry")), ("sxx", F.col("rx") * F.col("rx")), ("syy", F.col("ry") * F.col("ry")), ("sxy", F.col("rx") * F.col("ry")))])
+    n, x, y = F.col("n"), F.col("rx"), F.col("ry")
+    sums = {"sx": x, "sy": y, "sxx": x * x, "syy": y * y, "sxy": x * y}
+    s = j.groupBy("feature").agg(F.sum("n").alias("n"), *[F.sum(n * e).alias(a) for a, e in sums.items()])
     n = F.col("n").cast("double")
     vx, vy = n * F.col("sxx") - F.col("sx") ** 2, n * F.col("syy") - F.col("sy") ** 2
-    s = s.where("n >= 3").withColumn("r", _ratio(n * F.col("sxy") - F.col("sx") * F.col("sy"), F.sqrt(vx) * F.sqrt(vy))).where("r IS NOT NULL")
-    return _finish(s.select("feature", F.col("r").alias("statistic"), _t_of_r().alias("df1"), (F.col("n") - 2).alias("df2"), F.col("r").alias("effect_size"), F.col("n").cast("long").alias("n")), target, "numeric", "spearman", "spearman_rho", "r")
+    r = _ratio(n * F.col("sxy") - F.col("sx") * F.col("sy"), F.sqrt(vx) * F.sqrt(vy))
+    s = s.where("n >= 3").withColumn("r", r).where("r IS NOT NULL")
+    told = s.select("feature", F.col("r").alias("statistic"), _t_of_r().alias("df1"), (F.col("n") - 2).alias("df2"), F.col("r").alias("effect_size"), F.col("n").cast("long").alias("n"))
+    return _finish(told, target, "numeric", "spearman", "spearman_rho", "r")
 
 
 def anova(long: DataFrame, target: str) -> DataFrame:
@@ -131,16 +207,21 @@ def anova(long: DataFrame, target: str) -> DataFrame:
 def kruskal(long: DataFrame, target: str) -> DataFrame:
     """Kruskal-Wallis H with tie correction over levels with at least two rows, and epsilon squared."""
     cells = long.groupBy("feature", "x", "y").agg(F.count("*").alias("n"))
-    w = Window.partitionBy("feature", "x")
-    cells = cells.withColumn("size", F.sum("n").over(w)).where("size >= 2")
-    ranks = average_ranks(cells.groupBy("feature", "y").agg(F.sum("n").alias("n")), ["feature"], "y")
-    ties = ranks.groupBy("feature").agg(F.sum(F.col("n") * F.col("n") * F.col("n") - F.col("n")).cast("double").alias("t"), F.sum("n").alias("N"))
-    sums = cells.join(ranks.select("feature", "y", "rank"), ["feature", "y"]).groupBy("feature", "x", "size").agg(F.sum(F.col("n") * F.col("rank")).alias("r"))
-    s = sums.groupBy("feature").agg(F.count("*").alias("k"), F.sum(F.col("r") ** 2 / F.col("size")).alias("q")).join(ties, "feature").where("k >= 2")
-    n = F.col("N").cast("double")
-    h = _ratio(12 / (n * (n + 1)) * F.col("q") - 3 * (n + 1), 1 - F.col("t") / (n**3 - n))
+    # Sizes by aggregation: a level with a third of all rows is no window partition.
+    sizes = long.groupBy("feature", "x").agg(F.count("*").alias("size")).where("size >= 2")
+    ranked = ranked_cells(cells.join(sizes, ["feature", "x"]), "y", _ends(long, ["feature"], "y"))
+    n, tied = F.col("n"), F.col("tied")
+    # A tie of t rows adds t * t * t - t: t * t - 1 for each of its rows.
+    sums = ranked.groupBy("feature", "x", "size").agg(F.sum(n * F.col("rank")).alias("r"), F.sum(n * (tied * tied - 1)).cast("double").alias("t"))
+    ties = sums.groupBy("feature").agg(F.sum("t").alias("t"), F.sum("size").alias("N"))
+    s = sums.groupBy("feature").agg(F.count("*").alias("k"), F.sum(F.col("r") ** 2 / F.col("size")).alias("q"))
+    s = s.join(ties, "feature").where("k >= 2")
+    total = F.col("N").cast("double")
+    h = _ratio(12 / (total * (total + 1)) * F.col("q") - 3 * (total + 1), 1 - F.col("t") / (total**3 - total))
     s = s.withColumn("h", h).where("h IS NOT NULL")
-    return _finish(s.select("feature", F.col("h").alias("statistic"), (F.col("k") - 1).alias("df1"), _ratio(F.col("h") - F.col("k") + 1, n - F.col("k")).alias("effect_size"), F.col("N").alias("n")), target, "categorical", "kruskal", "epsilon2", "chi2")
+    effect = _ratio(F.col("h") - F.col("k") + 1, total - F.col("k"))
+    told = s.select("feature", F.col("h").alias("statistic"), (F.col("k") - 1).alias("df1"), effect.alias("effect_size"), F.col("N").alias("n"))
+    return _finish(told, target, "categorical", "kruskal", "epsilon2", "chi2")
 
 
 def with_p_values(tests: DataFrame) -> DataFrame:
@@ -148,7 +229,14 @@ def with_p_values(tests: DataFrame) -> DataFrame:
 
     @F.pandas_udf("double")
     def p(tail: pd.Series, statistic: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
-        tails = {"t": lambda s, a, b: t_two_sided(s, a), "z": lambda s, a, b: normal_two_sided(a), "chi2": lambda s, a, b: chi2_tail(s, a), "f": f_tail, "r": lambda s, a, b: t_two_sided(a, b)}
+        tails = {
+            "t": lambda s, a, b: t_two_sided(s, a),
+            "z": lambda s, a, b: normal_two_sided(a),
+            "u": rank_sum_two_sided,
+            "chi2": lambda s, a, b: chi2_tail(s, a),
+            "f": f_tail,
+            "r": lambda s, a, b: t_two_sided(a, b),
+        }
         return pd.Series([None if pd.isna(s) or pd.isna(a) else tails[k](s, a, b) for k, s, a, b in zip(tail, statistic, df1, df2)], dtype="float64")
 
     named = [c.split()[0] for c in SCHEMA.split(", ")]
@@ -166,24 +254,34 @@ def bh_fdr(tests: DataFrame, group: Sequence[str] = ("target",), p: str = "p_val
 
 
 def run_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], binary: Sequence[str] = (), continuous: Sequence[str] = (), alpha: float = 0.05) -> DataFrame:
-    """All tests of all predictors against all targets, FDR-adjusted for each target."""
-    parts = []
-    for target in binary:
-        if numeric:
-            long = long_form(df, numeric, target, True)
-            parts += [welch(long, target), mann_whitney(long, target)]
-        if categorical:
-            parts.append(chi_square(long_form(df, categorical, target, False), target))
-    for target in continuous:
-        if numeric:
-            long = long_form(df, numeric, target, True)
-            parts += [pearson(long, target), spearman(long, target)]
-        if categorical:
-            long = long_form(df, categorical, target, False)
-            parts += [anova(long, target), kruskal(long, target)]
-    tests = parts[0]
-    for part in parts[1:]:
-        tests = tests.unionByName(part)
+    """All tests of all predictors against all targets, FDR-adjusted for each target.
+
+    The columns that take part are read and joined once and kept while the
+    tests run; the result, one row per test, is made at once.
+    """
+    spark = df.sparkSession
+    used = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*numeric, *categorical, *binary, *continuous])]).persist()
+    try:
+        parts = []
+        for target in binary:
+            if numeric:
+                long = long_form(used, numeric, target, True)
+                parts += [welch(long, target), mann_whitney(long, target)]
+            if categorical:
+                parts.append(chi_square(long_form(used, categorical, target, False), target))
+        for target in continuous:
+            if numeric:
+                long = long_form(used, numeric, target, True)
+                parts += [pearson(long, target), spearman(long, target)]
+            if categorical:
+                long = long_form(used, categorical, target, False)
+                parts += [anova(long, target), kruskal(long, target)]
+        tests = parts[0]
+        for part in parts[1:]:
+            tests = tests.unionByName(part)
+        tests = spark.createDataFrame(tests.collect(), tests.schema)  # one row per test
+    finally:
+        used.unpersist()
     out = bh_fdr(with_p_values(tests)).withColumn("significant", F.coalesce(F.col("p_adjusted") < alpha, F.lit(False)))
     return out.orderBy("target", "p_adjusted", "test", "feature")
 
@@ -204,21 +302,24 @@ def correlation_with_target(df: DataFrame, features: Sequence[str], target: str,
     return m.where("r IS NOT NULL").orderBy(F.desc(F.abs("r")), "feature").limit(k)
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pearson", max_columns: int = 60) -> DataFrame:
-    """(a, b, r, n) over pairwise complete rows, all pairs in one aggregation."""
-    if len(columns) > max_columns:
-        raise ValueError(f"{len(columns)} columns exceed the cap of {max_columns}")
+def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
+    """(a, b, r, n) over pairwise complete rows, ``PAIRS_AT_ONCE`` pairs in one aggregation."""
     if method not in ("pearson", "spearman"):
         raise ValueError(f"unknown method: {method}")
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     if method == "spearman":
         return _spearman_matrix(df, pairs)
-    cells = []
-    for a, b in pairs:
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
-        cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), _correlation(x, y).alias("r"), F.count_if(both).alias("n")))
-    return df.agg(F.array(*cells).alias("m")).select(F.inline("m"))
+    out = None
+    for i in range(0, len(pairs), PAIRS_AT_ONCE):
+        cells = []
+        for a, b in pairs[i : i + PAIRS_AT_ONCE]:
+            p, q = F.col(f"`{a}`"), F.col(f"`{b}`")
+            both = p.isNotNull() & q.isNotNull()
+            x, y = F.when(both, p.cast("double")), F.when(both, q.cast("double"))
+            cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), _correlation(x, y).alias("r"), F.count_if(both).alias("n")))
+        part = df.agg(F.array(*cells).alias("m")).select(F.inline("m"))
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else df.sparkSession.createDataFrame([], "a string, b string, r double, n long")
 
 
 def _spearman_matrix(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:

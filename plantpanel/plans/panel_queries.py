@@ -9,8 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import categories
+from ..functions.units import normalize_units
 from ..operators import panel
-from .base import query, rounded, t
+from ..operators.assembly import assemble_panel
+from ..sources import lake
+from .base import query, rounded, scratch, t
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,14 +141,24 @@ def presence_flag(spark, sf_dir):
     return panel.presence(customers, urgent, "urgent")
 
 
-@query("""SELECT 'orders' AS source, count(*) AS n_rows, count(DISTINCT o_custkey) AS n_vin, count(*) FILTER (WHERE o_custkey % 97 = 0) AS n_dummy, CAST(0 AS BIGINT) AS n_date_failed FROM orders
-UNION ALL SELECT 'lines', count(*), count(DISTINCT l_orderkey), count(*) FILTER (WHERE l_orderkey % 97 = 0), count(*) FILTER (WHERE l_linenumber = 7) FROM lineitem""")
+@query("""WITH o AS (SELECT *, o_custkey % 97 = 0 AS dummy FROM orders), l AS (SELECT *, l_orderkey % 97 = 0 AS dummy FROM lineitem)
+SELECT 'traceability' AS kind, 'orders' AS source, CAST(1 AS BIGINT) AS n_files, count(*) AS n_rows, count(DISTINCT o_custkey) FILTER (WHERE NOT dummy) AS n_vin, count(*) FILTER (WHERE dummy) AS n_dummy,
+  count(*) FILTER (WHERE NOT dummy) - count(DISTINCT o_custkey) FILTER (WHERE NOT dummy) AS n_duplicate, CAST(0 AS BIGINT) AS n_date_failed, '' AS categories,
+  CAST(NULL AS BIGINT) AS n_vin_not_in_ledger, CAST(NULL AS BIGINT) AS n_size_under, CAST(NULL AS BIGINT) AS n_size_over FROM o
+UNION ALL SELECT 'defect', 'found', 3, count(*), count(DISTINCT l_orderkey) FILTER (WHERE NOT dummy), count(*) FILTER (WHERE dummy), 0, count(*) FILTER (WHERE l_linenumber = 7 AND NOT dummy), '', NULL,
+  count(*) FILTER (WHERE l_quantity < 10 AND NOT dummy), count(*) FILTER (WHERE l_quantity >= 40 AND NOT dummy) FROM l WHERE l_returnflag = 'R'
+UNION ALL SELECT 'repair', 'fixed', 2, count(*), count(DISTINCT l_orderkey) FILTER (WHERE NOT dummy), count(*) FILTER (WHERE dummy), 0, 0, 'F;O',
+  count(DISTINCT l_orderkey) FILTER (WHERE NOT dummy AND l_orderkey NOT IN (SELECT o_custkey FROM o)), NULL, NULL FROM l WHERE l_returnflag = 'A'""")
 def ingest_quality(spark, sf_dir):
     o = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("vin"), (F.col("o_custkey") % 97 == 0).alias("vin_is_dummy"))
     text = F.when(F.col("l_linenumber") == 7, "--").otherwise(F.date_format("l_shipdate", "yyyy/MM/dd HH:mm:ss"))
-    ls = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("vin"), (F.col("l_orderkey") % 97 == 0).alias("vin_is_dummy"), text.alias("raw"))
+    ls = t(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity", F.col("l_orderkey").alias("vin"), (F.col("l_orderkey") % 97 == 0).alias("vin_is_dummy"), text.alias("raw"))
     ls = ls.withColumn("parsed", F.try_to_timestamp("raw", F.lit("yyyy/M/d H:m:s")))
-    return panel.ingest_quality({"orders": o, "lines": ls}, dates={"lines": ("raw", "parsed")})
+    return panel.ingest_quality([
+        {"df": o, "kind": "traceability", "source": "orders", "n_files": 1, "one_row_per_unit": True},
+        {"df": ls.where("l_returnflag = 'R'"), "kind": "defect", "source": "found", "n_files": 3, "time_column": "parsed", "raw_time": "raw", "size": ("l_quantity", 10.0, 40.0)},
+        {"df": ls.where("l_returnflag = 'A'"), "kind": "repair", "source": "fixed", "n_files": 2, "categories": ["F", "O"]},
+    ], ledger=o.select("vin").distinct())
 
 
 @query(f"""WITH {_LEDGER},
@@ -175,3 +189,94 @@ def assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
         _rollup(spark, sf_dir),
     ]
     return panel.add_any_flag(panel.assemble(ledger, frames, repairs=["line"]))
+
+
+# ------------------------------------------------------------- from the lake
+
+
+_CHARTED = [("P", "x", "charted"), ("F", "y", "-"), ("O", "x", "other")]
+_DAYS = ("1995-01-01", "1997-06-30")
+
+
+def _lake(spark: SparkSession, sf_dir: str):
+    """Write orders, lines, defects, repairs and a sensor to a lake; returns a reader of a range of dates.
+
+    The lake's dates are the first days of months here, to keep its files few.
+    """
+    at = scratch(spark, "lake")
+    unit = F.when(F.col("o_orderkey") % 50 == 0, F.concat(F.lit("DUMMY-"), F.col("o_orderkey").cast("string"))).otherwise(F.concat(F.col("o_orderkey").cast("string"), F.lit("   a")))
+    o = normalize_units(t(spark, sf_dir, "orders").withColumn("raw", unit), "raw").drop("raw")
+    ls = t(spark, sf_dir, "lineitem").join(o.select("o_orderkey", "o_orderdate", "o_orderstatus", "vin", "vin_base", "vin_pass_no", "vin_is_dummy"), F.expr("l_orderkey = o_orderkey"))
+    parts = {
+        ("traceability", "booth"): o.select("vin", "vin_base", "vin_pass_no", "vin_is_dummy", "o_orderdate", "o_totalprice", "o_orderpriority", F.lit("same").alias("site")),
+        ("traceability", "robot"): ls.select("vin", "vin_base", "vin_pass_no", "vin_is_dummy", "o_orderdate", F.col("l_quantity").alias("l_測定値"), "l_linestatus"),
+        ("defect", "check"): ls.where("l_returnflag = 'R'").select("vin", "vin_base", "vin_pass_no", "vin_is_dummy", "o_orderdate", "l_quantity"),
+        ("repair", "rework"): ls.where("l_returnflag = 'A'").select("vin", "vin_base", "vin_pass_no", "vin_is_dummy", "o_orderdate", "l_shipdate", "l_quantity", "o_orderstatus", F.when(F.col("l_linenumber") % 2 == 0, "x").otherwise("y").alias("step")),
+    }
+    for (kind, name), df in parts.items():
+        lake.write_lake(df.withColumn("month", F.date_trunc("month", "o_orderdate")), f"{at}/{kind}/{name}", "month")
+    daily = t(spark, sf_dir, "orders").groupBy(F.col("o_orderdate").alias("ts")).agg(F.avg("o_totalprice").alias("p_測定値"), F.count("*").alias("ignored"))
+    lake.write_lake(daily.where("dayofmonth(ts) <> 3").withColumn("month", F.date_trunc("month", "ts")), f"{at}/trend/air", "month")
+    return lambda kind, name: lake.read_lake(spark, f"{at}/{kind}/{name}", date_from=_DAYS[0], date_to=_DAYS[1]).drop("month")
+
+
+def _from_lake(spark, sf_dir):
+    read = _lake(spark, sf_dir)
+    table, _ = categories.load_category_table(spark.createDataFrame(_CHARTED, "status string, step string, chart string"), ["status", "step"], "chart")
+    specs = [
+        {"kind": "traceability", "source": "booth", "time": "o_orderdate", "n_files": 1},
+        {"kind": "traceability", "source": "robot", "time": "o_orderdate", "n_files": 1},
+        {"kind": "defect", "source": "check", "time": "o_orderdate", "n_files": 1, "defect": {"size_column": "l_quantity", "low": 10, "high": 40, "width": 10}},
+        {"kind": "repair", "source": "rework", "time": "l_shipdate", "n_files": 1, "repair": {"time_column": "l_shipdate", "production_column": "o_orderdate", "workload_column": "l_quantity", "category_columns": {"category": True}}},
+    ]
+    return assemble_panel(
+        read, specs, key="vin_base", required=["booth"],
+        category={"table": table, "keys": {"status": "o_orderstatus", "step": "step"}, "value": "chart", "output": "category"},
+        trends={"series": {"air": read("trend", "air").drop("date")}, "suffixes": ["測定値"], "anchors": {"booth__o_orderdate": ["trend__p_測定値"]}, "mode": "window", "window": 3, "tolerance_seconds": 3600},
+    )
+
+
+_O = f"o AS (SELECT *, CAST(o_orderkey AS VARCHAR) AS vin FROM orders WHERE o_orderkey % 50 <> 0 AND CAST(o_orderdate AS DATE) BETWEEN '{_DAYS[0]}' AND '{_DAYS[1]}')"
+_L = "l AS (SELECT lineitem.*, o.vin, o_orderdate, o_orderstatus, CASE WHEN l_linenumber % 2 = 0 THEN 'x' ELSE 'y' END AS step FROM lineitem JOIN o ON l_orderkey = o_orderkey)"
+_C = """c AS (SELECT *, CASE WHEN o_orderstatus = 'P' AND step = 'x' THEN 'charted' WHEN o_orderstatus = 'F' AND step = 'y' THEN 'グラフ対象外' WHEN o_orderstatus = 'O' AND step = 'x' THEN 'other'
+  WHEN o_orderstatus IN ('P', 'F', 'O') THEN '未分類' ELSE '対象外工程' END AS category FROM l WHERE l_returnflag = 'A')"""
+_DAY = f"d AS (SELECT o_orderdate AS ts, avg(o_totalprice) AS p FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN '{_DAYS[0]}' AND '{_DAYS[1]}' AND day(o_orderdate) <> 3 GROUP BY 1)"
+
+
+@query(f"""WITH {_O}, {_L}, {_C}, {_DAY}, w AS (SELECT ts, avg(p) OVER (ORDER BY ts ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS p FROM d),
+f AS (SELECT vin, round(avg(l_quantity), 3) AS q, min(l_linestatus) AS s, count(*) AS n FROM l GROUP BY vin),
+b AS (SELECT vin, count(*) FILTER (WHERE l_quantity < 10) AS b0, count(*) FILTER (WHERE l_quantity >= 40) AS b4 FROM l WHERE l_returnflag = 'R' GROUP BY vin),
+r AS (SELECT vin, count(*) AS n, round(sum(l_quantity), 3) AS q, count(*) FILTER (WHERE category = 'other') AS other, count(*) FILTER (WHERE category = '未分類') AS missed FROM c GROUP BY vin)
+SELECT o.vin, CAST(f.vin IS NOT NULL AS INTEGER) AS present__robot, CAST(b.vin IS NOT NULL AS INTEGER) AS present__check, o_orderpriority AS booth__o_orderpriority, f.q AS robot__mean, f.s AS robot__l_linestatus, f.n AS robot__n_rows,
+  b0 AS below, b4 AS above, coalesce(r.n, 0) AS n_repairs, r.q AS workload, coalesce(other, 0) AS other, coalesce(missed, 0) AS missed, CAST(r.n IS NOT NULL AS INTEGER) AS has_repair_record, round(CAST(CAST(w.p AS FLOAT) AS DOUBLE), 2) AS trend
+FROM o LEFT JOIN f USING (vin) LEFT JOIN b USING (vin) LEFT JOIN r USING (vin) LEFT JOIN w ON w.ts = o.o_orderdate""")
+def assemble_from_lake(spark, sf_dir):
+    """The whole way from a date-partitioned lake to the panel: folds, categories, ledger, joins, trends, pruning."""
+    out = _from_lake(spark, sf_dir).panel
+    assert "booth__site" not in out.columns  # a constant column is pruned
+    names = {
+        "vin": "vin", "present__robot": "present__robot", "present__check": "present__check", "booth__o_orderpriority": "booth__o_orderpriority", "robot__l_測定値__mean": "robot__mean", "robot__l_linestatus": "robot__l_linestatus",
+        "robot__n_rows": "robot__n_rows", "defect_check__size_bin__10未満": "below", "defect_check__size_bin__40以上": "above", "repair_rework__count": "n_repairs", "repair_rework__l_quantity_sum": "workload",
+        "repair_rework__category__other": "other", "repair_rework__category__未分類": "missed", "has_repair_record": "has_repair_record", "trend__p_測定値": "trend",
+    }
+    digits = {"robot__mean": 3, "workload": 3, "trend": 2}
+    return out.select(*[(F.round(F.col(f"`{c}`").cast("double"), digits[n]) if n in digits else F.col(f"`{c}`")).alias(n) for c, n in names.items()])
+
+
+@query(f"""WITH {_O}, {_L}, {_C}, a AS (SELECT o_orderkey % 50 = 0 AS dummy, * FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN '{_DAYS[0]}' AND '{_DAYS[1]}'), al AS (SELECT * FROM lineitem JOIN a ON l_orderkey = o_orderkey)
+SELECT 'traceability' AS kind, 'booth' AS source, count(*) AS n_rows, count(DISTINCT o_orderkey) FILTER (WHERE NOT dummy) AS n_vin, count(*) FILTER (WHERE dummy) AS n_dummy, '' AS categories, CAST(NULL AS BIGINT) AS n_vin_not_in_ledger, CAST(NULL AS BIGINT) AS n_size_under, CAST(NULL AS BIGINT) AS n_size_over FROM a
+UNION ALL SELECT 'traceability', 'robot', count(*), count(DISTINCT o_orderkey) FILTER (WHERE NOT dummy), count(*) FILTER (WHERE dummy), '', NULL, NULL, NULL FROM al
+UNION ALL SELECT 'defect', 'check', count(*), count(DISTINCT o_orderkey) FILTER (WHERE NOT dummy), count(*) FILTER (WHERE dummy), '10未満;10_20;20_30;30_40;40以上', NULL, count(*) FILTER (WHERE NOT dummy AND l_quantity < 10), count(*) FILTER (WHERE NOT dummy AND l_quantity >= 40) FROM al WHERE l_returnflag = 'R'
+UNION ALL SELECT 'repair', 'rework', count(*), count(DISTINCT o_orderkey) FILTER (WHERE NOT dummy), count(*) FILTER (WHERE dummy), (SELECT string_agg(category, ';' ORDER BY category) FROM (SELECT DISTINCT category FROM c)), 0, NULL, NULL FROM al WHERE l_returnflag = 'A'""")
+def assemble_quality(spark, sf_dir):
+    return _from_lake(spark, sf_dir).quality.drop("n_files", "n_duplicate", "n_date_failed")
+
+
+@query(f"""WITH {_O}, {_L}, {_C} SELECT 'rework' AS source, category AS label, o_orderstatus, step, count(*) AS n_rows, count(DISTINCT vin) AS n_vin FROM c WHERE category IN ('対象外工程', '未分類', 'グラフ対象外') GROUP BY ALL""")
+def assemble_unmatched(spark, sf_dir):
+    return _from_lake(spark, sf_dir).unmatched
+
+
+@query(f"""WITH {_O}, {_DAY} SELECT 'booth__o_orderdate' AS anchor_column, count(*) AS n_vin, count(ts) AS n_matched FROM o LEFT JOIN d ON ts = o_orderdate""")
+def assemble_match(spark, sf_dir):
+    return _from_lake(spark, sf_dir).match.select("anchor_column", "n_vin", "n_matched")

@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..defaults import UNKNOWN_DATE
+from ..functions.categories import small
 from ..functions.cleaning import downcast, parse_datetime, preprocess
-from ..functions.naming import normalize_columns
+from ..functions.naming import clean_names
 from ..functions.units import normalize_units
 from ..operators.select import apply_filters, add_repair_groups
 from .raw import pick_columns, read_csv
 
 DATE_FORMATS = ("yyyy/M/d H:m:s", "yyyy/M/d H:m")
+MANIFEST = "path string, length long, modified timestamp, src_file string, kind string, source string, batch string"
+
+
+def file_stem(path: str) -> str:
+    return unquote(path.rsplit("/", 1)[-1]).removesuffix(".csv")
+
+
+def _stem_column() -> Column:
+    return F.url_decode(F.regexp_extract("_metadata.file_path", r"([^/]+)\.csv$", 1))
 
 
 def with_date(df: DataFrame, anchor: str) -> DataFrame:
@@ -23,27 +35,39 @@ def with_date(df: DataFrame, anchor: str) -> DataFrame:
 
 
 def write_lake(df: DataFrame, path: str, anchor: str, partitions: Sequence[str] = ("date",), mode: str = "overwrite") -> None:
-    """Snappy Parquet by day; rows of one day are gathered so that a day has few files."""
+    """Snappy Parquet by day.
+
+    Rows of one day are gathered so that a day has few files; a day (or the
+    ``unknown`` one) of more rows than a task should take is split over several.
+    """
     dated = with_date(df, anchor)
-    dated.repartition(*[F.col(c) for c in partitions]).write.mode(mode).option("compression", "snappy").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    writer = dated.hint("rebalance", *[F.col(c) for c in partitions]).write.mode(mode)
+    writer.option("compression", "snappy").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
 def read_lake(spark: SparkSession, path: str, columns: Sequence[str] | None = None, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
     """Rows of a date range; dates compare as text, so ``unknown`` lies after every day."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     df = spark.read.parquet(path)
+    date = F.col("date").cast("string")  # Spark reads the folders' names as dates where all of them are
     if date_from:
-        df = df.where(F.col("date") >= date_from)
+        df = df.where(date >= date_from)
     if date_to:
-        df = df.where(F.col("date") <= date_to)
-    return df.select(*columns) if columns else df
+        df = df.where(date <= date_to)
+    df = df.withColumn("date", date)
+    return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
+
 
+def convert_source(spark: SparkSession, paths: Sequence[str], kind: str, spec: dict | None = None, file_column: str | None = None) -> tuple[DataFrame, str]:
+    """Read a source's files and bring them to the lake's form; returns rows and the anchor column.
 
-def convert_source(spark: SparkSession, paths: Sequence[str], kind: str, spec: dict | None = None) -> tuple[DataFrame, str]:
-    """Read a source's files and bring them to the lake's form; returns rows and the anchor column."""
+    ``file_column`` adds the stem of each row's file.
+    """
     spec = spec or {}
     raw = read_csv(spark, list(paths), spec.get("encoding", "UTF-8"), spec.get("encoding_fallbacks", ()))
-    df = normalize_columns(raw)
+    names = clean_names(raw.columns)
+    if file_column:
+        raw, names = raw.select("*", _stem_column().alias(file_column)), [*names, file_column]
+    df = raw.toDF(*names)
     df = preprocess(df, spec)
     time, unit = pick_columns(df.columns, kind, spec.get("time_column"))
     stamps = [c for c in df.columns if c == time or any(k in c for k in spec.get("datetime_keywords", ("通過日時", "DATETIME")))]
@@ -67,27 +91,43 @@ def new_or_changed(inventory: DataFrame, manifest: DataFrame | None, force: bool
 def incremental_convert(spark: SparkSession, inventory: DataFrame, lake: str, manifest: DataFrame | None, specs: dict[str, dict] | None = None, force: bool = False) -> tuple[list[tuple[str, str]], DataFrame]:
     """Convert new and changed files; returns failures (path, reason) and the new manifest.
 
-    Each file owns the partitions ``src_file=...`` of its source and replaces
-    them whole after it was read, so a shrunken file leaves nothing behind and
-    a failed one keeps its former rows.  A failing file does not stop the rest.
+    The files of a source are converted by one job into a folder of their own,
+    ``batch=...``; the manifest says in which batch a file's rows are valid, so
+    a shrunken file leaves nothing behind and a failed one keeps its former
+    rows.  Where the job fails, its files are converted one by one, and those
+    that fail do not stop the rest.  ``read_converted`` reads the valid rows.
     """
-    todo = [r.asDict() for r in new_or_changed(inventory, manifest, force).toLocalIterator()]  # file names
+    todo: dict[tuple[str, str], list] = {}
+    for r in new_or_changed(inventory, manifest, force).toLocalIterator():  # file names
+        todo.setdefault((r["kind"], r["source"]), []).append(r)
     done, failed = [], []
-    for r in todo:
-        try:
-            df, anchor = convert_source(spark, [r["path"]], r["kind"], (specs or {}).get(r["kind"]))
-            stem = r["path"].rsplit("/", 1)[-1].removesuffix(".csv")
-            target = f"{lake}/{r['kind']}/{r['source']}/src_file={stem}"
-            with_date(df, anchor).write.mode("overwrite").option("compression", "snappy").partitionBy("date").parquet(target)
-            done.append((r["path"], r["length"], r["modified"]))
-        except Exception as e:  # noqa: BLE001  the other files go on
-            failed.append((r["path"], str(e).splitlines()[0]))
-    fresh = spark.createDataFrame(done, "path string, length long, modified timestamp")
+    for (kind, source), files in todo.items():
+        rounds = [files] + ([[f] for f in files] if len(files) > 1 else [])
+        for k, part in enumerate(rounds):
+            batch = uuid.uuid4().hex
+            try:
+                df, anchor = convert_source(spark, [f["path"] for f in part], kind, (specs or {}).get(kind), file_column="src_file")
+                write_lake(df, f"{lake}/{kind}/{source}/batch={batch}", anchor, ["src_file", "date"])
+            except Exception as e:  # noqa: BLE001  the other files go on
+                failed += [(part[0]["path"], str(e).splitlines()[0])] if len(part) == 1 else []
+                continue
+            done += [(f["path"], f["length"], f["modified"], file_stem(f["path"]), kind, source, batch) for f in part]
+            if k == 0:
+                break
+    fresh = spark.createDataFrame(done, MANIFEST)
     if manifest is not None:
-        fresh = manifest.select("path", "length", "modified").join(fresh.select("path"), "path", "left_anti").unionByName(fresh)
+        fresh = manifest.join(fresh.select("path"), "path", "left_anti").unionByName(fresh)
     return failed, fresh
 
 
+def read_converted(spark: SparkSession, lake: str, kind: str, source: str, manifest: DataFrame, **dates) -> DataFrame:
+    """The rows of a source that the manifest calls valid; ``dates`` as in ``read_lake``."""
+    valid = manifest.where((F.col("kind") == kind) & (F.col("source") == source)).select(F.col("batch").alias("_batch"), F.col("src_file").alias("_file"))
+    rows = read_lake(spark, f"{lake}/{kind}/{source}", **dates)
+    same = (F.col("batch").cast("string") == F.col("_batch")) & (F.col("src_file").cast("string") == F.col("_file"))
+    return rows.join(small(valid), same, "left_semi").drop("batch", "src_file")  # as many rows as files
+
+
 def read_table(spark: SparkSession, path: str, dates: Sequence[str] = ()) -> DataFrame:
     """Parquet, or CSV by its ending, with the named columns as timestamps."""
     if path.rstrip("/").endswith(".csv"):

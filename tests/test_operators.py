@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from plantpanel.functions import pvalues
 from plantpanel.operators import charts, ml, panel, profile, select, stats, timeseries
 
 T0 = dt.datetime(2026, 7, 24, 9, 50)
@@ -115,7 +116,7 @@ def test_filters(spark):
         select.clause_predicate(df, {"column": "zz", "eq": 1}, "error")
     with pytest.raises(ValueError):
         select.apply_filters(df, [{"column": "n", "min": 99}], check=True)
-    assert select.describe_filters(df, []) == "none" and "n in [1, 2]" in select.describe_filters(df, [{"column": "n", "min": 1, "max": 2}])
+    assert select.describe_filters(df, []) == "none" and select.describe_filters(df, [{"column": "n", "min": 1, "max": 2}, {"column": "zz", "eq": 1}, {"query": "n > 1"}]) == "n >= 1 and n <= 2 / zz (missing) / n > 1"
 
 
 def test_groups(spark):
@@ -156,7 +157,17 @@ def test_charts(spark):
         assert charts.chart_table(df, bad).columns == ["title", "skipped"]
     assert charts.chart_table(df, {"type": "scatter", "x": "n", "y": "t"}, max_points=7).count() == 7
     assert charts.daily_trend(df.withColumn("d", F.lit(T0)), "d", "t").count() == 0
-    assert set(charts.eda_tables(df, ["n"], ["c"], "t")) >= {"correlation_matrix", "rate_by_category", "histogram:n", "box:n"}
+    assert set(charts.eda_tables(df, ["n"], ["c"], "t")) == {"correlation_with_target", "rate_by_category"}
+    wide = df.withColumn("eq__n", F.col("n"))
+    assert set(charts.eda_tables(wide, ["eq__n"], ["c"], "t")) >= {"histograms", "histograms_by_equipment", "boxes", "correlations_by_equipment", "correlations_across_equipment"}
+    # A hue has bins over its own range, a heat map no hue; filters that leave nothing give the reason.
+    apart = spark.createDataFrame([(float(i + 100 * k), k) for k in (0, 1) for i in range(10)], "v double, k int")
+    assert sorted((r["hue"], r["n"]) for r in charts.histogram(apart, "v", 5, "k").collect()) == [(0, 2)] * 5 + [(1, 2)] * 5
+    many = spark.createDataFrame([(float(i), float(i % 7), i % 20) for i in range(200)], "a double, b double, h int")
+    assert {r["n"] for r in charts.chart_table(many, {"type": "heatmap", "columns": ["a", "b"], "hue": "h"}).collect()} == {200}
+    assert charts.chart_table(df, {"type": "bar", "x": "c", "filters": [{"column": "n", "min": 99}]}).columns == ["title", "skipped"]
+    names = [f"c{i}" for i in range(70)]
+    assert stats.correlation_matrix(many.select(*[(F.col("a") * (i + 1) + F.col("b")).alias(c) for i, c in enumerate(names)]), names).count() == 70 * 71 // 2
 
 
 def test_roc_area(spark):
@@ -165,6 +176,40 @@ def test_roc_area(spark):
     assert areas.first()["roc_auc"] == pytest.approx(5 / 6)
 
 
+def test_area_does_not_depend_on_the_scale(spark):
+    df = spark.createDataFrame([(0.5 + i * 1e-9, int(i >= 50)) for i in range(100)], "score double, label int")
+    a = ml.areas(df).first()
+    assert a["roc_auc"] == 1.0 and a["pr_auc"] == 1.0
+    flat = ml.areas(spark.createDataFrame([(0.1, 1), (0.1, 0), (0.1, 0)], "score double, label int")).first()
+    assert flat["roc_auc"] == 0.5 and flat["pr_auc"] == pytest.approx(1 / 3)
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 4096])
+def test_ranks_over_ranges(spark, ranges):
+    values = [float(i * i % 101) for i in range(300)] + [1e12, -5.0, float("inf")]
+    rows = spark.createDataFrame([("f", v) for v in values], "g string, v double")
+    order = sorted(values)
+    want = {v: (order.index(v) + 1 + order.index(v) + order.count(v)) / 2 for v in values}
+    assert {r["v"]: r["rank"] for r in stats.average_ranks(rows, ["g"], "v", ranges).collect()} == want
+
+
+def test_exact_rank_sum(spark):
+    # Published two-sided critical values: U = 2 of 5 and 5 has p = 0.0317, U = 0 of 3 and 5 has 0.0357.
+    assert pvalues.rank_sum_two_sided(2, 5, 5) == pytest.approx(0.031746, abs=1e-6)
+    assert pvalues.rank_sum_two_sided(0, 3, 5) == pytest.approx(0.035714, abs=1e-6)
+    assert pvalues.rank_sum_two_sided(12.5, 5, 5) == 1.0
+    df = spark.createDataFrame([(float(i), int(i > 3)) for i in range(9)], "x double, y int")
+    out = {r["test"]: r for r in stats.run_stats(df, ["x"], [], ["y"]).collect()}
+    assert out["mann_whitney"]["p_value"] == pytest.approx(2 / 126)
+
+
+def test_published_tails():
+    assert pvalues.t_two_sided(2.228, 10) == pytest.approx(0.05, abs=1e-4)
+    assert pvalues.chi2_tail(11.07, 5) == pytest.approx(0.05, abs=1e-4)
+    assert pvalues.f_tail(3.326, 5, 10) == pytest.approx(0.05, abs=1e-4)
+    assert pvalues.normal_two_sided(1.959964) == pytest.approx(0.05, abs=1e-6)
+
+
 def test_folds_are_stratified(spark):
     df = spark.range(1000).withColumn("label", (F.col("id") % 10 == 0).cast("double"))
     sizes = {(r["label"], r["fold"]): r["count"] for r in ml.folds(df, 5, ["id"]).groupBy("label", "fold").count().collect()}

@@ -5,6 +5,7 @@ import time
 
 import pytest
 
+from plantpanel.functions import categories
 from plantpanel.sources import lake, raw
 
 SPEC = {"repair": {"encoding": "cp932", "strip_apostrophe": True, "time_column": "PB_ON", "datetime_columns": [{"columns": ["PB_ON"], "format": "yyyyMMdd HHmmss"}]}, "traceability": {"numeric_columns": ["値"], "encoding": "UTF-8"}}
@@ -50,18 +51,38 @@ def test_convert_incrementally(spark, raw_dir):
     at = str(raw_dir / "lake")
     failed, manifest = lake.incremental_convert(spark, inventory(), at, None, SPEC)
     assert not failed and manifest.count() == 3
-    rows = {r["vin"]: r for r in lake.read_lake(spark, f"{at}/traceability/x").collect()}
+    read = lambda kind, source, **dates: lake.read_converted(spark, at, kind, source, manifest, **dates)
+    rows = {r["vin"]: r for r in read("traceability", "x").collect()}
     assert rows["A"]["date"] == "2026-07-24" and rows["B"]["date"] == "unknown" and rows["B"]["値"] is None and rows["DUMMY-1d"]["vin_is_dummy"]
     assert rows["DUMMY-1d"]["通過日時"] == dt.datetime(2026, 7, 25, 0, 1)
-    assert lake.read_lake(spark, f"{at}/repair/修正").first()["PB_ON"] == dt.datetime(2026, 7, 24, 10, 11, 12)
+    assert read("repair", "修正").first()["PB_ON"] == dt.datetime(2026, 7, 24, 10, 11, 12)
     assert lake.new_or_changed(inventory(), manifest).isEmpty() and not lake.new_or_changed(inventory(), manifest, force=True).isEmpty()
-    assert {r["vin"] for r in lake.read_lake(spark, f"{at}/traceability/x", ["vin"], date_from="2026-07-25").collect()} == {"DUMMY-1d", "B", "C"}
-    assert {r["vin"] for r in lake.read_lake(spark, f"{at}/traceability/x", ["vin"], date_to="2026-07-24").collect()} == {"A"}
+    assert {r["vin"] for r in read("traceability", "x", date_from="2026-07-25").collect()} == {"DUMMY-1d", "B", "C"}
+    assert {r["vin"] for r in read("traceability", "x", date_to="2026-07-24").collect()} == {"A"}
     # A shrunken file leaves nothing behind; a broken one keeps its former rows.
     time.sleep(0.01)
     put(raw_dir / "raw/traceability/x_202607.csv", "VIN#,通過日時,値\nA,2026/07/24 23:59:00,1.5\n")
     put(raw_dir / "raw/repair/defect.csv", "VIN,大分類\n'A,キズ\n", "cp932")
     failed, manifest = lake.incremental_convert(spark, inventory(), at, manifest, SPEC)
     assert [f[0].rsplit("/", 1)[-1] for f in failed] == ["defect.csv"]
-    assert {r["vin"] for r in lake.read_lake(spark, f"{at}/traceability/x").collect()} == {"A", "C"}
-    assert lake.read_lake(spark, f"{at}/repair/修正").count() == 1
+    assert {r["vin"] for r in read("traceability", "x").collect()} == {"A", "C"}
+    assert read("repair", "修正").count() == 1
+
+
+def test_lake_of_days_alone(spark, tmp_path):
+    """Where all folders are days, they are still told apart as text, and no session setting changes."""
+    before = spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled")
+    df = spark.createDataFrame([(1, dt.datetime(2026, 1, 1)), (2, dt.datetime(2026, 1, 2))], "x int, t timestamp")
+    lake.write_lake(df, str(tmp_path / "lake"), "t")
+    got = lake.read_lake(spark, str(tmp_path / "lake"), ["x", "date"], "2026-01-02").collect()
+    assert [tuple(r) for r in got] == [(2, "2026-01-02")]
+    assert spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled") == before
+
+
+def test_mapping_file(spark, tmp_path):
+    put(tmp_path / "map.csv", "value,category\n# comment\na,x\nb,y\n")
+    assert {tuple(r) for r in categories.load_mapping(spark, str(tmp_path / "map.csv")).collect()} == {("a", "x"), ("b", "y")}
+    for k, bad in enumerate(("value,kind\na,x\n", "value,category\na,\n", "value,category\na,x\na,y\n")):
+        put(tmp_path / f"bad{k}.csv", bad)
+        with pytest.raises(ValueError):
+            categories.load_mapping(spark, str(tmp_path / f"bad{k}.csv"))
