@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -15,11 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    A session without the setting is a local one, as in tests; it gets a folder
-    of its own under the warehouse, which every Spark session shares as well.
+    A local session without the setting, as in tests, gets a folder of its own
+    under the warehouse; on a cluster the setting is needed.
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     return at
 
@@ -35,6 +37,21 @@ def settled(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_order(ids: DataFrame) -> DataFrame:
+    """(id, number): the distinct ids, nulls left out, numbered from 0 in their order.
+
+    Ids are dealt to tasks by ranges and numbered inside each; only the table
+    of range sizes, one row for each task, is summed up in one place.
+    """
+    ranged = ids.where("id IS NOT NULL").distinct().repartitionByRange("id").sortWithinPartitions("id")
+    # The number of a row inside its partition is the low part of this id.
+    placed = settled(ranged.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33)))
+    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_start"))
+    inside = F.col("_at") - F.shiftleft(F.col("_part"), 33)
+    return placed.join(F.broadcast(starts), "_part").select("id", (F.col("_start") + inside).alias("number"))  # a row per task
+
+
 def held_out(column: str, modulus: int, remainder: int):
     """Whether crc32(id as text) mod ``modulus`` is ``remainder``; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % modulus == remainder, F.lit(False))

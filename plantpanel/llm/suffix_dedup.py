@@ -11,10 +11,12 @@ sorting all suffixes of the corpus:
    equal runs among themselves, then one entry for each distinct run goes to
    the anchor's bucket.  A run that a smaller document has whole goes.
 2. Where an anchor has several different runs in several documents, their bytes
-   are fetched.  Each bucket sorts the suffixes of its shards of runs, and
-   merges the shards' Burrows-Wheeler transforms by iterative interleave
-   refinement.  Round k of the refinement tells which suffixes share k bytes;
-   after ``min_bytes`` rounds the blocks left are the repeated intervals.
+   are fetched.  Windows whose hash no other document has are left out, which
+   loses nothing; of equal strings that are left, byte by byte, one stands for
+   all.  Each bucket sorts the suffixes of its shards of strings, and merges the
+   shards' Burrows-Wheeler transforms by iterative interleave refinement.
+   Round k of the refinement tells which suffixes share k bytes; after
+   ``min_bytes`` rounds the blocks left are the repeated intervals.
 3. The verdicts return to their documents, which drop the covered bytes.
 """
 
@@ -29,9 +31,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textkit as tk
-from .common import settled
+from .common import in_order, settled
 
 MIN_BYTES = 50
 ANCHOR_BYTES = 20
@@ -182,8 +185,8 @@ def merge_transforms(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], de
     return shard, block
 
 
-def repeated_windows(strings: list[bytes], docs: np.ndarray, depth: int = MIN_BYTES, shard_symbols: int = SHARD_SYMBOLS) -> list[np.ndarray]:
-    """For each string, which of its windows of ``depth`` bytes start in a smaller document's string."""
+def merged_least(strings: list[bytes], docs: np.ndarray, depth: int = MIN_BYTES, shard_symbols: int = SHARD_SYMBOLS) -> list[np.ndarray]:
+    """For each string, the smallest document that has each of its windows of ``depth`` bytes, from merged transforms."""
     order = sorted(range(len(strings)), key=lambda i: (strings[i], docs[i]))
     lengths = np.array([len(strings[i]) + 1 for i in order])
     ends = np.cumsum(lengths)
@@ -207,13 +210,54 @@ def repeated_windows(strings: list[bytes], docs: np.ndarray, depth: int = MIN_BY
     owner = np.repeat(np.array(docs)[order], lengths)
     # Blocks are contiguous in merged order: least document of each.
     opens = np.flatnonzero(np.diff(block, prepend=-1))
-    least = np.minimum.reduceat(owner[where], opens)
-    later = np.empty(len(text), dtype=bool)
-    later[where] = np.repeat(least, np.diff(opens, append=len(text))) < owner[where]
-    out: list[np.ndarray] = [np.zeros(0, bool)] * len(strings)
+    smallest = np.empty(len(text), dtype=owner.dtype)
+    smallest[where] = np.repeat(np.minimum.reduceat(owner[where], opens), np.diff(opens, append=len(text)))
+    out: list[np.ndarray] = [np.zeros(0, owner.dtype)] * len(strings)
     for k, i in enumerate(order):
         begin = int(ends[k] - lengths[k])
-        out[i] = later[begin : begin + max(0, int(lengths[k]) - depth)]
+        out[i] = smallest[begin : begin + max(0, int(lengths[k]) - depth)]
+    return out
+
+
+def shared_stretches(strings: list[bytes], docs: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of windows whose hash several documents have: string, first window, number of windows."""
+    none = (np.zeros(0, np.int64),) * 3
+    lengths = np.array([len(x) for x in strings])
+    data = np.frombuffer(b"".join(strings), dtype=np.uint8)
+    if len(data) < depth:
+        return none
+    ends = np.cumsum(lengths)
+    owner = np.repeat(np.arange(len(strings)), lengths)[: len(data) - depth + 1]
+    inside = np.flatnonzero(np.arange(len(owner)) + depth <= ends[owner])
+    h, doc = tk.Hasher(data).grams(depth)[inside], docs[owner[inside]]
+    order = np.argsort(h)
+    opens = np.flatnonzero(np.append(True, h[order[1:]] != h[order[:-1]])) if len(h) else np.zeros(0, np.int64)
+    if not len(opens):
+        return none
+    several = np.minimum.reduceat(doc[order], opens) < np.maximum.reduceat(doc[order], opens)
+    shared = np.zeros(len(owner) + 1, dtype=bool)
+    shared[inside[order]] = np.repeat(several, np.diff(opens, append=len(h)))
+    at = np.flatnonzero(shared)
+    lead = np.ones(len(at), dtype=bool)
+    lead[1:] = (at[1:] != at[:-1] + 1) | (owner[at[1:]] != owner[at[:-1]])
+    first = np.flatnonzero(lead)
+    begins = at[first]
+    return owner[begins], begins - (ends - lengths)[owner[begins]], np.diff(first, append=len(at))
+
+
+def repeated_windows(strings: list[bytes], docs: np.ndarray, depth: int = MIN_BYTES, shard_symbols: int = SHARD_SYMBOLS) -> list[np.ndarray]:
+    """For each string, which of its windows of ``depth`` bytes start in a smaller document's string."""
+    docs = np.asarray(docs)
+    out = [np.zeros(max(0, len(x) - depth + 1), dtype=bool) for x in strings]
+    owner, start, count = (x.tolist() for x in shared_stretches(strings, docs, depth))
+    pieces = [strings[i][a : a + n + depth - 1] for i, a, n in zip(owner, start, count)]
+    least: dict[bytes, int] = {}
+    for i, piece in zip(owner, pieces):
+        least[piece] = min(int(docs[i]), least.get(piece, int(docs[i])))
+    if least:
+        found = dict(zip(least, merged_least(list(least), np.array(list(least.values())), depth, shard_symbols)))
+        for i, a, n, piece in zip(owner, start, count, pieces):
+            out[i][a : a + n] = found[piece] < docs[i]
     return out
 
 
@@ -421,8 +465,14 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     all and make nothing go.  Rows that share an id never make each other's
     bytes go.  Empty tables give no rows; other columns are ignored.
     """
+    numbers = None
+    if isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    else:
+        # Ids of another kind are numbered in their order.
+        numbers = in_order(docs.select(F.col(id_col).alias("id")))
+        slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(numbers, "id", "left").select(F.col("number").alias("doc_id"), "text")
     kind = docs.schema[id_col].dataType.simpleString()
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(1, math.ceil(total / BUCKET_BYTES))
     n_groups = 2 * math.ceil(total / GROUP_BYTES / 2) + 1
@@ -430,7 +480,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     entries = slim.mapInArrow(lambda it: _entries(it, n_buckets, n_groups, min_bytes), _ddl(_ENTRY))
     verdicts = settled(entries.groupBy("bucket").applyInArrow(lambda t: _resolve(t, n_groups), _ddl(_VERDICT)))
 
-    texts = slim.withColumn("g", F.coalesce(F.pmod("doc_id", F.lit(n_groups)), F.lit(0)).cast("int"))
+    spread = [F.pmod(x, F.lit(n_groups)) for x in (F.col("doc_id"), F.xxhash64("text"))]
+    texts = slim.withColumn("g", F.coalesce(*spread, F.lit(0)).cast("int"))
     asked = verdicts.where("octet_length(ask_run) > 0").select("g", "bucket", "ask_run", "ask_doc")
     parts = (
         texts.groupBy("g").cogroup(asked.groupBy("g")).applyInArrow(lambda t, v: _fetch(t, v, min_bytes), _ddl(_BYTES))
@@ -457,4 +508,6 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return pa.Table.from_arrays(arrays + [pa.array(left, pa.binary())] * with_text, schema=schema)
 
     out = texts.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(finish, ddl)
-    return out.withColumn("doc_id", F.col("doc_id").cast(kind))
+    if numbers is None:
+        return out.withColumn("doc_id", F.col("doc_id").cast(kind))
+    return out.join(numbers, F.col("doc_id") == F.col("number"), "left").select(F.col("id").alias("doc_id"), *[c for c in out.columns if c != "doc_id"])

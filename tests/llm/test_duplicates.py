@@ -201,6 +201,8 @@ def test_merged_transforms_find_the_repeated_windows():
             for k in range(len(s) - depth + 1):
                 least[s[k : k + depth]] = min(d, least.get(s[k : k + depth], 1 << 40))
         for shard in (100, 1500, 1 << 20):
+            for s, got in zip(strings, suffix_dedup.merged_least(strings, docs, depth, shard)):
+                assert got.tolist() == [least[s[k : k + depth]] for k in range(len(s) - depth + 1)]
             for s, d, got in zip(strings, docs, suffix_dedup.repeated_windows(strings, docs, depth, shard)):
                 assert got.tolist() == [bool(least[s[k : k + depth]] < d) for k in range(len(s) - depth + 1)]
 
@@ -351,3 +353,11 @@ def test_boundaries_are_those_of_a_plain_loop():
                 want.append((first, k))
             first = k + 1
     assert list(zip(*(x.tolist() for x in line_dedup.content_chunks(h, docs, begins, stops)))) == want
+
+
+def test_repeats_with_string_ids(spark):
+    docs = corpus(spark)
+    named = docs.withColumn("doc_id", F.expr("IF(doc_id IS NULL, NULL, format_string('d%05d', doc_id))"))
+    want = {tuple(r)[0]: tuple(r)[1:] for r in suffix_dedup.remove_repeats(docs).collect() if r["doc_id"] is not None}
+    got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.remove_repeats(named).collect() if r["doc_id"] is not None}
+    assert got == {f"d{i:05d}": v for i, v in want.items()}
