@@ -2,9 +2,11 @@
 
 The mix is cut into blocks of equally many words.  Sources receive blocks by
 the highest quotients ``target / (2k + 1)``; each source's blocks are dealt on
-to its shards the same way, and inside a shard, whose documents lie in seeded
-order, a seeded choice of blocks says which of them the mix takes.  No step holds more than one shard of
-one source in a task, so a source with a third of all rows is cut into many.
+to its groups of shards and to the shards of each group the same way, and
+inside a shard, whose documents lie in seeded order, a seeded choice of blocks
+says which of them the mix takes.  What a full shard cannot take goes to the
+next ones.  No step holds more than one shard, or one group of shards, of one
+source in a task, so a source with a third of all rows is cut into many.
 """
 
 from __future__ import annotations
@@ -21,19 +23,21 @@ from pyspark.sql import functions as F
 from . import textkit as tk
 from .common import settled, unused
 
-#: Words are runs of anything but these bytes.
-SEPARATORS = r"[\x20\x09-\x0D]+"
+#: Words are runs of anything but white space.
+WORD = r"[^\x20\x09-\x0D]+"
 WEIGHT_CYCLE = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
+#: Shards that are dealt to together.
+GROUP_SHARDS = 1000
+#: Equal rows that go to one shard.
+REPEATS = 1000
+#: Hashes of rows repeated more often are broadcast up to this many (16 bytes each).
+BROADCAST_HASHES = 1_000_000
 
 
 def word_count(text: F.Column) -> F.Column:
-    """Number of words of a text, with built-in functions only; null gives 0."""
-    parts = F.size(F.split(text, SEPARATORS))
-    empty_first = F.when(text.rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)
-    empty_last = F.when(text.rlike(r"[\x20\x09-\x0D]\z"), 1).otherwise(0)
-    blank = ~text.rlike(r"[^\x20\x09-\x0D]")
-    return F.when(text.isNull() | blank, 0).otherwise(parts - empty_first - empty_last).cast("long")
+    """Number of words of a text; null gives 0."""
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def water_fill(caps: np.ndarray, weights: np.ndarray, total: float) -> np.ndarray:
@@ -90,6 +94,18 @@ def sainte_lague(votes: np.ndarray, seats: int, most: np.ndarray | None = None)
     return out.astype(np.int64)
 
 
+def deal_words(words: np.ndarray, take: int, block: int) -> np.ndarray:
+    """Words that each shard gives of ``take``: whole blocks by highest quotients, at most ``MAX_REPEATS`` times its own.
+
+    What rounding and full shards leave over goes to the first shards with room.
+    """
+    most = MAX_REPEATS * words
+    got = np.minimum(sainte_lague(words.astype(float), take // block, np.ceil(most / block)) * block, most)
+    room = most - got
+    before = np.cumsum(room) - room
+    return got + np.clip(min(take, int(most.sum())) - got.sum() - before, 0, room)
+
+
 def mix_sources(
     docs: DataFrame,
     *,
@@ -100,7 +116,6 @@ def mix_sources(
     share: float = 1.0,
     block_words: int = 64,
     shard_docs: int = 500,
-    max_sources: int = 1_000_000,
     seed: int = 17,
     with_ranges: bool = False,
 ) -> DataFrame:
@@ -119,8 +134,9 @@ def mix_sources(
     whole copies taken, ``ranges``, the words taken besides them as (lo, hi) in
     ascending order, and ``text_id``, the text's hash.
 
-    The per-source totals meet on the driver: one row for each source of the
-    mixing recipe (``max_sources`` bounds them).
+    Texts of any length count whole.  The per-source totals meet on the driver:
+    one row for each source of the mixing recipe.  Rows that are repeated more
+    often than ``REPEATS`` are dealt to several shards.
     """
     spark = docs.sparkSession
     narrow = settled(
@@ -132,15 +148,19 @@ def mix_sources(
         )
     )
     sources = settled(narrow.groupBy(F.col("source").alias("_source")).agg(F.ceil(F.count("*") / shard_docs).alias("_shards")))
-    if sources.count() > max_sources:
-        raise ValueError(f"more than {max_sources} sources: name their weights by a coarser column")
     keyed = narrow.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumns(
         {
             "_null": F.col("source").isNull(),
             "_key": F.coalesce("source", F.lit("")),
             "_order": F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"), F.col("size")),
         }
-    ).withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed + 1), "_order"), F.col("_shards")).cast("int"))
+    )
+    often = settled(keyed.groupBy(F.col("_order").alias("_often")).agg(F.ceil(F.count("*") / REPEATS).alias("_parts")).where("_parts > 1"))
+    if often.count() <= BROADCAST_HASHES:
+        often = F.broadcast(often)
+    salt = F.pmod(F.monotonically_increasing_id(), F.coalesce("_parts", F.lit(1)))
+    keyed = keyed.join(often, F.col("_order") == F.col("_often"), "left").withColumn("_salt", salt)
+    keyed = keyed.withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed + 1), "_order", "_salt"), F.col("_shards")).cast("int")).drop("_often", "_parts", "_salt")
 
     shard_sizes = keyed.groupBy("_null", "_key", "_shard").agg(F.sum("size").alias("shard_words"))
     totals = shard_sizes.groupBy("_null", "_key").agg(F.sum("shard_words").alias("words")).toPandas()
@@ -153,25 +173,30 @@ def mix_sources(
     smallest = target[target > 0].min() if (target > 0).any() else 1.0
     block = int(max(1, min(block_words, smallest // 200 or 1)))
     totals["target"] = target
-    totals["blocks"] = sainte_lague(target, round(target.sum() / block), np.ceil(MAX_REPEATS * words / block))
-    quotas_by_source = spark.createDataFrame(
-        totals.rename(columns={"words": "source_words"})[["_null", "_key", "source_words", "target", "blocks"]],
-        "_null boolean, _key string, source_words long, target double, blocks long",
+    blocks = sainte_lague(target, round(target.sum() / block), np.ceil(MAX_REPEATS * words / block))
+    totals["take"] = np.minimum(blocks * block, MAX_REPEATS * words).astype(np.int64)
+    quotas = spark.createDataFrame(
+        totals.rename(columns={"words": "source_words"})[["_null", "_key", "source_words", "target", "take"]],
+        "_null boolean, _key string, source_words long, target double, take long",
     )
 
-    def deal(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_shard")
-        words = pdf["shard_words"].to_numpy(dtype=float)
-        most = np.ceil(MAX_REPEATS * words / block)
-        got = sainte_lague(words, int(pdf["blocks"].iloc[0]), most)
-        pdf["take"] = np.minimum(got * block, MAX_REPEATS * words).astype(np.int64)
-        return pdf[["_null", "_key", "_shard", "shard_words", "source_words", "target", "take"]]
-
-    quotas = (
-        shard_sizes.join(quotas_by_source, ["_null", "_key"])
-        .groupBy("_null", "_key")
-        .applyInPandas(deal, "_null boolean, _key string, _shard int, shard_words long, source_words long, target double, take long")
-    )
+    def dealt(parts: DataFrame, quotas: DataFrame, keys: list[str], part: str) -> DataFrame:
+        """Deal the words of each quota on to its parts: (keys, part, shard_words, source_words, target, take)."""
+        columns = [*keys, part, "shard_words", "source_words", "target", "take"]
+
+        def deal(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values(part)
+            pdf["take"] = deal_words(pdf["shard_words"].to_numpy(dtype=np.int64), int(pdf["take"].iloc[0]), block)
+            return pdf[columns]
+
+        kinds = {"_null": "boolean", "_key": "string", "target": "double", "_group": "int", "_shard": "int"}
+        joined = parts.join(quotas.drop("shard_words"), keys)
+        return joined.groupBy(*keys).applyInPandas(deal, ", ".join(f"{c} {kinds.get(c, 'long')}" for c in columns))
+
+    grouped = shard_sizes.withColumn("_group", F.expr(f"cast(_shard div {GROUP_SHARDS} as int)"))
+    groups = grouped.groupBy("_null", "_key", "_group").agg(F.sum("shard_words").alias("shard_words"))
+    quotas = dealt(groups, quotas, ["_null", "_key"], "_group")
+    quotas = dealt(grouped, quotas, ["_null", "_key", "_group"], "_shard").drop("_group")
 
     w = Window.partitionBy("_null", "_key", "_shard").orderBy("_order", "doc_id", "text_id")
     laid = keyed.withColumn("_end", F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -216,7 +241,10 @@ def take_mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     A document of which the mix takes 2.5 times its words comes back twice
     whole and once with those of its words that lie in the chosen blocks, as
     one row for each connected range; one of which it takes none is gone.  Of
-    rows that share an id each comes back as often as the mix takes it.
+    rows that share an id each comes back as often as the mix takes it.  Null
+    and blank texts have no words, so they are gone too; a null id or source
+    is like any other; an empty table stays empty; texts of any length are cut
+    at their words; other columns come along whatever their names.
     """
     mix = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, with_ranges=True, **options)
     mix_id, mix_source, mix_text, mix_copy, copy, whole, ranges = unused(docs.columns, "_mix_id", "_mix_source", "_mix_text", "_mix_copy", "_copy", "_whole", "_ranges")

@@ -7,12 +7,13 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from plantpanel.llm import mixing, packing, subwords, token_counts
 from plantpanel.llm import textkit as tk
 
-from .helpers import corpus, empty, same, with_clashes, words_of
+from .helpers import corpus, empty, prose, same, with_clashes, words_of
 
 BYTES, WORDS = (public_tokenizers.path(f"{n}.json") for n in ("byte_bpe_50k", "word_bpe_49k"))
 
@@ -233,3 +234,29 @@ def test_rows_repeated_very_often_spread_over_groups(spark, monkeypatch):
             assert offset == at
             at += n
         assert at <= packing.SEQUENCE_TOKENS
+
+
+def test_full_shards_pass_on_what_they_cannot_take():
+    rng = np.random.default_rng(7)
+    for _ in range(300):
+        words = rng.integers(0, 200, rng.integers(1, 60))
+        take, block = int(rng.integers(0, 3.2 * words.sum() + 1)), int(rng.integers(1, 65))
+        got = mixing.deal_words(words, take, block)
+        assert got.sum() == min(take, 3 * words.sum()) and (got <= 3 * words).all() and (got >= 0).all()
+
+
+def test_word_count(spark):
+    texts = [None, "", " ", "a", " a b\n\tc ", "é\x85b c　d", "\x0b\x0c x"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", mixing.word_count(F.col("t")).alias("n")).collect()
+    assert [(r["t"], r["n"]) for r in rows] == [(t, len(words_of(t))) for t in texts]
+
+
+def test_a_target_near_three_times_its_source_is_met(spark, monkeypatch):
+    """Many small shards, which rounding to blocks would leave short."""
+    monkeypatch.setattr(mixing, "GROUP_SHARDS", 7)
+    rng = random.Random(3)
+    rows = [(i, prose(rng, rng.randint(1, 30)), "en", "a" if i < 120 else "b", 1) for i in range(400)]
+    docs = spark.createDataFrame([*rows, *[rows[5]] * 30], "doc_id long, text string, lang string, source string, n_chars long")
+    got = mixing.mix_sources(docs, weights={"a": 30.0, "b": 10.0}, shard_docs=2).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.first("source_size").alias("size")).collect()
+    for r in got:
+        assert abs(r["taken"] - r["target"]) <= 0.005 * r["target"] + 64
