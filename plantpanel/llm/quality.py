@@ -175,7 +175,9 @@ def score_documents(
     Returns id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     score, base_failed and kept.  A null or empty text has no words and fails
     the base rules; with no trusted document all scores are 0 and only the base
-    rules decide.  Repeated rows are judged alike; other columns are ignored.
+    rules decide.  A score at the threshold is kept; texts of any length are read
+    whole.  Repeated rows are judged alike; other columns are ignored; an empty
+    table gives no rows.
     """
     slim, shared = _ratio(docs, labels, id_col, text_col, bits)
 
@@ -190,7 +192,11 @@ def score_documents(
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_score: float = MIN_SCORE, bits: int = BUCKET_BITS) -> DataFrame:
-    """The rows of ``docs``, all columns, whose document ``score_documents`` would keep."""
+    """The rows of ``docs``, all columns, whose document ``score_documents`` would keep.
+
+    Null, empty and short texts go; texts of any length are judged whole;
+    repeated rows fare alike; an empty table stays empty.
+    """
     _, shared = _ratio(docs, labels, id_col, text_col, bits)
     text_at = docs.columns.index(text_col)
 

@@ -22,7 +22,7 @@ from .common import held_out
 BUCKET_BITS = 18
 #: Bytes of a term's beginning that count as terms of their own.
 PREFIX_BYTES = (4, 5, 6, 7, 8, 9)
-#: Bounds: terms of the machine, rows of its fitting sample.
+#: Bounds: terms of the machine (those of highest z), rows of its fitting sample.
 MAX_TERMS = 1024
 SAMPLE_ROWS = 12_000
 #: Least z-score of a term's document frequencies between the classes.
@@ -87,13 +87,13 @@ def term_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return n0, n1
 
 
-def choose_terms(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
-    """Buckets whose document frequency differs most between the classes."""
+def choose_terms(n0: np.ndarray, n1: np.ndarray, max_terms: int = MAX_TERMS) -> np.ndarray:
+    """Buckets whose document frequency differs most between the classes, ties to the smaller bucket."""
     a, b = max(n1[-1], 1.0), max(n0[-1], 1.0)
     p = (n1[:-1] + n0[:-1]) / (a + b)
     z = np.abs(n1[:-1] / a - n0[:-1] / b) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / a + 1 / b))
     z[n0[:-1] + n1[:-1] < 2] = 0
-    best = np.argsort(-z, kind="stable")[:MAX_TERMS]
+    best = np.argsort(-z, kind="stable")[:max_terms]
     return best[z[best] >= MIN_Z]
 
 
@@ -119,15 +119,30 @@ def fit_machine(docs: np.ndarray, cols: np.ndarray, y: np.ndarray, n_terms: int,
     return float(theta[0][0]), theta[1], theta[2]
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, sample_rows: int = SAMPLE_ROWS, seed: int = 23) -> DataFrame:
+def machine_scores(docs: np.ndarray, cols: np.ndarray, n: int, bias: float, w: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """Bias, weights and the inner products of all pairs of the terms of each of ``n`` texts.
+
+    The sum over pairs is half of the squared sum less the sum of squares.
+    """
+    s = bias + np.bincount(docs, weights=w[cols] - 0.5 * (f[cols] * f[cols]).sum(axis=1), minlength=n)
+    for k in range(f.shape[1]):
+        s = s + 0.5 * np.bincount(docs, weights=f[cols, k], minlength=n) ** 2
+    return s
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX_TERMS, seed: int = 23) -> DataFrame:
     """held_out, score (0 to 1) and predicted (score >= threshold) of every document.
 
     Labels are learned only from rows whose crc32(id as text) mod 3 is not 1;
     rows without a label, or with another value than 0 and 1, teach nothing.
     Null and empty texts get the score of a text without terms; without any
     toxic label every score is near 0.  Texts are read whole, repeated rows are
-    scored alike, other columns are ignored.  A document that several label
-    rows name is toxic if any of them says so.
+    scored alike, other columns are ignored, an empty table gives no rows.  A
+    document that several label rows name is toxic if any of them says so.
+
+    Two bounds belong to the model and hold at every size: it is fitted on about
+    ``sample_rows`` labelled rows, and has one weight and one vector for each of
+    at most ``max_terms`` terms.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("held_out", held_out("doc_id", 3, 1))
@@ -138,7 +153,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
         marks = F.broadcast(marks)
     known = slim.where("NOT held_out AND text IS NOT NULL").join(marks, "doc_id")
     n0, n1 = term_counts(known)
-    chosen = choose_terms(n0, n1)
+    chosen = choose_terms(n0, n1, max_terms)
     wanted = np.full(1 << BUCKET_BITS, -1, dtype=np.int64)
     wanted[chosen] = np.arange(len(chosen))
     shared_wanted = spark.sparkContext.broadcast(wanted)
@@ -162,17 +177,13 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, (bias, w, f) = shared_wanted.value, shared.value
-        f2 = (f * f).sum(axis=1)
         for batch in batches:
             data, offsets = tk.packed(batch.column(1))
             out = []
             for i, j, part, at in tk.chunks(data, offsets):
                 n = j - i
                 owner, col = present(part, at, wanted)
-                s = bias + np.bincount(owner, weights=w[col] - 0.5 * f2[col], minlength=n)
-                for k in range(f.shape[1]):
-                    s = s + 0.5 * np.bincount(owner, weights=f[col, k], minlength=n) ** 2
-                out.append(1 / (1 + np.exp(-np.clip(s, -500, 500))))
+                out.append(1 / (1 + np.exp(-np.clip(machine_scores(owner, col, n, bias, w, f), -500, 500))))
             p = np.concatenate(out) if out else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(p), pa.array((p >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 

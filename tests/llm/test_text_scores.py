@@ -111,3 +111,84 @@ def test_toxicity_learns_pairs(spark):
     assert toxicity.score_toxicity(empty(spark), labels(spark, marks)).count() == 0
     clean = toxicity.score_toxicity(docs, labels(spark, [(1, 1, 0), (1, 1, None), (2, 0, 0)])).collect()
     assert all(r["predicted"] == 0 for r in clean)
+
+
+def test_scores_are_log_likelihood_ratios(spark):
+    """Counts, ratios and mean scores by plain loops over the same hash."""
+    rng = random.Random(31)
+    texts = ["".join(rng.choices("abcé \n", k=rng.randint(0, 80))) for _ in range(40)]
+    good = [k % 3 == 0 for k in range(40)]
+    bucket = lambda g: (int.from_bytes(g, "big") * 0x9E3779B97F4A7C15 % 2**64) >> (64 - 10)
+    grams = [[bucket(t.encode()[i : i + 4]) for i in range(len(t.encode()) - 3)] for t in texts]
+    raw, trusted = Counter(x for g in grams for x in g), Counter(x for g, ok in zip(grams, good) if ok for x in g)
+    share = sum(trusted.values()) / sum(raw.values())
+    ratio = {b: np.log((trusted[b] + quality.SHRINK) / (n * share + quality.SHRINK)) for b, n in raw.items()}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    marks = labels(spark, [(i, int(ok), 0) for i, ok in enumerate(good)])
+    for r in quality.score_documents(docs, marks, bits=10, min_score=0.0).collect():
+        g = grams[r["doc_id"]]
+        want = sum(ratio[x] for x in g) / max(1, len(g))
+        assert r["score"] == pytest.approx(want, abs=1e-5)
+        assert r["kept"] == (not r["base_failed"] and r["score"] >= 0.0)
+
+
+def test_machine_scores_are_sums_over_pairs():
+    rng = np.random.default_rng(12)
+    n_terms, n = 30, 20
+    w, f = rng.normal(size=n_terms), rng.normal(size=(n_terms, toxicity.FACTORS))
+    sets = [sorted(rng.choice(n_terms, rng.integers(0, 9), replace=False)) for _ in range(n)]
+    want = [0.5 + sum(w[i] for i in s) + sum(f[i] @ f[j] for a, i in enumerate(s) for j in s[a + 1 :]) for s in sets]
+    docs, cols = np.repeat(np.arange(n), [len(s) for s in sets]), np.concatenate(sets).astype(int)
+    assert toxicity.machine_scores(docs, cols, n, 0.5, w, f) == pytest.approx(np.array(want))
+
+
+def test_the_machine_learns_pairs_that_weights_cannot():
+    """Only the two terms together are toxic; each alone is as often clean."""
+    rng = np.random.default_rng(3)
+    x = rng.random((1500, 6)) < 0.4
+    y = (x[:, 0] & x[:, 1]).astype(np.float32)
+    docs, cols = np.nonzero(x)
+    bias, w, f = toxicity.fit_machine(docs, cols, y, 6)
+    score = toxicity.machine_scores(docs, cols, len(x), bias, w, f) > 0
+    assert (score == y).mean() > 0.99
+
+
+def test_more_terms_change_no_verdict_of_the_chosen_ones():
+    rng = np.random.default_rng(1)
+    n0, n1 = rng.integers(0, 500, (1 << toxicity.BUCKET_BITS) + 1), rng.integers(0, 500, (1 << toxicity.BUCKET_BITS) + 1)
+    n0[-1] = n1[-1] = 5000
+    few, many = toxicity.choose_terms(n0, n1, 100), toxicity.choose_terms(n0, n1, 10_000)
+    assert few.tolist() == many[:100].tolist()
+
+
+def test_ftrl_follows_the_plain_update():
+    """The regularised leader by scalar loops, row by row."""
+    rng = np.random.default_rng(2)
+    rows = [(np.unique(np.append(rng.integers(0, 40, 5), language.BUCKETS)), None) for _ in range(30)]
+    rows = [(at, rng.random(len(at))) for at, _ in rows]
+    y = rng.integers(0, 3, 30)
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.02, 0.02
+    got = language.fit_ftrl(rows, y, 3, alpha=alpha, beta=beta, l1=l1, l2=l2, epochs=2)
+    z, n = {}, {}
+
+    def weight(c, j):
+        if abs(z.get((c, j), 0.0)) <= l1:
+            return 0.0
+        return -(z[c, j] - np.sign(z[c, j]) * l1) / ((beta + np.sqrt(n[c, j])) / alpha + l2)
+
+    order = np.random.default_rng(5)
+    for _ in range(2):
+        for i in order.permutation(30):
+            at, x = rows[i]
+            w = {(c, j): weight(c, j) for c in range(3) for j in at}
+            s = [sum(w[c, j] * v for j, v in zip(at, x)) for c in range(3)]
+            p = np.exp(np.array(s) - max(s))
+            p /= p.sum()
+            for c in range(3):
+                for j, v in zip(at, x):
+                    g = (p[c] - (c == y[i])) * v
+                    old = n.get((c, j), 0.0)
+                    z[c, j] = z.get((c, j), 0.0) + g - (np.sqrt(old + g * g) - np.sqrt(old)) / alpha * w[c, j]
+                    n[c, j] = old + g * g
+    for (c, j) in z:
+        assert got[c, j] == pytest.approx(weight(c, j), abs=1e-9)
