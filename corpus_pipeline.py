@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from plantpanel.llm.common import shared_dir, table
 from plantpanel.llm.jaccard_join import one_of_each_group
 from plantpanel.llm.line_dedup import dedup_passages
-from plantpanel.llm.mixing import take_mix
+from plantpanel.llm.mixing import WORD, take_mix
 from plantpanel.llm.packing import pack_documents
 from plantpanel.llm.quality import keep_good
 
@@ -37,12 +37,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, less the passages of lines that an earlier one has.
+    """Documents less the passages of lines that an earlier one has.
 
-    A null text stays null and a text may become empty; rows with a null id
-    lose nothing; ``n_chars``, if there, follows the text; other columns stay.
+    A document without a word, such as a copy of which nothing is left, goes
+    (null texts too: the mix could take nothing from them).  Rows with a null
+    id lose nothing; ``n_chars``, if there, follows the text; other columns
+    stay; an empty table stays empty.
     """
-    return _measured(dedup_passages(docs, with_counters=False), docs.columns)
+    left = dedup_passages(docs, with_counters=False).where(F.col("text").rlike(WORD))
+    return _measured(left, docs.columns)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
