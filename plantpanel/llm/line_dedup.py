@@ -34,8 +34,8 @@ MEAN_LINES = 4
 #: Chunks and passages of fewer lines with a word, or of fewer bytes, stay where they are.
 MIN_LINES = 2
 MIN_BYTES = 40
-#: Repeated hashes are broadcast up to this many (24 bytes each).
-BROADCAST_HASHES = 2_000_000
+#: Repeated hashes with their first places are broadcast up to this many (some 100 bytes each in memory); beyond it they are joined by shuffling.
+BROADCAST_HASHES = 500_000
 WHITE = b" \t\n\v\f\r"
 
 
