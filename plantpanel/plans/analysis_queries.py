@@ -429,7 +429,7 @@ def _labelled(spark, sf_dir):
 
 #: Cross-validation fits five folds of three models for each target: with the operators' 300 trees and 400
 #: rounds that is hours on one machine, so these two queries (and no others) take fewer.  The README says so.
-_FEWER = {"trees": 20, "rounds": 10}
+_FEWER = {"trees": 20, "rounds": 5}
 
 
 @query()
