@@ -22,7 +22,7 @@ RANK_RANGES = 512
 #: Up to this size of the smaller group, and this many values of U, Mann-Whitney is exact without ties.
 EXACT_GROUP, EXACT_VALUES = 8, 1_000_000
 #: Pairs of columns that one aggregation correlates.
-PAIRS_AT_ONCE = 500
+PAIRS_AT_ONCE = 100
 _OUT = ["target", "feature", "feature_type", "test", "statistic", "df1", "df2", "tail", "effect_size", "effect_name", "n"]
 
 
