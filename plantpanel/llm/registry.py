@@ -7,9 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import OTHER, TURNS, Template, chat_digests, format_chats
+from .collocations import collocations
 from .common import table
 from .jaccard_join import near_duplicates
 from .language import identify_languages
+from .lexical import search
 from .line_dedup import line_dedup_digest
 from .mixing import mix_sources
 from .neighbours import nearest
@@ -60,6 +63,20 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    return chat_digests(format_chats(said.unionByName(spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], said.schema))))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,6 +97,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_token_counts,
             op9_suffix_array_dedup,
             op10_nearest_neighbours,
+            op11_lexical_search,
+            op12_chat_format,
+            op13_collocations,
             pipeline,
         )
     }
@@ -108,6 +128,63 @@ k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM k WHERE rank <= 20"""
 
 
+#: Terms, statistics and integer scores straight from their definitions.
+_OP11 = r"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM documents),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+g AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM n),
+m AS (SELECT doc_id, 25 + ((75 * n * nn) // ll) AS m FROM n, g),
+f AS (SELECT doc_id, w, count(*) AS tf FROM t GROUP BY ALL),
+d AS (SELECT w, CAST(floor(1000 * ln((2 * any_value(nn) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS weight FROM f, g GROUP BY w),
+s AS (SELECT item_id, doc_id, CAST(sum(k * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM (SELECT item_id, w, count(*) AS k FROM q GROUP BY ALL) JOIN f USING (w) JOIN d USING (w) JOIN m USING (doc_id) GROUP BY ALL),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""
+
+
+def _chat_sql() -> str:
+    """Digests from the source; the length also counts the marks and one sign for each mark inside a text."""
+    mark = Template().mark.pattern
+    own = " ".join(f"WHEN role = '{r}' THEN {len(a) + len(b)}" for r, (a, b) in TURNS.items())
+    return f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+l AS (SELECT *, length(text) + len(regexp_extract_all(text, '{mark}')) + CASE {own}
+  ELSE {sum(map(len, OTHER))} + length(role) + len(regexp_extract_all(role, '{mark}')) END AS n FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM l GROUP BY conv_id"""
+
+
+#: Phrases counted one by one, lengths 1 to 5, then cuts and containment by joins.
+_OP13 = r"""
+WITH p AS (SELECT doc_id, row_number() OVER () AS row, coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, w[i:i + k - 1] AS g, k FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) AS r(k))),
+f AS (SELECT lang, g, k, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT f.lang, f.g, f.k, f.a, unnest(range(1, f.k)) AS cut FROM f WHERE f.k >= 2),
+s AS (SELECT c.*, x.a AS l, y.a AS r, n, (CAST(1000 AS HUGEINT) * c.a * n) // (CAST(x.a AS HUGEINT) * y.a) AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.g = c.g[1:cut] JOIN f y ON y.lang = c.lang AND y.g = c.g[cut + 1:c.k] JOIN t ON t.lang = c.lang),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) AS pick FROM s),
+o AS (SELECT lang, g[1:k - 1] AS g, max(a) AS a FROM f WHERE k > 2 GROUP BY ALL UNION ALL SELECT lang, g[2:k] AS g, max(a) AS a FROM f WHERE k > 2 GROUP BY ALL),
+z AS (SELECT b.* FROM b WHERE pick = 1 AND NOT EXISTS (SELECT 1 FROM o WHERE o.lang = b.lang AND o.g = b.g AND o.a >= b.a)),
+e AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM z)
+SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM e) WHERE rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the operators that it can express in time; the others are tested by brute force."""
-    return {"op7_jaccard_join": _OP7, "op10_nearest_neighbours": _OP10}
+    return {
+        "op7_jaccard_join": _OP7,
+        "op10_nearest_neighbours": _OP10,
+        "op11_lexical_search": _OP11,
+        "op12_chat_format": _chat_sql(),
+        "op13_collocations": _OP13,
+    }

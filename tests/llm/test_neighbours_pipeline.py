@@ -92,7 +92,7 @@ def test_stages_keep_the_columns(spark, sf):
 
 def test_registered():
     names = set(registry.queries())
-    assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{k}" for k in range(1, 11))} and len(names) == 11
+    assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{k}" for k in range(1, 14))} and len(names) == 14
 
 
 def test_stages_take_awkward_documents(spark, sf):
