@@ -6,7 +6,8 @@ round k every shard extends the intervals of all frequent phrases of k words at
 once, by one word to both sides: the rows of ``word + phrase`` follow from the
 transform, and a row belongs to the extension if its first k words and its last
 k words are frequent.  Counts are summed across shards, extensions that are
-frequent everywhere get an id, and their intervals go back to their shards.
+frequent in sum get an id, and their intervals go back to their shards.  What
+shards and sums exchange are packed arrays, a few bytes for each extension.
 """
 
 from __future__ import annotations
@@ -142,7 +143,7 @@ def build_shards(docs: DataFrame, depth: int = 5, *, text_col: str = "text", lan
                 sizes, counts = np.bincount(dense), np.bincount(dense[: len(own)], minlength=len(known))
                 starts = np.cumsum(sizes) - sizes
                 names = list(now.words)
-                row = [made, lang, int(np.count_nonzero(own)), bwt.astype(kind).tobytes(), np.dtype(kind).itemsize, outside]
+                row = [made, lang, int(np.count_nonzero(own)), _planes(bwt, kind), np.dtype(kind).itemsize, outside]
                 row += [[names[i - 1].decode() for i in known[1:]], starts[1:], sizes[1:], counts[1:]]
                 yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
                 made, ids = made + 1, ids[shard_size:]
@@ -214,22 +215,94 @@ def _intervals(shards: DataFrame) -> DataFrame:
     return shards.select("shard", "lang", words).select("shard", "lang", F.col("w.words").alias("phrase"), F.col("w.starts").alias("lo"), F.expr("w.starts + w.sizes").alias("hi"), F.col("w.counts").alias("n"))
 
 
-def _extend(shards: DataFrame, frontier: DataFrame) -> DataFrame:
-    """(shard, lo, hi, n, pre, suf) of all extensions of the intervals in ``frontier`` (shard, lo, hi, gid)."""
-    names = ["shard", "lo", "hi", "n", "pre", "suf"]
-    schema = pa.schema([(c, pa.int64()) for c in names])
+def _planes(values: np.ndarray, kind: type) -> bytes:
+    """Numbers byte by byte, all first bytes first: small numbers leave long runs of zeros, which every codec shrinks."""
+    return np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _numbers(data: bytes, kind: type, n: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(-1, n).T.copy().view(kind).ravel()
+
+
+def _packed(lo: np.ndarray, hi: np.ndarray, *more: np.ndarray) -> bytes:
+    """Intervals in their order, and further numbers of each."""
+    return b"".join([_planes(np.diff(lo, prepend=0), np.uint32), _planes(hi - lo, np.uint32), *(_planes(x, np.int64) for x in more)])
+
+
+def _unpacked(data: bytes, n: int) -> list[np.ndarray]:
+    lo = np.cumsum(_numbers(data[: 4 * n], np.uint32, n).astype(np.int64))
+    hi = lo + _numbers(data[4 * n : 8 * n], np.uint32, n)
+    return [lo, hi, *(_numbers(data[k : k + 8 * n], np.int64, n) for k in range(8 * n, len(data), 8 * n))]
+
+
+def _gathered(rows: pa.Table) -> list[np.ndarray]:
+    """The numbers of all packed rows, one after the other."""
+    parts = [_unpacked(d, n) for d, n in zip(rows["data"].to_pylist(), rows["m"].to_pylist())]
+    return [np.concatenate(x) for x in zip(*parts)]
+
+
+def _pack_words(words: DataFrame) -> DataFrame:
+    """(shard, m, data): the intervals (lo, hi, gid) of the frequent words of every shard."""
+    schema = pa.schema([("shard", pa.int64()), ("m", pa.int64()), ("data", pa.binary())])
+
+    def pack(rows: pa.Table) -> pa.Table:
+        lo, hi, gid = (rows[c].to_numpy() for c in ("lo", "hi", "gid"))
+        by = np.argsort(lo)
+        return pa.Table.from_arrays([rows["shard"][:1].combine_chunks(), pa.array([len(lo)], pa.int64()), pa.array([_packed(lo[by], hi[by], gid[by])])], schema=schema)
+
+    return words.select("shard", "lo", "hi", "gid").groupBy("shard").applyInArrow(pack, "shard long, m long, data binary")
+
+
+def _extend(shards: DataFrame, frontier: DataFrame, parts: int) -> DataFrame:
+    """(part, shard, m, data): the extensions (lo, hi, count, prefix, suffix) of a frontier, dealt to parts by prefix and suffix."""
+    schema = pa.schema([("part", pa.int32()), ("shard", pa.int64()), ("m", pa.int64()), ("data", pa.binary())])
 
     def extend(shard: pa.Table, phrases: pa.Table) -> pa.Table:
         if not shard.num_rows or not phrases.num_rows:
             return schema.empty_table()
-        row = shard.select(["bwt", "width", "outside"]).to_pylist()[0]
-        bwt = np.frombuffer(row["bwt"], dtype=np.uint16 if row["width"] == 2 else np.uint32)
-        found = extended(bwt, np.array(row["outside"], dtype=np.int64), *(phrases[c].to_numpy() for c in ("lo", "hi", "gid")))
-        number = np.full(len(found[0]), shard["shard"][0].as_py())
-        return pa.Table.from_arrays([pa.array(x, pa.int64()) for x in (number, *found)], schema=schema)
+        row = shard.to_pylist()[0]
+        lo, hi, gid = _gathered(phrases)
+        bwt = _numbers(row["bwt"], np.uint16 if row["width"] == 2 else np.uint32, len(row["bwt"]) // row["width"])
+        found = extended(bwt, np.array(row["outside"], dtype=np.int64), lo, hi, gid)
+        part = (tk.mix(found[3].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + found[4].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")  # inside a part the intervals stay in their order
+        ends = np.cumsum(np.bincount(part, minlength=parts))
+        out = []
+        for k in np.flatnonzero(np.diff(ends, prepend=0)):
+            own = order[ends[k - 1] if k else 0 : ends[k]]
+            out.append((int(k), row["shard"], len(own), _packed(*(x[own] for x in found))))
+        return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), schema)], schema=schema) if out else schema.empty_table()
 
     left = shards.select("shard", "bwt", "width", "outside").groupBy("shard")
-    return left.cogroup(frontier.withColumnRenamed("shard", "of").groupBy("of")).applyInArrow(extend, ", ".join(f"{c} long" for c in names))
+    return left.cogroup(frontier.withColumnRenamed("shard", "of").groupBy("of")).applyInArrow(extend, "part int, shard long, m long, data binary")
+
+
+def _summed(extensions: DataFrame, least: int, parts: int) -> DataFrame:
+    """The frequent extensions: a row (gid, pre, suf, a: arrays) for each part, and rows (shard, m, data) with their intervals (lo, hi, gid)."""
+    longs = pa.list_(pa.int64())
+    schema = pa.schema([("shard", pa.int64()), ("m", pa.int64()), ("data", pa.binary()), *((c, longs) for c in ("gid", "pre", "suf", "a"))])
+
+    def add_up(rows: pa.Table) -> pa.Table:
+        part, sizes, shards = rows["part"][0].as_py(), np.array(rows["m"].to_pylist()), rows["shard"].to_pylist()
+        lo, hi, n, pre, suf = _gathered(rows)
+        order = np.lexsort((suf, pre))
+        new = np.concatenate([[True], (pre[order][1:] != pre[order][:-1]) | (suf[order][1:] != suf[order][:-1])])
+        group = np.empty(len(order), np.int64)
+        group[order] = np.cumsum(new) - 1
+        total = np.bincount(group, weights=n).astype(np.int64) if n.sum() < 1 << 53 else np.add.reduceat(n[order], np.flatnonzero(new))
+        often = total >= least
+        number = (np.cumsum(often) - 1) * parts + part  # unique, as parts share no remainder
+        first = order[np.flatnonzero(new)][often]
+        out = [(None, None, None, number[often], pre[first], suf[first], total[often])] if often.any() else []
+        ends = np.cumsum(sizes)
+        for k, shard in enumerate(shards):
+            own = np.arange(ends[k] - sizes[k], ends[k])
+            own = own[often[group[own]]]
+            if len(own):
+                out.append((shard, len(own), _packed(lo[own], hi[own], number[group[own]]), None, None, None, None))
+        return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), schema)], schema=schema) if out else schema.empty_table()
+
+    return extensions.groupBy("part").applyInArrow(add_up, "shard long, m long, data binary, gid array<long>, pre array<long>, suf array<long>, a array<long>")
 
 
 def _frequent(shards: DataFrame, depth: int, least: int) -> list[DataFrame]:
@@ -238,21 +311,24 @@ def _frequent(shards: DataFrame, depth: int, least: int) -> list[DataFrame]:
     ``starts`` and ``ends`` are the counts of the phrase's beginnings and
     endings by their number of words, the phrase itself last.
     """
+    spark = shards.sparkSession
+    n = shards.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // SHARD + 1)
     words = _intervals(shards)
     counted = words.groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
     nobody = F.lit(None).cast("long")
     found = [settled(counted.select("lang", F.monotonically_increasing_id().alias("gid"), nobody.alias("pre"), nobody.alias("suf"), "phrase", F.col("phrase").alias("last"), "a", F.array("a").alias("starts"), F.array("a").alias("ends")))]
-    frontier = words.join(found[0].select("lang", "phrase", "gid"), ["lang", "phrase"]).select("shard", "lo", "hi", "gid")
+    frontier = _pack_words(words.join(found[0].select("lang", "phrase", "gid"), ["lang", "phrase"]))
     for _ in range(depth - 1):
-        longer = settled(_extend(shards, frontier))
-        counted = longer.groupBy("pre", "suf").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+        longer = settled(_summed(_extend(shards, frontier, parts), least, parts))
+        counted = longer.where("shard IS NULL").select(F.explode(F.arrays_zip("gid", "pre", "suf", "a")).alias("c")).select("c.*")
         begin = found[-1].select("lang", F.col("gid").alias("pre"), "phrase", "starts")
         end = found[-1].select(F.col("gid").alias("suf"), "last", "ends")
         named = counted.join(begin, "pre").join(end, "suf")
-        found.append(settled(named.select("lang", F.monotonically_increasing_id().alias("gid"), "pre", "suf", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "a", F.concat("starts", F.array("a")).alias("starts"), F.concat("ends", F.array("a")).alias("ends"))))
+        found.append(settled(named.select("lang", "gid", "pre", "suf", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "a", F.concat("starts", F.array("a")).alias("starts"), F.concat("ends", F.array("a")).alias("ends"))))
         if found[-1].isEmpty():
             break
-        frontier = longer.join(found[-1].select("pre", "suf", "gid"), ["pre", "suf"]).select("shard", "lo", "hi", "gid")
+        frontier = longer.where("shard IS NOT NULL").select("shard", "m", "data")
     return found
 
 
