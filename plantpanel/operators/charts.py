@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import profile, stats
+from .quantiles import exact_quantiles, same_group
 from .select import apply_filters, describe_filters, equipment_groups
 
 MAX_HUE, MAX_CATEGORIES, MAX_POINTS = 8, 15, 20_000
 REQUIRED = {"scatter": ("x", "y"), "bar": ("x",), "histogram": ("x",), "box": ("y",), "heatmap": ("columns",)}
-_BAR = {"mean": F.avg, "sum": F.sum, "median": F.median, "count": F.count}
+_BAR = {"mean": F.avg, "sum": F.sum, "median": None, "count": F.count}
 
 
 def _q(c: str) -> Column:
@@ -53,8 +54,13 @@ def daily_trend(df: DataFrame, day: str, target: str) -> DataFrame:
 def bar(df: DataFrame, x: str, y: str | None = None, agg: str = "mean", hue: str | None = None) -> DataFrame:
     """Count, or mean/sum/median/count of y, by x (and hue)."""
     groups = [_q(x).alias("x")] + ([_q(hue).alias("hue")] if hue else [])
+    rows, names = df.where(_q(x).isNotNull()), ["x", "hue"][: len(groups)]
+    if y is not None and agg == "median":
+        told = exact_quantiles(rows.select(*groups, _q(y).alias("v")), names, "v", (0.5,))
+        every = rows.groupBy(*groups).agg(F.count("*"))  # groups without a number stay
+        return same_group(every, told, names, "left").select(*names, F.col("q")[0].alias("value"))
     value = F.count("*") if y is None else _BAR[agg](_q(y).cast("double"))
-    return df.where(_q(x).isNotNull()).groupBy(*groups).agg(value.alias("value"))
+    return rows.groupBy(*groups).agg(value.alias("value"))
 
 
 def _unpivoted(df: DataFrame, columns: Sequence[str], by: str | None) -> DataFrame:
@@ -91,8 +97,7 @@ def histograms(df: DataFrame, columns: Sequence[str], hue: str | None = None, bi
 
 
 def _boxed(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
-    quarters = F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")
-    q = rows.groupBy(*groups).agg(quarters, F.count("*").alias("n"))
+    q = exact_quantiles(rows, groups, "v", (0.25, 0.5, 0.75))
     q = q.select(*groups, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.when(F.col("v").between(F.col("q1") - reach, F.col("q3") + reach), F.col("v"))

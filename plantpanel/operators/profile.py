@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +15,8 @@ from ..defaults import PROTECTED_COLUMNS, PROTECTED_PREFIXES, PROTECTED_SUBSTRIN
 
 #: Columns that one aggregation handles; wider panels take several passes.
 COLUMNS_AT_ONCE = 200
+#: Bytes of rows whose values a task counts together.
+PROFILE_BYTES = 32 << 20
 
 
 def _chunks(columns: Sequence[str]):
@@ -22,22 +27,61 @@ def _q(c: str):
     return F.col(f"`{c}`")
 
 
+def _value_counts(df: DataFrame) -> DataFrame:
+    """(column, value, n): the values of every column as text, counted.
+
+    A task counts each column of a few batches before anything leaves it, so
+    what is moved are distinct values, not rows times columns.
+    """
+    texts = df.select(*[_q(c).cast("string").alias(f"c{i}") for i, c in enumerate(df.columns)])
+    names = pa.array(df.columns)
+
+    def count(batches):
+        def counted(rows: pa.Table) -> pa.RecordBatch:
+            found = [pc.value_counts(rows.column(i).combine_chunks()) for i in range(len(names))]
+            place = np.repeat(np.arange(len(names)), [len(f) for f in found])
+            parts = [names.take(pa.array(place)), pa.concat_arrays([f.field(0) for f in found]), pa.concat_arrays([f.field(1) for f in found])]
+            return pa.RecordBatch.from_arrays(parts, ["column", "value", "n"])
+
+        kept, size = [], 0
+        for batch in batches:
+            kept.append(batch)
+            size += batch.nbytes
+            if size >= PROFILE_BYTES:
+                yield counted(pa.Table.from_batches(kept))
+                kept, size = [], 0
+        if kept:
+            yield counted(pa.Table.from_batches(kept))
+
+    return texts.mapInArrow(count, "column string, value string, n long")
+
+
 def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
-    """(column, dtype, n_missing, n_unique, example), one row per column.
+    """(column, dtype, n_missing, n_unique, example), one row per column; the example is the smallest value as text.
 
-    The rows are unpivoted and counted once, so the cost does not depend on the
-    number of columns; the example is the smallest value.
+    Exact counts come from value counts that tasks make before they are moved.
+    ``exact=False`` takes mergeable sketches of distinct values instead, in one
+    aggregation that moves one row a task for every ``COLUMNS_AT_ONCE`` columns.
     """
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(kinds[c]).alias("dtype"), _q(c).cast("string").alias("value")) for c in df.columns])).alias("c")).select("c.*")
     if not exact:
-        return long.groupBy("column", "dtype").agg(F.count_if(F.col("value").isNull()).alias("n_missing"), F.approx_count_distinct("value").alias("n_unique"), F.min("value").alias("example"))
-    counted = long.groupBy("column", "dtype", "value").agg(F.count("*").alias("n"))  # partial sums first: hot values shrink map-side
-    return counted.groupBy("column", "dtype").agg(
+        out = None
+        for part in _chunks(df.columns):
+            folds = [
+                F.struct(F.lit(c).alias("column"), F.lit(kinds[c]).alias("dtype"), F.count_if(_q(c).isNull()).alias("n_missing"), F.approx_count_distinct(_q(c)).alias("n_unique"), F.min(_q(c).cast("string")).alias("example"))
+                for c in part
+            ]
+            told = df.agg(F.array(*folds).alias("p")).select(F.inline("p"))
+            out = told if out is None else out.unionByName(told)
+        return out
+    dtype = F.coalesce(F.lit(None).cast("string"), *[F.when(F.col("column").isin([c for c, k in kinds.items() if k == kind]), F.lit(kind)) for kind in dict.fromkeys(kinds.values())])
+    counted = _value_counts(df).groupBy("column", "value").agg(F.sum("n").alias("n"))
+    told = counted.groupBy("column").agg(
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_missing"),
         F.count("value").alias("n_unique"),
         F.min("value").alias("example"),
     )
+    return told.select("column", dtype.alias("dtype"), "n_missing", "n_unique", "example")
 
 
 def column_source(name: str, sources: Sequence[str]) -> str:

@@ -2,27 +2,31 @@
 
 The panel is unpivoted to (feature, x, y); moments and ranks of all features
 then take one aggregation each.  Ranks come from counts of distinct values, so
-ties are exact; the values of a feature are cut into ranges whose counts are
-summed up first, so no task sorts more than one range of one feature.
+ties are exact; the values of a feature are cut into ranges of about equal rows
+(splitters of a quantile sketch) whose counts are summed up first, so no task
+sorts more than one range of one feature.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.pvalues import chi2_tail, f_tail, normal_two_sided, rank_sum_two_sided, t_two_sided
+from .quantiles import place, splitters
 
 SCHEMA = "target string, feature string, feature_type string, test string, statistic double, p_value double, effect_size double, effect_name string, n long"
-#: Equal ranges that the values of a feature are cut into for ranking.
+#: Ranges that the values of a feature are cut into for ranking.
 RANK_RANGES = 512
 #: Up to this size of the smaller group, and this many values of U, Mann-Whitney is exact without ties.
 EXACT_GROUP, EXACT_VALUES = 8, 1_000_000
-#: Pairs of columns that one aggregation correlates.
-PAIRS_AT_ONCE = 100
+#: Columns whose pairs one scan correlates; rows that shifts are taken from; share of a column's squares that is rounding.
+BLOCK_COLUMNS, SHIFT_ROWS, ROUNDING = 1024, 1000, 1e-12
 _OUT = ["target", "feature", "feature_type", "test", "statistic", "df1", "df2", "tail", "effect_size", "effect_name", "n"]
 
 
@@ -35,27 +39,18 @@ def long_form(df: DataFrame, features: Sequence[str], target: str, numeric: bool
     return long.where("NOT isnan(x)") if numeric else long
 
 
-def _ends(rows: DataFrame, group: Sequence[str], value: str) -> DataFrame:
-    """Smallest and largest value of each group."""
-    return rows.groupBy(*group).agg(F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
+def _in_ranges(rows: DataFrame, group: Sequence[str], value: str, ranges: int, cuts: DataFrame | None = None) -> DataFrame:
+    """Add ``_range``: the number of the range of its group that a value falls into; groups are few, like features."""
+    cuts = F.broadcast(splitters(rows, group, value, ranges) if cuts is None else cuts)  # a row per group
+    return rows.join(cuts, list(group)).withColumn("_range", place(F.col(value), F.col("_cuts"), ranges)).drop("_cuts")
 
 
-def _in_ranges(rows: DataFrame, group: Sequence[str], value: str, ranges: int, ends: DataFrame | None = None) -> DataFrame:
-    """Add ``_range``: the number of the equal range between the ends of its group that a value falls into."""
-    v = F.col(value)
-    ends = F.broadcast(_ends(rows, group, value) if ends is None else ends)  # a row per group
-    part = (v - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
-    # Infinite ends leave no ratio: the ends keep their places, the rest shares one range.
-    spot = F.when(v == F.col("_lo"), 0).when(v == F.col("_hi"), ranges).when(part.between(0, 1), F.floor(part * ranges)).otherwise(ranges // 2)
-    return rows.join(ends, list(group)).withColumn("_range", spot.cast("int")).drop("_lo", "_hi")
-
-
-def _with_starts(counts: DataFrame, placed: DataFrame, group: Sequence[str], sums: Sequence[str]) -> DataFrame:
-    """Add ``_start_{s}``: the sums over all rows of the group in lower ranges (at most ranges + 1 rows per group are sent along)."""
+def _with_starts(counts: DataFrame, ranged: DataFrame, group: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Add ``_start_{s}``: the sums over all rows of the group in lower ranges (a row for each range of a group)."""
     upto = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy(*group, "_range").agg(*[F.sum(c).alias(c) for c in sums])
+    starts = ranged.groupBy(*group, "_range").agg(*[F.sum(c).alias(c) for c in sums])
     starts = starts.select(*group, "_range", *[F.coalesce(F.sum(c).over(upto), F.lit(0)).alias(f"_start_{c}") for c in sums])
-    return counts.join(F.broadcast(starts), [*group, "_range"])
+    return counts.join(starts, [*group, "_range"])
 
 
 def prefix_sums(rows: DataFrame, group: Sequence[str], value: str, sums: dict[str, Column], ranges: int = RANK_RANGES) -> DataFrame:
@@ -63,24 +58,24 @@ def prefix_sums(rows: DataFrame, group: Sequence[str], value: str, sums: dict[st
 
     Values are numbers, not NaN; groups are few, like features.  Only the table
     of ranges is summed up in one place for each group; inside, every range is
-    a window partition of its own.
+    a window partition of its own.  The rows are read twice: for the splitters,
+    and for the counts of values that all else follows from.
     """
     group = list(group) or ["_all"]
     rows = rows.select(*([F.lit(0).alias("_all")] if group == ["_all"] else group), F.col(value).cast("double").alias(value), *[e.alias(c) for c, e in sums.items()])
-    placed = _in_ranges(rows, group, value, ranges)
     inside = Window.partitionBy(*group, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    counts = placed.groupBy(*group, "_range", value).agg(*[F.sum(c).alias(c) for c in sums])
-    out = _with_starts(counts.withColumns({f"_in_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums}), placed, group, list(sums))
+    counts = _in_ranges(rows, group, value, ranges).groupBy(*group, "_range", value).agg(*[F.sum(c).alias(c) for c in sums])
+    out = _with_starts(counts.withColumns({f"_in_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums}), counts, group, list(sums))
     told = [(F.col(f"_in_{c}") + F.col(f"_start_{c}")).alias(f"before_{c}") for c in sums]
     return out.select(*[c for c in group if c != "_all"], value, *sums, *told)
 
 
-def ranked_cells(cells: DataFrame, value: str, ends: DataFrame, ranges: int = RANK_RANGES) -> DataFrame:
+def ranked_cells(cells: DataFrame, value: str, cuts: DataFrame, ranges: int = RANK_RANGES) -> DataFrame:
     """Add ``rank`` (mean rank in the feature) and ``tied`` (rows of the value) to cells with a number of rows ``n``.
 
     For cells of which few share a value, such as those of a value by level.
     """
-    placed = _in_ranges(cells, ["feature"], value, ranges, ends)
+    placed = _in_ranges(cells, ["feature"], value, ranges, cuts)
     upto = F.sum("n").over(Window.partitionBy("feature", "_range").orderBy(value))  # equal values included
     tied = F.sum("n").over(Window.partitionBy("feature", "_range", value))
     out = _with_starts(placed.withColumns({"_upto": upto, "tied": tied}), placed, ["feature"], ["n"])
@@ -197,9 +192,8 @@ def spearman(long: DataFrame, target: str) -> DataFrame:
 def anova(long: DataFrame, target: str) -> DataFrame:
     """One-way ANOVA over levels with at least two rows, and eta squared."""
     g = long.groupBy("feature", "x").agg(F.count("*").alias("n"), F.avg("y").alias("m"), F.var_pop("y").alias("v")).where("n >= 2")
-    w = Window.partitionBy("feature")
-    g = g.withColumn("grand", F.sum(F.col("n") * F.col("m")).over(w) / F.sum("n").over(w))
-    s = g.groupBy("feature").agg(F.sum("n").alias("n"), F.count("*").alias("k"), F.sum(F.col("n") * (F.col("m") - F.col("grand")) ** 2).alias("b"), F.sum(F.col("n") * F.col("v")).alias("w")).where("k >= 2 AND n > k")
+    grand = g.groupBy("feature").agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"))
+    s = g.join(grand, "feature").groupBy("feature").agg(F.sum("n").alias("n"), F.count("*").alias("k"), F.sum(F.col("n") * (F.col("m") - F.col("grand")) ** 2).alias("b"), F.sum(F.col("n") * F.col("v")).alias("w")).where("k >= 2 AND n > k")
     f = _ratio(F.col("b") / (F.col("k") - 1), F.col("w") / (F.col("n") - F.col("k")))
     return _finish(s.select("feature", f.alias("statistic"), (F.col("k") - 1).alias("df1"), (F.col("n") - F.col("k")).alias("df2"), _ratio(F.col("b"), F.col("b") + F.col("w")).alias("effect_size"), "n"), target, "categorical", "anova", "eta2", "f")
 
@@ -209,7 +203,7 @@ def kruskal(long: DataFrame, target: str) -> DataFrame:
     cells = long.groupBy("feature", "x", "y").agg(F.count("*").alias("n"))
     # Sizes by aggregation: a level with a third of all rows is no window partition.
     sizes = long.groupBy("feature", "x").agg(F.count("*").alias("size")).where("size >= 2")
-    ranked = ranked_cells(cells.join(sizes, ["feature", "x"]), "y", _ends(long, ["feature"], "y"))
+    ranked = ranked_cells(cells.join(sizes, ["feature", "x"]), "y", splitters(long, ["feature"], "y", RANK_RANGES))
     n, tied = F.col("n"), F.col("tied")
     # A tie of t rows adds t * t * t - t: t * t - 1 for each of its rows.
     sums = ranked.groupBy("feature", "x", "size").agg(F.sum(n * F.col("rank")).alias("r"), F.sum(n * (tied * tied - 1)).cast("double").alias("t"))
@@ -302,24 +296,63 @@ def correlation_with_target(df: DataFrame, features: Sequence[str], target: str,
     return m.where("r IS NOT NULL").orderBy(F.desc(F.abs("r")), "feature").limit(k)
 
 
+def _co_moments(df: DataFrame, columns: Sequence[str], pairs: np.ndarray, shift: np.ndarray) -> DataFrame:
+    """(i, j, n, x, y, xx, yy, xy): sums over the rows in which both columns of a pair have a number, one row a pair and task.
+
+    A task multiplies masked blocks of its batches and adds the products up.
+    """
+    names = ["n", "x", "y", "xx", "yy", "xy"]
+    i, j = pairs
+
+    def add_up(batches):
+        total = np.zeros((4, len(columns), len(columns)))
+        for batch in batches:
+            x = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.float64) for k in range(len(columns))]) - shift
+            there = np.isfinite(x)
+            x, mask = np.where(there, x, 0.0), there.astype(np.float64)
+            total += np.stack([mask.T @ mask, x.T @ mask, (x * x).T @ mask, x.T @ x])
+        n, s, q, c = total
+        sums = [n[i, j], s[i, j], s[j, i], q[i, j], q[j, i], c[i, j]]
+        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *map(pa.array, sums)], ["i", "j", *names])
+
+    return df.select(*[F.col(f"`{c}`").cast("double") for c in columns]).mapInArrow(add_up, "i int, j int, " + ", ".join(f"{c} double" for c in names))
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
-    """(a, b, r, n) over pairwise complete rows, ``PAIRS_AT_ONCE`` pairs in one aggregation."""
+    """(a, b, r, n) of every pair of columns, over the rows in which both have a finite number.
+
+    r is null where one of them does not vary there.  All pairs of up to
+    ``BLOCK_COLUMNS`` columns come from one scan; wider tables take one scan
+    for each pair of such blocks.  Values are shifted by the means of the first
+    rows before they are summed, so large offsets cost no digits.
+    """
     if method not in ("pearson", "spearman"):
         raise ValueError(f"unknown method: {method}")
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    columns, spark = list(columns), df.sparkSession
     if method == "spearman":
-        return _spearman_matrix(df, pairs)
+        return _spearman_matrix(df, [(a, b) for i, a in enumerate(columns) for b in columns[i:]])
+    if not columns:
+        return spark.createDataFrame([], "a string, b string, r double, n long")
+    head = df.select(*[F.col(f"`{c}`").cast("double") for c in columns]).limit(SHIFT_ROWS).toPandas().to_numpy(dtype=np.float64)
+    finite = np.isfinite(head)
+    shift = np.where(finite, head, 0.0).sum(axis=0) / np.maximum(finite.sum(axis=0), 1)
+    blocks = [range(k, min(k + BLOCK_COLUMNS, len(columns))) for k in range(0, len(columns), BLOCK_COLUMNS)]
     out = None
-    for i in range(0, len(pairs), PAIRS_AT_ONCE):
-        cells = []
-        for a, b in pairs[i : i + PAIRS_AT_ONCE]:
-            p, q = F.col(f"`{a}`"), F.col(f"`{b}`")
-            both = p.isNotNull() & q.isNotNull()
-            x, y = F.when(both, p.cast("double")), F.when(both, q.cast("double"))
-            cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), _correlation(x, y).alias("r"), F.count_if(both).alias("n")))
-        part = df.agg(F.array(*cells).alias("m")).select(F.inline("m"))
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else df.sparkSession.createDataFrame([], "a string, b string, r double, n long")
+    for p, first in enumerate(blocks):
+        for second in blocks[p:]:
+            used = list(first) if first is second else [*first, *second]
+            i, j = np.triu_indices(len(used))
+            if first is not second:
+                i, j = (x[(i < len(first)) & (j >= len(first))] for x in (i, j))
+            sums = _co_moments(df, [columns[k] for k in used], np.stack([i, j]), shift[used]).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+            named = F.array(*[F.lit(columns[k]) for k in used])
+            n = F.col("n")
+            vx, vy = F.col("xx") - F.try_divide(F.col("x") ** 2, n), F.col("yy") - F.try_divide(F.col("y") ** 2, n)
+            varies = (n > 0) & (vx > ROUNDING * F.col("xx")) & (vy > ROUNDING * F.col("yy"))
+            r = F.when(varies, (F.col("xy") - F.try_divide(F.col("x") * F.col("y"), n)) / (F.sqrt(vx) * F.sqrt(vy)))
+            part = sums.select(F.get(named, F.col("i")).alias("a"), F.get(named, F.col("j")).alias("b"), r.alias("r"), n.cast("long").alias("n"))
+            out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _spearman_matrix(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:

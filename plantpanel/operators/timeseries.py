@@ -69,36 +69,53 @@ def centered_window(df: DataFrame, time: str, values: Sequence[str], window: int
     return rolled.where("_own = _chunk").drop("_own", "_chunk")
 
 
+def _micros(column: str) -> Column:
+    return F.unix_micros(F.col(f"`{column}`").cast("timestamp"))
+
+
+def nearest_times(asked: DataFrame, known: DataFrame, tolerance_seconds: int, bucket_factor: int = 12) -> DataFrame:
+    """(t, hit): for each distinct time asked the nearest known one within the tolerance (inclusive), if any.
+
+    Both sides are one column ``t`` of microseconds; ties go to the earlier
+    time.  Time is cut into buckets of ``bucket_factor`` times the tolerance;
+    known times are lent to a neighbouring bucket if they lie within the
+    tolerance of it, so every match is found inside one bucket.  Nothing but
+    times is sorted, each only once however many rows have it.
+    """
+    tolerance = tolerance_seconds * 1_000_000
+    width = max(1, tolerance) * bucket_factor
+    spots = F.array_distinct(F.array(*[F.floor((F.col("t") + d) / width) for d in (0, -tolerance, tolerance)]))
+    asked = asked.where("t IS NOT NULL").distinct().select("t", F.lit(True).alias("_asks"), F.floor(F.col("t") / width).alias("_b"))
+    lent = known.where("t IS NOT NULL").distinct().select("t", F.lit(False).alias("_asks"), F.explode(spots).alias("_b"))
+    order = Window.partitionBy("_b")
+    own = F.when(~F.col("_asks"), F.col("t"))
+    back = F.max(own).over(order.orderBy("t").rangeBetween(Window.unboundedPreceding, 0))
+    ahead = F.min(own).over(order.orderBy("t").rangeBetween(0, Window.unboundedFollowing))
+    near = asked.unionByName(lent).select("t", "_asks", back.alias("_p"), ahead.alias("_n")).where("_asks")
+    to_p, to_n = F.col("t") - F.col("_p"), F.col("_n") - F.col("t")
+    take_p = to_p.isNotNull() & (to_n.isNull() | (to_p <= to_n))
+    return near.select("t", F.when(take_p & (to_p <= tolerance), F.col("_p")).when(~take_p & (to_n <= tolerance), F.col("_n")).alias("hit"))
+
+
+def _by_time(df: DataFrame, time: str, values: Sequence[str]) -> DataFrame:
+    """(_hit, values): one row for each time, in microseconds; of several rows the smallest."""
+    picked = F.min(F.struct(*[F.col(f"`{c}`") for c in values])).alias("_r")
+    return df.where(F.col(time).isNotNull()).groupBy(_micros(time).alias("_hit")).agg(picked).select("_hit", *[F.col("_r").getField(c).alias(c) for c in values])
+
+
 def asof_nearest(left: DataFrame, right: DataFrame, left_time: str, right_time: str, tolerance_seconds: int, bucket_factor: int = 12, matched: str | None = None) -> DataFrame:
     """Nearest row of ``right`` for each row of ``left``, within the tolerance (inclusive).
 
     Ties go to the earlier row.  Rows of ``left`` without a time, or without a
-    match, keep nulls.  Time is cut into buckets of ``bucket_factor`` times the
-    tolerance; right rows are lent to a neighbouring bucket if they lie within
-    the tolerance of it, so every match is found inside one bucket.
+    match, keep nulls.  Distinct times are matched first; the rows of ``left``
+    then join their match, so no wide row is sorted by time.
     """
-    tolerance = tolerance_seconds * 1_000_000
-    width = max(1, tolerance) * bucket_factor
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     values = [c for c in right.columns if c != right_time]
-    lost = left.where(F.col(left_time).isNull())
-    asked = left.where(F.col(left_time).isNotNull()).select(micros(left_time).alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_l"))
-    asked = asked.withColumn("_b", F.floor(F.col("_t") / width))
-    lent = right.where(F.col(right_time).isNotNull())
-    lent = lent.select(micros(right_time).alias("_t"), F.lit(0).alias("_side"), F.struct(F.col(right_time), *values).alias("_r"))
-    spots = F.array_distinct(F.array(*[F.floor((F.col("_t") + d) / width) for d in (0, -tolerance, tolerance)]))
-    lent = lent.withColumn("_b", F.explode(spots))
-    both = asked.unionByName(lent, allowMissingColumns=True)
-    carried = F.when(F.col("_side") == 0, F.struct("_t", "_r"))
-    back = Window.partitionBy("_b").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy("_b").orderBy(F.desc("_t"), "_side").rowsBetween(Window.unboundedPreceding, 0)
-    near = both.withColumn("_p", F.last(carried, True).over(back)).withColumn("_n", F.last(carried, True).over(ahead)).where("_side = 1")
-    to_p, to_n = F.col("_t") - F.col("_p._t"), F.col("_n._t") - F.col("_t")
-    take_p = to_p.isNotNull() & (to_n.isNull() | (to_p <= to_n))
-    hit = F.when(take_p & (to_p <= tolerance), F.col("_p._r")).when(~take_p & (to_n <= tolerance), F.col("_n._r"))
-    found = near.withColumn("_hit", hit).select("_l.*", *[F.col("_hit").getField(c).alias(c) for c in values], F.col("_hit").isNotNull().alias(matched or "_matched"))
-    empty = lost.select(*left.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in values], F.lit(False).alias(matched or "_matched"))
-    out = found.unionByName(empty)
+    pairs = nearest_times(left.select(_micros(left_time).alias("t")), right.select(_micros(right_time).alias("t")), tolerance_seconds, bucket_factor)
+    found = pairs.where("hit IS NOT NULL").join(_by_time(right, right_time, values), F.col("hit") == F.col("_hit")) if values else pairs.where("hit IS NOT NULL")
+    mark = matched or "_matched"
+    out = left.withColumn("_t", _micros(left_time)).join(found.select(F.col("t").alias("_of"), F.lit(True).alias(mark), *[F.col(f"`{c}`") for c in values]), F.col("_t") == F.col("_of"), "left")
+    out = out.select(*[F.col(f"`{c}`") for c in [*left.columns, *values]], F.coalesce(mark, F.lit(False)).alias(mark))
     return out if matched else out.drop("_matched")
 
 
@@ -119,33 +136,62 @@ def resolve_anchors(tokens: DataFrame, sources: Sequence[str], anchor_map: dict[
     return tokens.select("token").distinct().select("token", F.coalesce(*[c for _, c in ladder]).alias("source"), how.alias("resolution"))
 
 
-def join_trends(panel: DataFrame, trends: DataFrame, anchors: dict[str, Sequence[str]], *, time: str = "ts", mode: str = "window", window: int = 11, aggs: Sequence[str] = ("mean",), tolerance_seconds: int = 300, on_no_overlap: str = "warn_empty") -> tuple[DataFrame, DataFrame]:
+def trend_names(columns: Sequence[str], mode: str, aggs: Sequence[str]) -> list[str]:
+    """The names that trend columns have after the window: with several statistics one for each."""
+    return [f"{c}__{a}" for c in columns for a in aggs] if mode == "window" and len(aggs) > 1 else list(columns)
+
+
+def join_trends(
+    panel: DataFrame, trends: DataFrame, anchors: dict[str, Sequence[str]], *, key: Sequence[str] = (), time: str = "ts", mode: str = "window", window: int = 11,
+    aggs: Sequence[str] = ("mean",), tolerance_seconds: int = 300, on_no_overlap: str = "warn_empty",
+) -> tuple[DataFrame, DataFrame]:
     """Join trend columns to the panel at each anchor column's time, and report the matches.
 
-    ``anchors`` maps an anchor column to the trend columns that it reads.  In
-    ``window`` mode the trends are first averaged over the centred window.
+    ``anchors`` maps an anchor column to the trend columns that it reads; a
+    column that several anchors read is called ``{column}__{anchor}`` for each.
+    In ``window`` mode the trends are first folded over the centred window,
+    once for all anchors.  The times of all anchors are matched together, as
+    bare times.  With ``key``, columns that identify a row of the panel, only
+    these and the anchors meet the trends, and the wide rows join once at the
+    end; the report never touches them.
     """
     if on_no_overlap not in ("warn_empty", "skip", "error"):
         raise ValueError(f"unknown policy: {on_no_overlap}")
-    out, reports = panel, []
-    for anchor, columns in anchors.items():
-        series = centered_window(trends.select(time, *columns), time, columns, window, aggs) if mode == "window" else trends.select(time, *columns)
-        mark = f"_matched_{len(reports)}"
-        out = asof_nearest(out, series, anchor, time, tolerance_seconds, matched=mark)
-        reports.append((anchor, mark))
-    report = match_report(out, reports)
+    used = list(dict.fromkeys(c for columns in anchors.values() for c in columns))
+    series = trends.select(time, *[F.col(f"`{c}`") for c in used])
+    if mode == "window":
+        series = centered_window(series, time, used, window, aggs)
+    asked = None
+    for anchor in anchors:
+        part = panel.select(_micros(anchor).alias("t"))
+        asked = part if asked is None else asked.unionByName(part)
+    names = trend_names(used, mode, aggs)
+    hits = nearest_times(asked, series.select(_micros(time).alias("t")), tolerance_seconds).where("hit IS NOT NULL")
+    found = hits.join(_by_time(series, time, names), F.col("hit") == F.col("_hit"))
+    shared = {c for c in used if sum(c in columns for columns in anchors.values()) > 1}
+    own = panel.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*key, *anchors])]) if key else panel
+    added, marks = [], []
+    for k, (anchor, columns) in enumerate(anchors.items()):
+        told = {n: f"{n}__{anchor}" if c in shared else n for c in columns for n in trend_names([c], mode, aggs)}
+        part = found.select(F.col("t").alias("_of"), F.lit(True).alias(f"_m{k}"), *[F.col(f"`{n}`").alias(new) for n, new in told.items()])
+        own = own.withColumn("_t", _micros(anchor)).join(part, F.col("_t") == F.col("_of"), "left").drop("_t", "_of").withColumn(f"_m{k}", F.coalesce(f"_m{k}", F.lit(False)))
+        added += told.values()
+        marks.append((anchor, f"_m{k}"))
+    report = match_report(own, marks)
     if on_no_overlap != "warn_empty" and report.where("n_matched > 0").isEmpty():
         if on_no_overlap == "error":
             raise ValueError("the trends and the anchors do not overlap in time")
         return panel, report
-    return out.drop(*[m for _, m in reports]), report
+    if key:
+        return panel.join(own.select(*key, *[F.col(f"`{c}`") for c in added]), list(key), "left"), report
+    return own.drop(*[m for _, m in marks]), report
 
 
 def match_report(joined: DataFrame, anchors: Sequence[tuple[str, str]]) -> DataFrame:
     """Per anchor: units, matches, match rate and the range of anchor times."""
     out = None
     for anchor, mark in anchors:
-        part = joined.agg(F.count("*").alias("n_vin"), F.count_if(F.col(mark)).alias("n_matched"), F.min(anchor).alias("anchor_min_ts"), F.max(anchor).alias("anchor_max_ts"))
+        part = joined.agg(F.count("*").alias("n_vin"), F.count_if(F.col(mark)).alias("n_matched"), F.min(f"`{anchor}`").alias("anchor_min_ts"), F.max(f"`{anchor}`").alias("anchor_max_ts"))
         part = part.select(F.lit(anchor).alias("anchor_column"), "*", F.coalesce(F.col("n_matched") / F.nullif(F.col("n_vin"), F.lit(0)), F.lit(0.0)).alias("match_rate"))
         out = part if out is None else out.unionByName(part)
     return out

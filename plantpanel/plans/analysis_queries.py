@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from ..operators import charts, ml, profile, select, stats
+from ..operators import charts, ml, profile, quantiles, select, stats
 from .base import SQL, query, r, rounded, t
 
 NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -244,6 +244,20 @@ def correlation_matrix_spearman(spark, sf_dir):
     return rounded(stats.correlation_matrix(panel(spark, sf_dir), NUMERIC, "spearman"), 5)
 
 
+_BROAD = {f"c{k}": f"CAST(CASE WHEN (l_linenumber + {k}) % 9 > 0 THEN ({('l_partkey', 'l_suppkey', 'l_orderkey')[k % 3]} * {k + 2}) % {(101, 97, 89)[k % 3]} + l_quantity * {k % 4} END AS DOUBLE)" for k in range(60)}
+_BROAD_PAIRS = [(a, b) for i, a in enumerate(_BROAD) for b in list(_BROAD)[i:]]
+
+
+@query(
+    "WITH w AS (SELECT " + ", ".join(f"{x} AS {c}" for c, x in _BROAD.items()) + " FROM lineitem) SELECT unnest(l, recursive := true) FROM (SELECT ["
+    + ", ".join(f"{{'a': '{a}', 'b': '{b}', 'r': round(corr({a}, {b}), 5) + 0.0, 'n': CAST(regr_count({a}, {b}) AS BIGINT)}}" for a, b in _BROAD_PAIRS) + "] AS l FROM w)"
+)
+def correlation_matrix_wide(spark, sf_dir):
+    """1,830 pairs of sixty columns with gaps, from one scan."""
+    df = t(spark, sf_dir, "lineitem").select(*[F.expr(x).alias(c) for c, x in _BROAD.items()])
+    return stats.correlation_matrix(df, list(_BROAD)).withColumn("r", r("r", 5) + 0.0)
+
+
 # ------------------------------------------------------------- charts
 
 
@@ -287,6 +301,16 @@ def box_stats(spark, sf_dir):
     return rounded(charts.box(t(spark, sf_dir, "orders"), "o_totalprice", "o_orderpriority"), 3)
 
 
+@query("""WITH v AS (SELECT CASE WHEN o_orderkey % 7 > 0 THEN o_orderpriority END AS g, o_orderstatus AS h, pow(o_totalprice / 1000, 3) AS v FROM orders)
+SELECT g, h, count(*) AS n, round(quantile_cont(v, 0.01), 4) AS p01, round(quantile_cont(v, 0.5), 4) AS p50, round(quantile_cont(v, 0.99), 4) AS p99, round(max(v), 4) AS top FROM v GROUP BY g, h""")
+def exact_quantiles(spark, sf_dir):
+    """Quantiles of skewed values by two columns, one of them with nulls."""
+    g = F.when(F.col("o_orderkey") % 7 > 0, F.col("o_orderpriority"))
+    df = t(spark, sf_dir, "orders").select(g.alias("g"), F.col("o_orderstatus").alias("h"), F.pow(F.col("o_totalprice") / 1000, F.lit(3.0)).alias("v"))
+    q = quantiles.exact_quantiles(df, ["g", "h"], "v", (0.01, 0.5, 0.99, 1.0))
+    return q.select("g", "h", "n", *[r(F.col("q")[i]).alias(c) for i, c in enumerate(("p01", "p50", "p99", "top"))])
+
+
 @query("SELECT p_partkey, p_brand FROM part WHERE p_brand IN (SELECT p_brand FROM part GROUP BY p_brand ORDER BY count(*) DESC, p_brand LIMIT 8)")
 def top_levels(spark, sf_dir):
     return charts.top_levels(t(spark, sf_dir, "part"), "p_brand", 8).select("p_partkey", "p_brand")
@@ -480,13 +504,12 @@ def roc_pr_areas(spark, sf_dir):
     return rounded(ml.areas(df), 8)
 
 
-@query("SELECT label, CAST(fold AS INTEGER) AS fold, true AS even FROM (SELECT DISTINCT CAST(l_returnflag = 'R' AS INTEGER) AS label FROM lineitem), range(5) f(fold)")
+@query("""WITH c AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS label, count(*) AS total FROM lineitem GROUP BY 1)
+SELECT label, CAST(fold AS INTEGER) AS fold, CAST(total // 5 + CAST(fold < total % 5 AS INTEGER) AS BIGINT) AS n FROM c, range(5) f(fold)""")
 def ml_folds(spark, sf_dir):
-    """Five folds, even inside each class."""
+    """The rows of every class in each of five folds."""
     df = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_returnflag") == "R").cast("int").alias("label"))
-    total = df.groupBy("label").agg(F.count("*").alias("total"))
-    sizes = ml.folds(df, 5, ["l_orderkey", "l_linenumber"]).groupBy("label", "fold").agg(F.count("*").alias("n"))
-    return sizes.join(total, "label").select("label", "fold", (F.abs(F.col("n") - F.col("total") / 5) <= 0.1 * F.col("total") / 5 + 64).alias("even"))
+    return ml.folds(df, 5, ["l_orderkey", "l_linenumber"]).groupBy("label", "fold").agg(F.count("*").alias("n"))
 
 
 _SCORED = "s AS (SELECT round(l_quantity / 50, 3) AS score, CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS BIGINT) AS label FROM lineitem)"

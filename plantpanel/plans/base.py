@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import scratch  # noqa: F401  queries take it from here
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -36,9 +37,3 @@ def r(c: Column | str, digits: int = 4) -> Column:
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     """Doubles rounded for comparison, timestamps left as they are."""
     return df.select(*[(r(F.col(f"`{f.name}`").cast("double"), digits) if f.dataType.simpleString() in ("double", "float") else F.col(f"`{f.name}`")).alias(f.name) for f in df.schema])
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-    return f"{at}/{name}-{uuid.uuid4().hex}"

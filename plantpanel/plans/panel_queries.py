@@ -113,6 +113,16 @@ def repair_rollup(spark, sf_dir):
     return rounded(_rollup(spark, sf_dir))
 
 
+@query("""SELECT CAST(l_orderkey AS VARCHAR) AS vin, count(*) AS repair_line__count, count(DISTINCT l_linestatus || '|' || (l_orderkey * 8 + l_linenumber) % 4096) AS repair_line__n_kind,
+  count(*) FILTER (WHERE l_linestatus = 'F') AS "repair_line__kind__F", count(*) FILTER (WHERE l_linestatus = 'O') AS "repair_line__kind__O" FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1""")
+def repair_spellings(spark, sf_dir):
+    """Two category names in thousands of spellings, of which none may be lost."""
+    code = F.translate(F.bin((F.col("l_orderkey") * 8 + F.col("l_linenumber")) % 4096), "01", "-/")
+    df = lines(spark, sf_dir).where("l_returnflag <> 'N'").withColumn("kind", F.concat("l_linestatus", F.lit(" "), code))
+    out = panel.repair_source(df, "line", time_column="l_shipdate", category_columns={"kind": True}, max_category_columns=5)
+    return out.select("vin", "repair_line__count", "repair_line__n_kind", "repair_line__kind__F", "repair_line__kind__O")
+
+
 @query("""
 SELECT vin, l_shipmonth AS top_month FROM (
   SELECT vin, l_shipmonth, row_number() OVER (PARTITION BY vin ORDER BY n DESC, l_shipmonth) AS k FROM (

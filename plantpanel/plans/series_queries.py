@@ -82,3 +82,42 @@ def resolve_anchors(spark, sf_dir):
 @query("SELECT ts, round(avg(value), 8) AS value FROM (SELECT " + _GRID + " AS ts, value FROM events WHERE event_type = 'view') GROUP BY ts")
 def dedupe_mean(spark, sf_dir):
     return rounded(ts.dedupe_mean(grid(spark, sf_dir).where("event_type = 'view'"), "ts", ["value"]), 8)
+
+
+_TWO = """anchors AS (SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN ts END AS click__ts, ts + INTERVAL 90 SECOND * (event_id % 7) AS done__ts FROM events WHERE event_type = 'click')"""
+_BOTH = "folded AS (SELECT ts, " + ", ".join(f"{f}(trend__{k}_value) OVER w AS {k}_{n}" for k in ("view", "error") for n, f in (("mean", "avg"), ("max", "max"))) + " FROM wide WINDOW w AS (ORDER BY ts ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))"
+
+
+def _nearest(anchor: str) -> str:
+    """(event_id, hit): the nearest time of ``folded`` for an anchor, within 200 seconds, the earlier of two."""
+    return f"""SELECT event_id, CASE WHEN abs(epoch_us({anchor}) - epoch_us(hit)) <= 200000000 THEN hit END AS hit FROM (
+      SELECT a.event_id, a.{anchor}, CASE WHEN p.ts IS NOT NULL AND (n.ts IS NULL OR a.{anchor} - p.ts <= n.ts - a.{anchor}) THEN p.ts ELSE n.ts END AS hit
+      FROM anchors a ASOF LEFT JOIN folded p ON a.{anchor} >= p.ts ASOF LEFT JOIN folded n ON a.{anchor} <= n.ts)"""
+
+
+_TWO_COLUMNS = ["trend__view_value__mean__click__ts", "trend__view_value__max__click__ts", "trend__view_value__mean__done__ts", "trend__view_value__max__done__ts", "trend__error_value__mean", "trend__error_value__max"]
+_TWO_FROM = ["x.view_mean", "x.view_max", "y.view_mean", "y.view_max", "y.error_mean", "y.error_max"]
+
+
+def _two_anchors(spark, sf_dir):
+    rows = t(spark, sf_dir, "events").where("event_type = 'click'")
+    done = F.timestamp_add("SECOND", (90 * (F.col("event_id") % 7)).cast("int"), F.col("ts"))
+    panel = rows.select("event_id", F.when(F.col("event_id") % 10 != 0, F.col("ts")).alias("click__ts"), done.alias("done__ts"), F.lit("wide").alias("other"))
+    reads = {"click__ts": ["trend__view_value"], "done__ts": ["trend__view_value", "trend__error_value"]}
+    return ts.join_trends(panel, wide(spark, sf_dir), reads, key=["event_id"], window=5, aggs=("mean", "max"), tolerance_seconds=200)
+
+
+@query(f"WITH {_WIDE}, {_TWO}, {_BOTH}, c AS ({_nearest('click__ts')}), d AS ({_nearest('done__ts')}) SELECT a.event_id, click__ts, done__ts, "
+       + ", ".join(f"round({x}, 8) AS {c}" for x, c in zip(_TWO_FROM, _TWO_COLUMNS))
+       + " FROM anchors a JOIN c ON c.event_id = a.event_id JOIN d ON d.event_id = a.event_id LEFT JOIN folded x ON x.ts = c.hit LEFT JOIN folded y ON y.ts = d.hit")
+def trend_join_two_anchors(spark, sf_dir):
+    """Two anchors, one trend that both read, two statistics, and one join back by key."""
+    out, _ = _two_anchors(spark, sf_dir)
+    return rounded(out.select("event_id", "click__ts", "done__ts", *_TWO_COLUMNS), 8)
+
+
+@query(f"WITH {_WIDE}, {_TWO}, {_BOTH}, c AS ({_nearest('click__ts')}), d AS ({_nearest('done__ts')}) " + " UNION ALL ".join(
+    f"SELECT '{n}' AS anchor_column, count(*) AS n_vin, count(hit) AS n_matched, (SELECT min({n}) FROM anchors) AS anchor_min_ts, (SELECT max({n}) FROM anchors) AS anchor_max_ts, round(count(hit) / count(*), 6) AS match_rate FROM {f}"
+    for n, f in (("click__ts", "c"), ("done__ts", "d"))))
+def trend_report_two_anchors(spark, sf_dir):
+    return _two_anchors(spark, sf_dir)[1].withColumn("match_rate", r("match_rate", 6))

@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from plantpanel.functions import pvalues
-from plantpanel.operators import charts, ml, panel, profile, select, stats, timeseries
+from plantpanel.operators import assembly, charts, ml, panel, profile, quantiles, select, stats, timeseries
+from plantpanel.sources import shared
 
 T0 = dt.datetime(2026, 7, 24, 9, 50)
 
@@ -166,8 +168,8 @@ def test_charts(spark):
     many = spark.createDataFrame([(float(i), float(i % 7), i % 20) for i in range(200)], "a double, b double, h int")
     assert {r["n"] for r in charts.chart_table(many, {"type": "heatmap", "columns": ["a", "b"], "hue": "h"}).collect()} == {200}
     assert charts.chart_table(df, {"type": "bar", "x": "c", "filters": [{"column": "n", "min": 99}]}).columns == ["title", "skipped"]
-    names = [f"c{i}" for i in range(16)]
-    assert stats.correlation_matrix(many.select(*[(F.col("a") * (i + 1) + F.col("b")).alias(c) for i, c in enumerate(names)]), names).count() == 16 * 17 // 2
+    names = [f"c{i}" for i in range(70)]
+    assert stats.correlation_matrix(many.select(*[(F.col("a") * (i + 1) + F.col("b")).alias(c) for i, c in enumerate(names)]), names).count() == 70 * 71 // 2
 
 
 def test_roc_area(spark):
@@ -214,3 +216,159 @@ def test_folds_are_stratified(spark):
     df = spark.range(1000).withColumn("label", (F.col("id") % 10 == 0).cast("double"))
     sizes = {(r["label"], r["fold"]): r["count"] for r in ml.folds(df, 5, ["id"]).groupBy("label", "fold").count().collect()}
     assert len(sizes) == 10 and max(v for (label, _), v in sizes.items() if label == 1) <= 40
+
+
+def test_repair_names_in_many_spellings(spark):
+    """More spellings than any cap, one name: every repair counts; names above the cap are refused."""
+    rows = [("A", at(k), "x" + "-/"[k % 2] * (k + 1)) for k in range(60)] + [("A", at(0), None), ("B", at(0), "ｘ")]
+    df = spark.createDataFrame(rows, "vin string, t timestamp, cat string")
+    out = {r["vin"]: r for r in panel.repair_source(df, "r", time_column="t", category_columns={"cat": True}, max_category_columns=2).collect()}
+    assert out["A"]["repair_r__cat__x"] == 60 and out["B"]["repair_r__cat__x"] == 1 and out["A"]["repair_r__count"] == 61
+    many = spark.createDataFrame([("A", at(0), f"n{k}") for k in range(4)], "vin string, t timestamp, cat string")
+    with pytest.raises(ValueError, match="cap of 3"):
+        panel.repair_source(many, "r", time_column="t", category_columns={"cat": True}, max_category_columns=3)
+
+
+def test_wide_correlation_matrix(spark):
+    """242 columns with gaps, offsets, a constant and a column that is constant where others have values; pair by pair as by hand."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 242)).cumsum(axis=1) + 1e6
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 7] = 3.3
+    x[:, 8] = np.where(np.arange(300) < 100, x[:, 8], 5.5)
+    x[:, 9] = np.where(np.arange(300) < 100, np.nan, x[:, 9])
+    x[0, 10], x[:, 11] = np.inf, np.nan
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in row) for row in x], ", ".join(f"c{i} double" for i in range(242))).repartition(3)
+    got = {(int(r["a"][1:]), int(r["b"][1:])): r for r in stats.correlation_matrix(df, df.columns).collect()}
+    assert len(got) == 242 * 243 // 2
+    for (i, j), r in got.items():
+        both = np.isfinite(x[:, i]) & np.isfinite(x[:, j])
+        a, b = x[both, i], x[both, j]
+        assert r["n"] == both.sum()
+        if len(a) < 2 or np.ptp(a) == 0 or np.ptp(b) == 0:
+            assert r["r"] is None, (i, j)
+        else:
+            assert r["r"] == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-8)
+
+
+def test_correlation_in_blocks(spark, monkeypatch):
+    df = spark.createDataFrame([(float(i), float(i * i % 7), float(i % 3), 2.0) for i in range(40)], "a double, b double, c double, d double")
+    whole = {(r["a"], r["b"]): (r["r"], r["n"]) for r in stats.correlation_matrix(df, df.columns).collect()}
+    monkeypatch.setattr(stats, "BLOCK_COLUMNS", 2)
+    parts = {(r["a"], r["b"]): (r["r"], r["n"]) for r in stats.correlation_matrix(df, df.columns).collect()}
+    assert len(parts) == 10 and set(parts) == set(whole)
+    assert all(parts[k] == (pytest.approx(v), n) for k, (v, n) in whole.items())
+    none = stats.correlation_matrix(df.where("a < 0"), ["a", "b"])
+    assert all(r["r"] is None and r["n"] == 0 for r in none.collect())
+
+
+def test_ranges_are_even_on_skewed_values(spark):
+    """Log-normal values: no range holds 2 % of the rows, where equal widths put nearly all into one."""
+    rng = np.random.default_rng(9)
+    values = np.exp(rng.normal(scale=2.0, size=50_000))
+    rows = spark.createDataFrame([("f", float(v)) for v in values], "g string, v double")
+    cuts = quantiles.splitters(rows, ["g"], "v")
+    placed = rows.join(cuts, "g").select(quantiles.place(F.col("v"), F.col("_cuts")).alias("r")).groupBy("r").count().collect()
+    assert len(placed) > 400 and max(r["count"] for r in placed) < 0.02 * len(values)
+    inside = sorted(values)
+    for r in stats.average_ranks(rows, ["g"], "v").where("n = 1").limit(200).collect():
+        assert inside[int(r["rank"]) - 1] == r["v"]
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 7, 512])
+def test_exact_quantiles(spark, ranges):
+    rng = np.random.default_rng(1)
+    groups = {"skewed": np.exp(rng.normal(scale=3, size=2000)), "ties": rng.integers(0, 3, 500).astype(float), "one": np.array([4.0]), None: rng.normal(size=301), "two": np.array([1.0, 2.0]), "ends": np.array([-np.inf, 0.0, 1.0])}
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("none", None), ("ties", None), ("ties", float("nan"))]
+    shares = (0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0)
+    found = quantiles.exact_quantiles(spark.createDataFrame(rows, "g string, v double").repartition(5), ["g"], "v", shares, ranges)
+    got = {r["g"]: r for r in found.collect()}
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        assert got[g]["n"] == len(vs)
+        if g != "ends":
+            assert got[g]["q"] == pytest.approx(np.quantile(vs, shares).tolist())
+    assert got["ends"]["q"][0] == -np.inf and got["ends"]["q"][3] == 0.0
+    assert quantiles.exact_quantiles(spark.createDataFrame(rows, "g string, v double"), [], "v", (0.5,), ranges).columns == ["n", "q"]
+
+
+def test_boxes_and_medians_by_quantiles(spark):
+    df = spark.createDataFrame([("a", None, 1.0), ("a", None, 3.0), ("b", "h", None), (None, "h", 5.0)], "x string, h string, v double")
+    got = {(r["x"], r["hue"]): r["value"] for r in charts.bar(df, "x", "v", "median", "h").collect()}
+    assert got == {("a", None): 2.0, ("b", "h"): None}
+
+
+def test_folds_are_even_in_small_classes(spark):
+    df = spark.range(1000).withColumn("label", F.when(F.col("id") < 40, 1.0).when(F.col("id") < 47, 2.0).otherwise(0.0))
+    for k in (2, 5, 7):
+        sizes = {}
+        for r in ml.folds(df, k, ["id"]).groupBy("label", "fold").count().collect():
+            sizes.setdefault(r["label"], []).append(r["count"])
+        assert all(len(s) == k and max(s) - min(s) <= 1 for s in sizes.values()), sizes
+    first = {r["id"]: r["fold"] for r in ml.folds(df, 5, ["id"]).collect()}
+    assert first == {r["id"]: r["fold"] for r in ml.folds(df.repartition(7), 5, ["id"]).collect()}
+    even = [r["count"] for r in ml.folds(df, 5, ["id"], stratified=False).groupBy("fold").count().collect()]
+    assert even == [200] * 5
+
+
+def test_ledger_of_inputs_that_share_a_partitioning(spark):
+    """Units of several bucketed tables stay single (a union of such tables is not partitioned by their key)."""
+    with shared.bucketed_tables(spark, "vin") as write:
+        a, b = (write(spark.createDataFrame([(f"{k}",) for k in range(n)], "vin string")) for n in (50, 70))
+        ledger = panel.unit_ledger({"a": a, "b": b})
+        assert ledger.count() == 70 and ledger.where("present__a = 1 AND present__b = 1").count() == 50
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+
+
+def _source(spark, rows):
+    return spark.createDataFrame([(v, v.startswith("D"), at(m), x) for v, m, x in rows], "vin string, vin_is_dummy boolean, t timestamp, `x_測定値` double")
+
+
+def test_assemble_small_lake(spark):
+    rows = {
+        "one": [("A", 0, 1.0), ("B", 1, 2.0), ("D0", 2, 9.0)],
+        "many": [("A", 0, 1.0), ("A", 5, 3.0), ("C", 6, 5.0)],
+        "fixed": [("A", 9, 1.0), ("Z", 9, 1.0)],
+        "void": [],
+    }
+    specs = [{"kind": "traceability", "source": s, "time": "t"} for s in ("one", "many", "void")] + [{"kind": "repair", "source": "fixed", "time": "t", "repair": {"time_column": "t"}}]
+    reads = []
+
+    def read(kind, name):
+        reads.append(name)
+        return _source(spark, rows[name])
+
+    out = assembly.assemble_panel(read, specs, prune={"drop_constant": False, "drop_all_null": False})
+    got = {r["vin"]: r for r in out.panel.collect()}
+    assert set(got) == {"A", "B", "C"} and sorted(reads) == sorted(rows)
+    assert got["A"]["many__x_測定値__mean"] == 2.0 and got["B"]["one__x_測定値"] == 2.0 and got["A"]["has_repair_record"] == 1 and got["C"]["repair_fixed__count"] == 0
+    quality = {r["source"]: r for r in out.quality.collect()}
+    assert set(quality) == {"one", "many", "fixed"} and quality["one"]["n_dummy"] == 1 and quality["fixed"]["n_vin_not_in_ledger"] == 1
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+    with pytest.raises(ValueError, match="required"):
+        assembly.assemble_panel(read, specs, required=["void"])
+    with pytest.raises(ValueError, match="ledger"):
+        assembly.assemble_panel(read, [specs[2]])
+
+
+def test_join_trends_with_key(spark):
+    df, values = series(spark)
+    two = df.withColumn("w", -F.col("v"))
+    base = spark.createDataFrame([(1, at(3), at(5)), (2, at(30), at(0)), (3, None, at(19))], "id int, a timestamp, b timestamp")
+    reads = {"a": ["v"], "b": ["v", "w"]}
+    for key in ([], ["id"]):
+        out, report = timeseries.join_trends(base, two, reads, key=key, mode="point", tolerance_seconds=60)
+        got = {r["id"]: (r["v__a"], r["v__b"], r["w"]) for r in out.collect()}
+        assert got == {1: (values[3], values[5], -values[5]), 2: (None, values[0], -values[0]), 3: (None, values[19], -values[19])}
+        assert {r["anchor_column"]: r["n_matched"] for r in report.collect()} == {"a": 1, "b": 3}
+    names = timeseries.join_trends(base, two, reads, key=["id"], window=3, aggs=("min", "max"))[0].columns
+    assert names == ["id", "a", "b", "v__min__a", "v__max__a", "v__min__b", "v__max__b", "w__min", "w__max"]
+
+
+def test_profile_counts(spark):
+    df = spark.createDataFrame([(i % 3, f"s{i % 50}", None, float(i) if i % 2 else None, True) for i in range(2000)], "a int, b string, c double, d double, e boolean").repartition(3)
+    for exact in (True, False):
+        got = {r["column"]: r for r in profile.column_profile(df, exact).collect()}
+        assert {c: r["n_missing"] for c, r in got.items()} == {"a": 0, "b": 0, "c": 2000, "d": 1000, "e": 0}
+        assert got["b"]["example"] == "s0" and got["c"]["dtype"] == "double" and got["c"]["example"] is None
+        assert got["a"]["n_unique"] == 3 and abs(got["d"]["n_unique"] - 1000) <= (0 if exact else 100)
