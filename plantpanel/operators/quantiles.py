@@ -1,14 +1,14 @@
 """Order statistics without holding or sorting a whole group anywhere.
 
-Values are cut at splitters from a mergeable quantile sketch, so ranges have
-about as many rows however skewed the values are; equal values share a range.
+Distinct values are cut at splitters from a mergeable quantile sketch, so ranges
+have about as many of them however skewed the values are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Ranges that a group's values are cut into.
@@ -20,22 +20,23 @@ def _steps(ranges: int) -> list[int]:
     return [1 << k for k in reversed(range((max(1, ranges) - 1).bit_length()))]
 
 
-def splitters(rows: DataFrame, group: Sequence[str], value: str, ranges: int = RANGES) -> DataFrame:
-    """(group, _cuts): values that cut each group into about equal parts, by a sketch that tasks merge."""
+def splitters(values: DataFrame, group: Sequence[str], value: str, ranges: int = RANGES) -> DataFrame:
+    """(group, _cuts): values that cut each group into ranges of about equally many rows, by a sketch that tasks merge."""
     steps = _steps(ranges)
     n = 2 * steps[0] if steps else 1
     if n == 1:
-        return rows.groupBy(*group).agg(F.array().cast("array<double>").alias("_cuts"))
+        return values.groupBy(*group).agg(F.array().cast("array<double>").alias("_cuts"))
     shares = F.array(*[F.lit(k / n) for k in range(1, n)])
-    return rows.groupBy(*group).agg(F.percentile_approx(F.col(value).cast("double"), shares, 10 * n).alias("_cuts"))
+    return values.groupBy(*group).agg(F.percentile_approx(F.col(value).cast("double"), shares, 4 * n).alias("_cuts"))
 
 
-def place(value: Column, cuts: Column, ranges: int = RANGES) -> Column:
-    """The number of splitters below a value, by binary search."""
-    steps = _steps(ranges)
-    if not steps:
-        return F.lit(0)
-    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(F.get(cuts, at + step - 1) < value, at + step).otherwise(at))
+def with_range(df: DataFrame, value: str, ranges: int = RANGES, output: str = "_range") -> DataFrame:
+    """Add the number of splitters (column ``_cuts``, dropped) below a value: a binary search, one projection a step."""
+    df = df.withColumn(output, F.lit(0))
+    for step in _steps(ranges):
+        ahead = F.get("_cuts", F.col(output) + step - 1) < F.col(value)
+        df = df.withColumn(output, F.col(output) + F.when(ahead, step).otherwise(0))
+    return df.drop("_cuts")
 
 
 def same_group(left: DataFrame, right: DataFrame, group: Sequence[str], how: str = "inner") -> DataFrame:
@@ -57,8 +58,10 @@ def exact_quantiles(rows: DataFrame, group: Sequence[str], value: str, shares: S
     group = list(group) or ["_all"]
     rows = rows.select(*([F.lit(0).alias("_all")] if group == ["_all"] else [F.col(f"`{c}`") for c in group]), F.col(f"`{value}`").cast("double").alias("_v"))
     rows = rows.where("_v IS NOT NULL AND NOT isnan(_v)")
-    placed = same_group(rows, splitters(rows, group, "_v", ranges), group).select(*group, "_v", place(F.col("_v"), F.col("_cuts"), ranges).alias("_range"))
-    counts = placed.groupBy(*group, "_range", "_v").agg(F.count("*").alias("_n"))
+    values = rows.groupBy(*group, "_v").agg(F.sum(F.lit(1)).alias("_n"))
+    # The condition holds always; with it both readers of the values need the same columns, and Spark counts them once.
+    cuts = splitters(values.where("_n IS NOT NULL"), group, "_v", ranges)
+    counts = with_range(same_group(values, cuts, group), "_v", ranges)
     # A group has one row for each range here.
     of_group = Window.partitionBy(*group)
     upto = of_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

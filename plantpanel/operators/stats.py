@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.pvalues import chi2_tail, f_tail, normal_two_sided, rank_sum_two_sided, t_two_sided
-from .quantiles import place, splitters
+from .quantiles import splitters, with_range
 
 SCHEMA = "target string, feature string, feature_type string, test string, statistic double, p_value double, effect_size double, effect_name string, n long"
 #: Ranges that the values of a feature are cut into for ranking.
@@ -39,10 +39,12 @@ def long_form(df: DataFrame, features: Sequence[str], target: str, numeric: bool
     return long.where("NOT isnan(x)") if numeric else long
 
 
-def _in_ranges(rows: DataFrame, group: Sequence[str], value: str, ranges: int, cuts: DataFrame | None = None) -> DataFrame:
+def _in_ranges(values: DataFrame, group: Sequence[str], value: str, ranges: int, sums: Sequence[str]) -> DataFrame:
     """Add ``_range``: the number of the range of its group that a value falls into; groups are few, like features."""
-    cuts = F.broadcast(splitters(rows, group, value, ranges) if cuts is None else cuts)  # a row per group
-    return rows.join(cuts, list(group)).withColumn("_range", place(F.col(value), F.col("_cuts"), ranges)).drop("_cuts")
+    # The condition costs nothing; with it both readers of the values need the same columns, and Spark makes them once.
+    some = " OR ".join(f"{c} IS NOT NULL" for c in sums)
+    cuts = F.broadcast(splitters(values.where(some), group, value, ranges))  # a row per group
+    return with_range(values.join(cuts, list(group)), value, ranges)
 
 
 def _with_starts(counts: DataFrame, ranged: DataFrame, group: Sequence[str], sums: Sequence[str]) -> DataFrame:
@@ -58,24 +60,25 @@ def prefix_sums(rows: DataFrame, group: Sequence[str], value: str, sums: dict[st
 
     Values are numbers, not NaN; groups are few, like features.  Only the table
     of ranges is summed up in one place for each group; inside, every range is
-    a window partition of its own.  The rows are read twice: for the splitters,
-    and for the counts of values that all else follows from.
+    a window partition of its own.  The rows are read once, into sums for each
+    distinct value; hot values shrink before anything is moved.
     """
     group = list(group) or ["_all"]
     rows = rows.select(*([F.lit(0).alias("_all")] if group == ["_all"] else group), F.col(value).cast("double").alias(value), *[e.alias(c) for c, e in sums.items()])
     inside = Window.partitionBy(*group, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    counts = _in_ranges(rows, group, value, ranges).groupBy(*group, "_range", value).agg(*[F.sum(c).alias(c) for c in sums])
+    values = rows.groupBy(*group, value).agg(*[F.sum(c).alias(c) for c in sums])
+    counts = _in_ranges(values, group, value, ranges, list(sums))
     out = _with_starts(counts.withColumns({f"_in_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums}), counts, group, list(sums))
     told = [(F.col(f"_in_{c}") + F.col(f"_start_{c}")).alias(f"before_{c}") for c in sums]
     return out.select(*[c for c in group if c != "_all"], value, *sums, *told)
 
 
-def ranked_cells(cells: DataFrame, value: str, cuts: DataFrame, ranges: int = RANK_RANGES) -> DataFrame:
+def ranked_cells(cells: DataFrame, value: str, ranges: int = RANK_RANGES) -> DataFrame:
     """Add ``rank`` (mean rank in the feature) and ``tied`` (rows of the value) to cells with a number of rows ``n``.
 
     For cells of which few share a value, such as those of a value by level.
     """
-    placed = _in_ranges(cells, ["feature"], value, ranges, cuts)
+    placed = _in_ranges(cells, ["feature"], value, ranges, ["n"])
     upto = F.sum("n").over(Window.partitionBy("feature", "_range").orderBy(value))  # equal values included
     tied = F.sum("n").over(Window.partitionBy("feature", "_range", value))
     out = _with_starts(placed.withColumns({"_upto": upto, "tied": tied}), placed, ["feature"], ["n"])
@@ -200,10 +203,10 @@ def anova(long: DataFrame, target: str) -> DataFrame:
 
 def kruskal(long: DataFrame, target: str) -> DataFrame:
     """Kruskal-Wallis H with tie correction over levels with at least two rows, and epsilon squared."""
-    cells = long.groupBy("feature", "x", "y").agg(F.count("*").alias("n"))
+    cells = long.groupBy("feature", "x", "y").agg(F.sum(F.lit(1)).alias("n"))
     # Sizes by aggregation: a level with a third of all rows is no window partition.
-    sizes = long.groupBy("feature", "x").agg(F.count("*").alias("size")).where("size >= 2")
-    ranked = ranked_cells(cells.join(sizes, ["feature", "x"]), "y", splitters(long, ["feature"], "y", RANK_RANGES))
+    sizes = cells.groupBy("feature", "x").agg(F.sum("n").alias("size")).where("size >= 2")
+    ranked = ranked_cells(cells.join(sizes, ["feature", "x"]), "y")
     n, tied = F.col("n"), F.col("tied")
     # A tie of t rows adds t * t * t - t: t * t - 1 for each of its rows.
     sums = ranked.groupBy("feature", "x", "size").agg(F.sum(n * F.col("rank")).alias("r"), F.sum(n * (tied * tied - 1)).cast("double").alias("t"))

@@ -268,7 +268,7 @@ def test_ranges_are_even_on_skewed_values(spark):
     values = np.exp(rng.normal(scale=2.0, size=50_000))
     rows = spark.createDataFrame([("f", float(v)) for v in values], "g string, v double")
     cuts = quantiles.splitters(rows, ["g"], "v")
-    placed = rows.join(cuts, "g").select(quantiles.place(F.col("v"), F.col("_cuts")).alias("r")).groupBy("r").count().collect()
+    placed = quantiles.with_range(rows.join(cuts, "g"), "v", output="r").groupBy("r").count().collect()
     assert len(placed) > 400 and max(r["count"] for r in placed) < 0.02 * len(values)
     inside = sorted(values)
     for r in stats.average_ranks(rows, ["g"], "v").where("n = 1").limit(200).collect():
