@@ -8,7 +8,7 @@ from ..defaults import TREND_SUFFIXES
 from ..functions import categories, cleaning, naming
 from ..functions.naming import source_key
 from ..sources import lake, raw
-from ..streaming.append import append_new_files
+from ..streaming.append import append_new_files, convert_stream, read_stream_lake
 from .base import query, r, scratch, t
 
 _SPEC = {"datetime_formats": ("yyyy/M/d H:m:s", "yyyy/M/d H:m")}
@@ -141,6 +141,17 @@ def streaming_append(spark, sf_dir):
     return lake.read_lake(spark, f"{at}/lake").groupBy("date").agg(F.count("*").alias("n"))
 
 
+@query("""SELECT event_type AS src_file, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n FROM events WHERE event_type <> 'view' OR event_id % 3 = 0 GROUP BY ALL""")
+def streaming_replace(spark, sf_dir):
+    """Events by type arrive, then one type again with fewer rows, which take the place of the former ones."""
+    at = scratch(spark, "stream")
+    rows = t(spark, sf_dir, "events").select("event_type", F.col("event_id").cast("string").alias("event_id"), F.date_format("ts", "yyyy/MM/dd HH:mm:ss").alias("ts"))
+    for folder, part in (("first", rows), ("again", rows.where("event_type = 'view' AND event_id % 3 = 0"))):
+        part.write.option("header", True).partitionBy("event_type").csv(f"{at}/raw/{folder}")
+        convert_stream(spark, f"{at}/raw", ["event_id", "ts"], "ts", f"{at}/lake", f"{at}/checkpoint", file_name="event_type=([^/]+)/")
+    return read_stream_lake(spark, f"{at}/lake").groupBy("src_file", "date").agg(F.count("*").alias("n"))
+
+
 @query("SELECT c_custkey, c_mktsegment FROM customer")
 def table_round_trip(spark, sf_dir):
     at = scratch(spark, "table")

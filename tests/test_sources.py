@@ -86,3 +86,34 @@ def test_mapping_file(spark, tmp_path):
         put(tmp_path / f"bad{k}.csv", bad)
         with pytest.raises(ValueError):
             categories.load_mapping(spark, str(tmp_path / f"bad{k}.csv"))
+
+
+def test_stream_replays_and_replacements_leave_no_doubles(spark, tmp_path):
+    from plantpanel.streaming import append
+
+    raw, lake, seen = tmp_path / "raw", str(tmp_path / "lake"), tmp_path / "seen"
+
+    def deliver(folder, name, values):
+        (raw / folder).mkdir(parents=True, exist_ok=True)
+        (raw / folder / f"{name}.csv").write_text("vin,t,x\n" + "".join(f"{v},2026/7/{d} 1:02:03,{x}\n" for v, d, x in values))
+
+    def run():
+        return append.convert_stream(spark, str(raw), ["vin", "t", "x"], "t", lake, str(seen))
+
+    def valid(**dates):
+        return sorted((r["vin"], r["x"], r["date"], r["src_file"]) for r in append.read_stream_lake(spark, lake, **dates).collect())
+
+    deliver("a", "one", [("A", 1, 1), ("B", 2, 2)])
+    deliver("a", "two", [("C", 2, 3)])
+    assert run() == 3 and run() == 0
+    deliver("b", "one", [("A", 1, 9)])  # the first file again, with fewer rows
+    assert run() == 1
+    want = [("A", "9", "2026-07-01", "one"), ("C", "3", "2026-07-02", "two")]
+    assert valid() == want
+    assert valid(date_from="2026-07-02") == want[1:]
+    # The last batch is replayed, as after a failure between its writing and the commit.
+    last = max((p for p in (seen / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    for p in (last, last.with_name(f".{last.name}.crc")):
+        p.unlink(missing_ok=True)
+    assert run() == 1 and valid() == want
+    assert {r["src_file"]: r["n_rows"] for r in append.stream_manifest(spark, lake).collect()} == {"one": 1, "two": 1}
