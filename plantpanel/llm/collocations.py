@@ -25,7 +25,7 @@ from . import textkit as tk
 from .common import settled
 
 #: Words and separators of a shard at most.
-SHARD = 1 << 21
+SHARD = 1 << 20
 #: Salts that the candidates of a language are ranked in first.
 SALTS = 64
 
