@@ -448,7 +448,7 @@ def predictors(spark, sf_dir):
 def _labelled(spark, sf_dir):
     noisy = F.when((F.col("l_quantity") > 30) | (F.col("l_linestatus") == "O") & (F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(5)) > 1), 1).otherwise(0)
     df = panel(spark, sf_dir).withColumn("defect", noisy)
-    return ml.prepare(df, NUMERIC[:3], ["l_linestatus"], "defect")
+    return ml.prepare(df, NUMERIC, CATEGORICAL, "defect")
 
 
 #: Cross-validation fits five folds of three models for each target: with the operators' 300 trees and 400
@@ -458,19 +458,19 @@ _FEWER = {"trees": 20, "rounds": 5}
 
 @query()
 def ml_cross_validation(spark, sf_dir):
-    return rounded(ml.cross_validate(_labelled(spark, sf_dir), NUMERIC[:3], ["l_linestatus"], "classification", **_FEWER))
+    return rounded(ml.cross_validate(_labelled(spark, sf_dir), NUMERIC, CATEGORICAL, "classification", **_FEWER))
 
 
 @query()
 def ml_run(spark, sf_dir):
     """Every target with its task: a class, a number, and one with a single class, which is left out."""
     df = panel(spark, sf_dir).withColumn("always", F.lit(1))
-    return rounded(ml.run_ml(df, ["l_discount", "l_tax", "l_quantity"], ["l_linestatus"], {"defect": "classification", "always": "classification", "o_totalprice": "regression"}, **_FEWER))
+    return rounded(ml.run_ml(df, NUMERIC, CATEGORICAL, {"defect": "classification", "always": "classification", "o_totalprice": "regression"}, **_FEWER))
 
 
 @query()
 def ml_holdout_curve(spark, sf_dir):
-    _, scored = ml.holdout(_labelled(spark, sf_dir), NUMERIC[:3], ["l_linestatus"], "classification")
+    _, scored = ml.holdout(_labelled(spark, sf_dir), NUMERIC, CATEGORICAL, "classification")
     return rounded(ml.curves(scored)[0], 6)
 
 
@@ -486,13 +486,13 @@ def ml_predicted_vs_actual(spark, sf_dir):
 
 @query()
 def ml_split_importance(spark, sf_dir):
-    return rounded(ml.split_importance(*ml.holdout(_labelled(spark, sf_dir), NUMERIC[:3], ["l_linestatus"], "classification")), 6)
+    return rounded(ml.split_importance(*ml.holdout(_labelled(spark, sf_dir), NUMERIC, CATEGORICAL, "classification")), 6)
 
 
 @query()
 def ml_permutation_importance(spark, sf_dir):
-    fitted, scored = ml.holdout(_labelled(spark, sf_dir), NUMERIC[:3], ["l_linestatus"], "classification", model="baseline")
-    return rounded(ml.permutation_importance(fitted, scored, [*NUMERIC[:3], "l_linestatus"], "classification"), 6)
+    fitted, scored = ml.holdout(_labelled(spark, sf_dir), NUMERIC, CATEGORICAL, "classification", model="baseline")
+    return rounded(ml.permutation_importance(fitted, scored, [*NUMERIC, *CATEGORICAL], "classification"), 6)
 
 
 @query("""WITH s AS (SELECT l_quantity * 1e-6 AS score, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label FROM lineitem),
