@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
@@ -40,7 +41,7 @@ def clause_predicate(df: DataFrame, clause: dict, on_missing: str = "warn") -> C
 
     A clause is ``{"query": SQL}`` or a column with any of ``OPERATORS`` (min
     and max are inclusive; several combine).  A missing column passes all rows
-    (``warn``) or raises (``error``).
+    (``warn``) or raises (``error``).  Keys that mean nothing are named in a warning.
     """
     column = clause.get("column")
     if column is None:
@@ -49,6 +50,10 @@ def clause_predicate(df: DataFrame, clause: dict, on_missing: str = "warn") -> C
         return F.coalesce(F.expr(clause["query"]), F.lit(False))
     used = {name: op for name, op in OPERATORS.items() if name in clause}
     known = column in df.columns
+    if not known and on_missing != "error":
+        warnings.warn(f"filter column does not exist and is skipped: {column}", stacklevel=2)
+    if used and (ignored := sorted(map(str, clause.keys() - {"column", *OPERATORS}))):
+        warnings.warn(f"filter keys are ignored: {', '.join(ignored)}", stacklevel=2)
     if not known and on_missing == "error":
         raise ValueError(f"filter column does not exist: {column}")
     if known and not used:

@@ -8,6 +8,7 @@ from ..defaults import TREND_SUFFIXES
 from ..functions import categories, cleaning, naming
 from ..functions.naming import source_key
 from ..sources import lake, raw
+from ..sources.shared import settled
 from ..streaming.append import append_new_files, convert_stream, read_stream_lake
 from .base import query, r, scratch, t
 
@@ -61,6 +62,22 @@ def file_inventory(spark, sf_dir):
     return listed.join(held, "file").groupBy("kind", "source").agg(F.sum("n").alias("n"), F.min(F.col("length") > 0).alias("sized"))
 
 
+@query("SELECT event_type AS \"種別\", count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1")
+def read_cp932(spark, sf_dir):
+    """Files in code page 932, which UTF-8 does not fit, read back by the fallback."""
+    at, legacy = scratch(spark, "cp932"), "spark.sql.legacy.javaCharsets"  # without it Spark takes UTF encodings only
+    before = spark.conf.get(legacy, "false")
+    spark.conf.set(legacy, "true")
+    try:
+        rows = t(spark, sf_dir, "events").select(F.col("event_type").alias("種別"), F.col("value").cast("string").alias("値"), F.lit("キズ・打痕").alias("大分類"))
+        rows.write.option("header", True).option("encoding", "MS932").csv(f"{at}/raw")
+        # Settled while the charset is allowed: a plan is made when it runs.
+        read = settled(raw.read_csv(spark, f"{at}/raw", "UTF-8", ["MS932"]).where(F.col("大分類") == "キズ・打痕"))
+    finally:
+        spark.conf.set(legacy, before)
+    return read.groupBy("種別").agg(F.count("*").alias("n"), r(F.sum(F.col("値").cast("double")), 2).alias("total"))
+
+
 @query("""SELECT '通過日時' AS added, '値' AS missing, count(*) AS n FROM events WHERE event_type <> 'view'""")
 def header_drift(spark, sf_dir):
     """Files whose header differs from the first one of their source, with the rows that they hold."""

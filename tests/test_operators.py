@@ -372,3 +372,40 @@ def test_profile_counts(spark):
         assert {c: r["n_missing"] for c, r in got.items()} == {"a": 0, "b": 0, "c": 2000, "d": 1000, "e": 0}
         assert got["b"]["example"] == "s0" and got["c"]["dtype"] == "double" and got["c"]["example"] is None
         assert got["a"]["n_unique"] == 3 and abs(got["d"]["n_unique"] - 1000) <= (0 if exact else 100)
+
+
+def test_folds_given_and_models_chosen(spark):
+    rows = [(float(i % 7), float(3 * (i % 7) + i % 3), i % 4) for i in range(120)]
+    df = spark.createDataFrame(rows, "x double, label double, part int")
+    got = {r["metric"]: r for r in ml.cross_validate(df, ["x"], [], "regression", k=4, names=["baseline"], fold_col="part").collect()}
+    assert {r["model"] for r in got.values()} == {"baseline"}
+    x, y, part = (np.array(c, dtype=float) for c in zip(*rows))
+    errors = []
+    for f in range(4):
+        b, a = np.polyfit(x[part != f], y[part != f], 1)
+        errors.append(np.abs(y - a - b * x)[part == f].mean())
+    assert got["mae"]["mean"] == pytest.approx(np.mean(errors), abs=1e-6)
+    assert got["mae"]["sd"] == pytest.approx(np.std(errors), abs=1e-6)
+
+
+def test_holdout_reports(spark):
+    rows = [(float(i % 10), "ab"[i % 2], int(i % 10 > 5), 1, 2.0 * (i % 10)) for i in range(200)]
+    df = spark.createDataFrame(rows, "x double, k string, bad int, always int, y double")
+    targets = {"bad": "classification", "always": "classification", "y": "regression"}
+    found = ml.run_holdout(df, ["x"], ["k"], targets, model="random_forest", trees=5, repeats=2)
+    assert set(found) == {"curves", "areas", "pairs", "importance", "permutation"}
+    assert {r["target"] for r in found["permutation"].collect()} == {"bad", "y"}  # a single class is left out
+    assert [(r["target"], r["roc_auc"]) for r in found["areas"].collect()] == [("bad", 1.0)]
+    loss = {(r["target"], r["feature"]): r["mean"] for r in found["permutation"].collect()}
+    assert loss["bad", "x"] > loss["bad", "k"] and loss["y", "x"] > loss["y", "k"]
+    assert "importance" not in ml.run_holdout(df, ["x"], ["k"], {"bad": "classification"}, model="baseline", repeats=1)
+
+
+def test_warnings(spark):
+    df = spark.createDataFrame([("a", "x", 1)], ["vin", "荷重測定値", "n"])
+    with pytest.warns(UserWarning, match="filter keys are ignored: mni"):
+        assert select.apply_filters(df, [{"column": "n", "max": 1, "mni": 0}]).count() == 1
+    with pytest.warns(UserWarning, match="does not exist"):
+        assert select.apply_filters(df, [{"column": "gone", "eq": 1}]).count() == 1
+    with pytest.warns(UserWarning, match="荷重測定値"):
+        assert panel.multi_row_plan(df)["rep"] == ["荷重測定値", "n"]
