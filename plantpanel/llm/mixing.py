@@ -145,10 +145,13 @@ def mix_sources(
             F.col(source_col).cast("string").alias("source"),
             word_count(F.col(text_col)).alias("size"),
             F.xxhash64(F.col(text_col)).alias("text_id"),
+            F.monotonically_increasing_id().alias("_row"),  # settled, so that every reader of a row sees the same number
         )
     )
     sources = settled(narrow.groupBy(F.col("source").alias("_source")).agg(F.ceil(F.count("*") / shard_docs).alias("_shards")))
-    keyed = narrow.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumns(
+    if sources.count() <= BROADCAST_HASHES:
+        sources = F.broadcast(sources)
+    keyed = narrow.join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumns(
         {
             "_null": F.col("source").isNull(),
             "_key": F.coalesce("source", F.lit("")),
@@ -158,9 +161,9 @@ def mix_sources(
     often = settled(keyed.groupBy(F.col("_order").alias("_often")).agg(F.ceil(F.count("*") / REPEATS).alias("_parts")).where("_parts > 1"))
     if often.count() <= BROADCAST_HASHES:
         often = F.broadcast(often)
-    salt = F.pmod(F.monotonically_increasing_id(), F.coalesce("_parts", F.lit(1)))
+    salt = F.pmod(F.col("_row"), F.coalesce("_parts", F.lit(1)))
     keyed = keyed.join(often, F.col("_order") == F.col("_often"), "left").withColumn("_salt", salt)
-    keyed = keyed.withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed + 1), "_order", "_salt"), F.col("_shards")).cast("int")).drop("_often", "_parts", "_salt")
+    keyed = keyed.withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed + 1), "_order", "_salt"), F.col("_shards")).cast("int")).drop("_often", "_parts", "_salt", "_row")
 
     shard_sizes = keyed.groupBy("_null", "_key", "_shard").agg(F.sum("size").alias("shard_words"))
     totals = shard_sizes.groupBy("_null", "_key").agg(F.sum("shard_words").alias("words")).toPandas()
