@@ -284,7 +284,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rows share everything; rows with a null id take part but name no class; an
     empty table gives no rows; other columns are ignored.  ``with_keys`` adds
     ``text_id``, the text's hash, and ``group_id``, which tells groups apart
-    that share their smallest id (null without a word).
+    that share their smallest id (null without a word).  Texts are read whole,
+    however long; one of very many words is one set of as many shingles.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     runs = max(1, math.ceil(math.log(1 - target_recall) / math.log(1 - RUN_RECALL)))

@@ -137,8 +137,9 @@ def identify_languages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     Documents whose crc32(id as text) mod 4 is 2 are held out of learning, as
     are rows without a language.  ``und`` with score 0 stands for null texts
     and texts without a letter, and for all when there is nothing to learn
-    from.  Texts are read whole; repeated rows are predicted alike; other
-    columns are ignored.
+    from.  Texts are read whole, however long; repeated rows are predicted
+    alike; of languages with equal scores the first by code point is predicted;
+    an empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +47,9 @@ SHARD_SYMBOLS = 1 << 14
 UNIT_SYMBOLS = 1 << 15
 #: Symbols that one refinement round adds.
 STEP = 4
+#: A prime and a factor below it that spread ids over groups: products stay within 64 bits.
+PRIME = (1 << 31) - 1
+SPREAD = 1_640_531_527
 
 
 # ---------------------------------------------------------------- runs
@@ -264,6 +267,18 @@ def repeated_windows(strings: list[bytes], docs: np.ndarray, depth: int = MIN_BY
 # ---------------------------------------------------------------- Spark steps
 
 
+def _group(doc, n_groups: int):
+    """The group of a document, of its id as an array or as a column; ids with a common factor spread as well."""
+    if isinstance(doc, Column):
+        return F.pmod(doc, F.lit(PRIME)) * F.lit(SPREAD) % F.lit(PRIME) % F.lit(n_groups)
+    return np.mod(doc, PRIME) * SPREAD % PRIME % n_groups
+
+
+def _size_kind(size: int):
+    """The unsigned integers that hold the length of a run (less than two windows)."""
+    return np.uint16 if 2 * size <= 1 << 16 else np.uint32
+
+
 def _bytes(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
     return [np.frombuffer(x, dtype=kind) for x in column.to_pylist()]
 
@@ -286,7 +301,7 @@ def _entries(batches: Iterator[pa.RecordBatch], n_buckets: int, n_groups: int, s
         anchor, run, doc = anchor[order], run[order], doc[order]
         least = doc[np.flatnonzero(first)][np.cumsum(first) - 1] if len(doc) else doc
         rows: list[dict] = []
-        for g, part in _by(np.mod(doc[doc > least], n_groups), n_groups):
+        for g, part in _by(_group(doc[doc > least], n_groups), n_groups):
             late = np.flatnonzero(doc > least)[part]
             late = late[_distinct(run[late], doc[late])]
             rows.append({"bucket": g % n_buckets, "g": g, "run": run[late].tobytes(), "doc": doc[late].tobytes(), "anchor": None, "base": 0})
@@ -342,8 +357,8 @@ def _resolve(table: pa.Table, n_groups: int) -> pa.Table:
         group = np.repeat(np.arange(len(opens)), np.diff(opens, append=len(a)))
         mixed = (np.minimum.reduceat(d, opens) < np.maximum.reduceat(d, opens))[group]
         r, d = r[mixed], d[mixed]
-        verdicts = dict(_by(np.mod(doc[late], n_groups), n_groups))
-        asks = dict(_by(np.mod(d, n_groups), n_groups))
+        verdicts = dict(_by(_group(doc[late], n_groups), n_groups))
+        asks = dict(_by(_group(d, n_groups), n_groups))
         late_run, late_doc, none = run[late], doc[late], np.zeros(0, np.int64)
         for g in sorted(verdicts.keys() | asks.keys()):
             v, q = verdicts.get(g, none), asks.get(g, none)
@@ -385,13 +400,13 @@ def _fetch(texts: pa.Table, asked: pa.Table, size: int) -> pa.Table:
         part = np.flatnonzero((bucket == b) & (place[:, 0] >= 0))
         part = part[np.argsort(anchors[part], kind="stable")]
         text = b"".join(raw[s:e] for s, e in place[part])
-        out.append({"bucket": int(b), "g": g, "run": want_run[part].tobytes(), "doc": want_doc[part].tobytes(), "anchor": (anchors[part] >> np.uint64(32)).astype(np.uint32).tobytes(), "size": (place[part, 1] - place[part, 0]).astype(np.uint16).tobytes(), "text": zlib.compress(text, 1)})
+        out.append({"bucket": int(b), "g": g, "run": want_run[part].tobytes(), "doc": want_doc[part].tobytes(), "anchor": (anchors[part] >> np.uint64(32)).astype(np.uint32).tobytes(), "size": (place[part, 1] - place[part, 0]).astype(_size_kind(size)).tobytes(), "text": zlib.compress(text, 1)})
     return pa.Table.from_pylist(out, schema=_BYTES)
 
 
 def _compare(table: pa.Table, size: int) -> pa.Table:
     """One bucket: which windows of its runs a smaller document's run has as well."""
-    run, doc, anchor, lengths = (np.concatenate(_bytes(table[c], k)) for c, k in (("run", np.uint64), ("doc", np.int64), ("anchor", np.uint32), ("size", np.uint16)))
+    run, doc, anchor, lengths = (np.concatenate(_bytes(table[c], k)) for c, k in (("run", np.uint64), ("doc", np.int64), ("anchor", np.uint32), ("size", _size_kind(size))))
     if not len(run):
         return _WINDOWS.empty_table()
     text = b"".join(map(zlib.decompress, table["text"].to_pylist()))
@@ -463,7 +478,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     With ``with_text`` the remaining bytes follow as ``kept`` (binary: a cut may
     fall inside a character).  A null text is empty.  Rows with a null id keep
     all and make nothing go.  Rows that share an id never make each other's
-    bytes go.  Empty tables give no rows; other columns are ignored.
+    bytes go.  Empty tables give no rows; other columns are ignored.  Texts of
+    any length are read whole, chunk by chunk with the windows that overlap; a
+    text of many groups' size is still one task's work, in bounded memory but
+    for the text and the verdicts on it.  ``min_bytes`` may be of any size.
     """
     numbers = None
     if isinstance(docs.schema[id_col].dataType, T.IntegralType):
@@ -480,7 +498,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     entries = slim.mapInArrow(lambda it: _entries(it, n_buckets, n_groups, min_bytes), _ddl(_ENTRY))
     verdicts = settled(entries.groupBy("bucket").applyInArrow(lambda t: _resolve(t, n_groups), _ddl(_VERDICT)))
 
-    spread = [F.pmod(x, F.lit(n_groups)) for x in (F.col("doc_id"), F.xxhash64("text"))]
+    spread = [_group(x, n_groups) for x in (F.col("doc_id"), F.xxhash64("text"))]
     texts = slim.withColumn("g", F.coalesce(*spread, F.lit(0)).cast("int"))
     asked = verdicts.where("octet_length(ask_run) > 0").select("g", "bucket", "ask_run", "ask_doc")
     parts = (

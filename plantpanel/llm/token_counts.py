@@ -17,7 +17,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
     """n_bytes (UTF-8), n_tokens and over_limit of every document.
 
     A null text counts as empty: no bytes, no tokens.  Texts are never cut,
-    however long; repeated rows are counted each; other columns are ignored.
+    however long; repeated rows are counted each; an empty table gives no rows;
+    other columns are ignored.
     No shuffle is needed, and a worker keeps a bounded memory of word counts.
     """
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))

@@ -361,3 +361,30 @@ def test_repeats_with_string_ids(spark):
     want = {tuple(r)[0]: tuple(r)[1:] for r in suffix_dedup.remove_repeats(docs).collect() if r["doc_id"] is not None}
     got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.remove_repeats(named).collect() if r["doc_id"] is not None}
     assert got == {f"d{i:05d}": v for i, v in want.items()}
+
+
+def test_ids_with_a_common_factor_spread_over_groups(spark):
+    ids = np.arange(0, 7_000_000, 7, dtype=np.int64) - 70_000
+    group = suffix_dedup._group(ids, 7)
+    sizes = np.bincount(group, minlength=7)
+    assert sizes.max() < 1.1 * len(ids) / 7
+    some = [*ids[:50].tolist(), -1, 2**62, -(2**62), 2**31 - 1]
+    got = spark.createDataFrame([(i,) for i in some], "i long").select("i", suffix_dedup._group(F.col("i"), 7).alias("g")).collect()
+    assert [r["g"] for r in got] == suffix_dedup._group(np.array([r["i"] for r in got]), 7).tolist()
+
+
+@pytest.mark.parametrize("size", [50, 5_000, 32_768, 32_769, 60_000])
+def test_lengths_of_runs_fit_their_integers(size):
+    data = np.random.default_rng(size).integers(97, 123, 3 * size + 100).astype(np.uint8)
+    *_, starts, ends = suffix_dedup.runs(data, np.array([0, len(data)]), size)
+    assert len(starts) and (ends - starts).max() <= 2 * size <= np.iinfo(suffix_dedup._size_kind(size)).max + 1
+
+
+def test_repeats_of_many_bytes(spark):
+    """Windows of some thousand bytes, with what is left out of a passage at both ends."""
+    rng = random.Random(23)
+    passage = "".join(rng.choices("abcdefgh ", k=9_000))
+    rows = [(1, "#" + passage), (2, passage[:2_900]), (3, "other #" + passage[1_000:8_000] + "# end"), (4, passage[100:9_000])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeats(docs, min_bytes=3_000).collect()}
+    assert got == {1: 0, 2: 0, 3: 7_000, 4: 8_900}

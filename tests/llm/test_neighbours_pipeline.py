@@ -4,9 +4,13 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+import public_tokenizers
 from plantpanel.llm import neighbours, registry
 
-from .helpers import corpus
+from plantpanel.llm.quality import score_documents
+
+from .helpers import CLASHING, corpus, with_clashes, words_of
+from .test_duplicates import brute_join, brute_passages
 
 
 def brute(rows, modulus, k):
@@ -99,3 +103,58 @@ def test_stages_take_awkward_documents(spark, sf):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, corpus(spark), sf).count() > 0
         stage(spark, corpus(spark).limit(0), sf).collect()
+
+
+def test_stages_keep_columns_whose_names_clash(spark, sf):
+    """Columns named like those the stages use inside come back with the same values."""
+    docs = with_clashes(corpus(spark))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns
+        assert {tuple(r) for r in out.select(*CLASHING).distinct().collect()} == {("x",) * len(CLASHING)}
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() > 0
+
+
+def _texts(df):
+    return {r["doc_id"]: r["text"] for r in df.collect()}
+
+
+def test_stages_against_plain_loops(spark, sf):
+    """What each stage keeps of the one before it, as plain loops over the same rows have it."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    step = dict(corpus_pipeline.STAGES)
+
+    kept = step["quality_rules"](spark, docs, sf)
+    verdict = {r["doc_id"]: r for r in score_documents(docs, spark.read.parquet(f"{sf}/labels.parquet")).collect()}
+    texts = _texts(docs)
+    assert _texts(kept) == {i: t for i, t in texts.items() if verdict[i]["kept"]}
+    assert all(len(words_of(t)) >= 50 for t in _texts(kept).values())
+    kept = spark.createDataFrame(kept.collect(), docs.schema)
+
+    lines = step["line_dedup"](spark, kept, sf)
+    want = {i: t for i, (t, _, _) in brute_passages(kept).items() if words_of(t)}
+    assert _texts(lines) == want
+    lines = spark.createDataFrame(lines.collect(), docs.schema)
+    assert all(r["n_chars"] == len(r["text"]) for r in lines.collect())
+
+    single = step["jaccard_join"](spark, lines, sf)
+    groups = brute_join(lines)
+    assert set(_texts(single)) == {i for (i, _), (first, _) in groups.items() if first == i}
+    single = spark.createDataFrame(single.collect(), docs.schema)
+
+    mixed = step["mix_sources"](spark, single, sf)
+    source = {r["doc_id"]: (r["source"], set(words_of(r["text"]))) for r in single.collect()}
+    assert all(r["source"] == source[r["doc_id"]][0] and set(words_of(r["text"])) <= source[r["doc_id"]][1] for r in mixed.collect())
+    mixed = spark.createDataFrame(mixed.collect(), docs.schema)
+
+    pieces = step["best_fit_packing"](spark, mixed, sf).collect()
+    ends: dict = {}
+    for r in sorted(pieces, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 2048
+    import tokenizers
+
+    library = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = sum(len(library.encode(r["text"] or "", add_special_tokens=False).ids) + 1 for r in mixed.collect())
+    assert sum(ends.values()) == ids

@@ -192,3 +192,39 @@ def test_ftrl_follows_the_plain_update():
                     n[c, j] = old + g * g
     for (c, j) in z:
         assert got[c, j] == pytest.approx(weight(c, j), abs=1e-9)
+
+
+def test_very_long_texts_have_the_scores_of_what_they_repeat(spark):
+    """A text of a million characters is read whole: its end counts as much as its beginning."""
+    rng = random.Random(17)
+    tongues = {"aa": "ka lo mi tu re so".split(), "bb": "xe zi wo qu yä fü".split()}
+    say = lambda s, n: " ".join("".join(rng.choices(s, k=2)) for _ in range(n))
+    rows = [(i, say(s, 40), lang) for i, (lang, s) in enumerate(list(tongues.items()) * 60)]
+    # A short beginning in one language, all the rest in the other.
+    rows += [(1000, say(tongues["aa"], 2_000) + " " + say(tongues["bb"], 200_000), None), (1001, say(tongues["bb"], 2_000) + " " + say(tongues["aa"], 200_000), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify_languages(docs).collect()}
+    assert (got[1000], got[1001]) == ("bb", "aa")
+
+    rows, marks = [], []
+    for i in range(1200):
+        toxic = i % 2
+        rows.append((i, prose(rng, 30) + (" slurword groupname" if toxic else "")))
+        marks.append((i, 1, toxic))
+    rows += [(5000, prose(rng, 200_000) + " slurword groupname"), (5001, prose(rng, 200_000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, labels(spark, marks)).collect()}
+    assert 0 <= out[5001] < out[5000] <= 1
+
+
+def test_languages_with_equal_scores(spark):
+    """The same texts under two languages: equal texts fare alike, at every run."""
+    texts = [f"{a} {b} {a}{b}" for a in ("ka", "lo", "mi", "tu") for b in ("re", "so", "na", "vi")]
+    rows = [(4 * k + j, t, lang) for k, t in enumerate(texts * 4) for j, lang in enumerate(("bb", "aa"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    first = language.identify_languages(docs)
+    by_text: dict = {}
+    for r in first.join(docs.select("doc_id", "text"), "doc_id").collect():
+        by_text.setdefault(r["text"], set()).add((r["lang_pred"], r["score"]))
+    assert all(len(v) == 1 for v in by_text.values())
+    assert same(language.identify_languages(docs.repartition(5)), first)
