@@ -409,3 +409,22 @@ def test_warnings(spark):
         assert select.apply_filters(df, [{"column": "gone", "eq": 1}]).count() == 1
     with pytest.warns(UserWarning, match="荷重測定値"):
         assert panel.multi_row_plan(df)["rep"] == ["荷重測定値", "n"]
+
+
+def test_adjusted_p_values(spark):
+    """Null groups, nulls, NaN and ties against a plain loop; no frame runs to the end of a group, which is quadratic."""
+    nan = float("nan")
+    rows = [(g, i, p) for g in (None, "a", "b") for i, p in enumerate([None, nan, 0.2, 0.2, 0.0, 0.9, 1.0, *[(i * 37 % 101) / 150 for i in range(60)]])]
+    df = spark.createDataFrame(rows, "target string, id int, p_value double")
+    out = stats.bh_fdr(df)
+    assert "unboundedfollowing" not in out._jdf.queryExecution().toString().lower()
+    got = {(r["target"], r["id"]): r["p_adjusted"] for r in out.collect()}
+    assert len(got) == len(rows)
+    for g in (None, "a", "b"):
+        there = sorted((2.0 if p != p else p, i) for t, i, p in rows if t == g and p is not None)
+        low, found = 1.0, {}
+        for k in range(len(there), 0, -1):
+            p, i = there[k - 1]
+            low = min(low, p * len(there) / k)
+            found[i] = low
+        assert got[g, 0] is None and all(got[g, i] == pytest.approx(v) for i, v in found.items())
