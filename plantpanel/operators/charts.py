@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.categories import small
+from ..sources.shared import settled
 from . import profile, stats
 from .quantiles import exact_quantiles, same_group
 from .select import apply_filters, describe_filters, equipment_groups
@@ -76,7 +78,7 @@ def _binned(rows: DataFrame, groups: Sequence[str], bins: int, density: bool) ->
     span = rows.groupBy(*groups).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("total"))
     w = (F.col("hi") - F.col("lo")) / bins
     bin_ = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("v") - F.col("lo")) / w), F.lit(bins - 1))).otherwise(0)
-    joined = rows.join(span, list(groups)).withColumn("bin", bin_.cast("int"))
+    joined = rows.join(small(settled(span, "spans")), list(groups)).withColumn("bin", bin_.cast("int"))
     out = joined.groupBy(*groups, "bin", "lo", "hi", "total").agg(F.count("*").alias("n"))
     value = F.try_divide(F.col("n"), F.col("total") * w) if density else F.col("n").cast("double")
     return out.select(*groups, "bin", (F.col("lo") + F.col("bin") * w).alias("left"), (F.col("lo") + (F.col("bin") + 1) * w).alias("right"), "n", value.alias("value"))
@@ -101,7 +103,7 @@ def _boxed(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
     q = q.select(*groups, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.when(F.col("v").between(F.col("q1") - reach, F.col("q3") + reach), F.col("v"))
-    joined = rows.join(q, list(groups))
+    joined = rows.join(small(settled(q, "quartiles")), list(groups))
     return joined.groupBy(*groups, "n", "q1", "median", "q3").agg(F.min(inside).alias("whisker_low"), F.max(inside).alias("whisker_high"))
 
 
@@ -203,7 +205,9 @@ def eda_tables(
     equipment's measures with most distinct values; correlation_with_target;
     correlations inside each equipment and among the ``top_k`` measures of all;
     daily_trend.  The column profile, one row per measure, decides what is shown.
+    The columns that take part are written once, and all tables read them there.
     """
+    df = settled(df.select(*[_q(c) for c in dict.fromkeys([*numeric, *categorical, target, *([day] if day else [])])]), "eda")
     groups = equipment_groups(df.select(*[_q(c) for c in numeric]))
     measures = [c for columns in groups.values() for c in columns]
     out = {"correlation_with_target": stats.correlation_with_target(df, numeric, target)}

@@ -428,3 +428,13 @@ def test_adjusted_p_values(spark):
             low = min(low, p * len(there) / k)
             found[i] = low
         assert got[g, 0] is None and all(got[g, i] == pytest.approx(v) for i, v in found.items())
+
+
+def test_eda_tables_read_their_rows_once(spark):
+    """The panel is joined once; every table reads what was written, and none joins it again."""
+    left = spark.createDataFrame([(i, float(i % 40), float(i % 7), i % 2) for i in range(200)], "k int, a__x double, a__y double, hit int")
+    df = left.join(spark.createDataFrame([(i, "uv"[i % 2]) for i in range(200)], "k int, c string").hint("merge"), "k")
+    out = charts.eda_tables(df, ["a__x", "a__y"], ["c"], "hit")
+    assert not any("LocalRelation" in t._jdf.queryExecution().optimizedPlan().toString() or "LogicalRDD" in t._jdf.queryExecution().optimizedPlan().toString() for t in out.values())
+    assert sum(r["n"] for r in out["histograms"].where("column = 'a__x'").collect()) == 200
+    assert {(r["column"], r["hue"], r["n"]) for r in out["boxes"].collect()} == {(c, h, 100) for c in ("a__x", "a__y") for h in ("0", "1")}
