@@ -315,10 +315,14 @@ def _frequent(shards: DataFrame, depth: int, least: int) -> list[DataFrame]:
     n = shards.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // SHARD + 1)
     words = _intervals(shards)
-    counted = words.groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    # A word's gid is the least of its rows' numbers: its intervals get it, and its count, where they meet, without a join.
+    alike = Window.partitionBy("lang", "phrase")
+    numbered = words.withColumn("gid", F.monotonically_increasing_id())
+    common = settled(numbered.withColumns({"a": F.sum("n").over(alike), "gid": F.min("gid").over(alike)}).where(F.col("a") >= least))
     nobody = F.lit(None).cast("long")
-    found = [settled(counted.select("lang", F.monotonically_increasing_id().alias("gid"), nobody.alias("pre"), nobody.alias("suf"), "phrase", F.col("phrase").alias("last"), "a", F.array("a").alias("starts"), F.array("a").alias("ends")))]
-    frontier = _pack_words(words.join(found[0].select("lang", "phrase", "gid"), ["lang", "phrase"]))
+    counted = common.select("lang", "gid", "phrase", "a").distinct()
+    found = [settled(counted.select("lang", "gid", nobody.alias("pre"), nobody.alias("suf"), "phrase", F.col("phrase").alias("last"), "a", F.array("a").alias("starts"), F.array("a").alias("ends")))]
+    frontier = _pack_words(common)
     for _ in range(depth - 1):
         longer = settled(_summed(_extend(shards, frontier, parts), least, parts))
         counted = longer.where("shard IS NULL").select(F.explode(F.arrays_zip("gid", "pre", "suf", "a")).alias("c")).select("c.*")

@@ -244,3 +244,17 @@ def test_transform_gives_all_counts():
         found = [(*names[p], names[s][-1]) for p, s in zip(pre, suf)]
         assert {p: c for p, c in zip(found, count) if c} == want
         intervals, names = (start, end, np.arange(len(start))), dict(enumerate(found))
+
+
+def test_frequent_words_are_numbered_without_a_join(spark, monkeypatch):
+    """Each interval of a frequent word carries its word's number; the first round joins nothing."""
+    seen = []
+    real = collocations._pack_words
+    monkeypatch.setattr(collocations, "_pack_words", lambda words: seen.append(words) or real(words))
+    texts = [f"a b c d{i % 3} a" for i in range(60)]
+    docs = spark.createDataFrame([(i, t, "xy"[i % 2]) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    assert collocations.collocations(docs, least=20, limit=50).count() > 0
+    (words,) = seen
+    assert "Join" not in words._jdf.queryExecution().optimizedPlan().toString()
+    rows = words.select("lang", "phrase", "gid").distinct().collect()
+    assert len({r["gid"] for r in rows}) == len({(r["lang"], r["phrase"]) for r in rows}) == len(rows)
