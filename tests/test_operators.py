@@ -438,3 +438,14 @@ def test_eda_tables_read_their_rows_once(spark):
     assert not any("LocalRelation" in t._jdf.queryExecution().optimizedPlan().toString() or "LogicalRDD" in t._jdf.queryExecution().optimizedPlan().toString() for t in out.values())
     assert sum(r["n"] for r in out["histograms"].where("column = 'a__x'").collect()) == 200
     assert {(r["column"], r["hue"], r["n"]) for r in out["boxes"].collect()} == {(c, h, 100) for c in ("a__x", "a__y") for h in ("0", "1")}
+
+
+def test_holdout_rows_are_written_once(spark):
+    """Fitting and scoring read rows and folds that were written: neither the join nor the folds are made again."""
+    rows = spark.createDataFrame([(i, float(i % 17), float(i % 5 > 2)) for i in range(120)], "k int, x double, label double")
+    df = rows.join(spark.createDataFrame([(i, "uv"[i % 2]) for i in range(120)], "k int, c string"), "k").drop("k")
+    fitted, scored = ml.holdout(df, ["x"], ["c"], "classification", model="baseline")
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
+    got = ml.permutation_importance(fitted, scored, ["x", "c"], "classification", repeats=2).collect()
+    assert {r["feature"] for r in got} == {"x", "c"} and all(r["sd"] >= 0 for r in got)
