@@ -449,3 +449,30 @@ def test_holdout_rows_are_written_once(spark):
     assert "Window" not in plan and "Join" not in plan
     got = ml.permutation_importance(fitted, scored, ["x", "c"], "classification", repeats=2).collect()
     assert {r["feature"] for r in got} == {"x", "c"} and all(r["sd"] >= 0 for r in got)
+
+
+def _shaken(real):
+    """Splitters that differ from one reading to the next, as those of a merged sketch may."""
+
+    @F.udf("array<double>")
+    def shake(cuts):
+        import random
+
+        return sorted(c + random.SystemRandom().uniform(-20, 20) for c in cuts)
+
+    return lambda *args: real(*args).withColumn("_cuts", shake.asNondeterministic()("_cuts"))
+
+
+def test_ranks_and_quantiles_with_unstable_splitters(spark, monkeypatch):
+    """Whatever the cuts, all readers see the same ones, also where Spark makes a branch twice."""
+    monkeypatch.setattr(stats, "splitters", _shaken(quantiles.splitters))
+    monkeypatch.setattr(quantiles, "splitters", _shaken(quantiles.splitters))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        rows = spark.range(300).select(F.lit("g").alias("g"), F.lit("f").alias("feature"), (F.col("id") % 150).cast("double").alias("v"), F.lit(1).alias("n"))
+        want = {float(v): 2 * v + 1.5 for v in range(150)}
+        assert {r["v"]: r["rank"] for r in stats.average_ranks(rows, ["g"], "v", 8).collect()} == want
+        assert {r["v"]: r["rank"] for r in stats.ranked_cells(rows, "v", 8).collect()} == want
+        assert quantiles.exact_quantiles(rows, ["g"], "v", (0.0, 0.25, 0.5, 1.0), 8).first()["q"] == [0.0, 37.0, 74.5, 149.0]
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
