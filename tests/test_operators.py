@@ -476,3 +476,36 @@ def test_ranks_and_quantiles_with_unstable_splitters(spark, monkeypatch):
         assert quantiles.exact_quantiles(rows, ["g"], "v", (0.0, 0.25, 0.5, 1.0), 8).first()["q"] == [0.0, 37.0, 74.5, 149.0]
     finally:
         spark.conf.unset("spark.sql.exchange.reuse")
+
+
+@pytest.mark.parametrize("lookup", [0, 45, 10**6])
+def test_rank_correlations_with_gaps(spark, monkeypatch, lookup):
+    """Every pair over the rows in which both are finite, each value ranked once for all pairs, however ranks are looked up."""
+    monkeypatch.setattr(stats, "LOOKUP_VALUES", lookup)
+    rng = np.random.default_rng(5)
+    data = np.column_stack([rng.integers(0, 40, 400), rng.normal(size=400), rng.integers(0, 3, 400), np.full(400, 7.0)]).astype(float)
+    data[:, 1] += data[:, 0] / 10
+    data[rng.random((400, 4)) < 0.2] = np.nan
+    data[3, 0], data[4, 1] = np.inf, -np.inf
+    rows = [[None if np.isnan(v) and k % 2 else float(v) for v in row] for k, row in enumerate(data)]  # gaps are null or NaN
+    df = spark.createDataFrame(rows, "a double, `b.x` double, c double, d double").repartition(5)
+    made = []
+    real = stats.prefix_sums
+    monkeypatch.setattr(stats, "prefix_sums", lambda *a, **k: made.append(a) or real(*a, **k))
+    got = {(r["a"], r["b"]): r for r in stats.correlation_matrix(df, df.columns, "spearman").collect()}
+    assert len(made) == 1 and len(got) == 10
+
+    def ranks(v):
+        s = np.sort(v)
+        return (np.searchsorted(s, v) + np.searchsorted(s, v, side="right") + 1) / 2
+
+    for i, a in enumerate(df.columns):
+        for j, b in list(enumerate(df.columns))[i:]:
+            both = np.isfinite(data[:, i]) & np.isfinite(data[:, j])
+            x, y = ranks(data[both, i]), ranks(data[both, j])
+            assert got[a, b]["n"] == both.sum()
+            if "d" in (a, b):
+                assert got[a, b]["r"] is None
+            else:
+                assert got[a, b]["r"] == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-12)
+    assert [r["n"] for r in stats.correlation_matrix(df.where("a < -1"), ["a", "c"], "spearman").collect()] == [0, 0, 0]
