@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from . import textkit as tk
 from .common import settled
 
-#: Words and separators of a shard at most.
-SHARD = 1 << 20
+#: Words and separators of a shard at most, and words for which there is one part of the sums; neither changes results.
+SHARD, PART_WORDS = 1 << 19, 1 << 20
 #: Salts that the candidates of a language are ranked in first.
 SALTS = 64
 
@@ -152,7 +152,7 @@ def build_shards(docs: DataFrame, depth: int = 5, *, text_col: str = "text", lan
                 known, dense = np.unique(ids, return_inverse=True)
                 names, zero = list(now.words), int(known[0] == 0)
                 shards[lang].words = {names[i - 1]: k + 1 for k, i in enumerate(known[zero:])}
-                shards[lang].add(dense + 1 - zero)
+                shards[lang].add((dense + 1 - zero).astype(np.int32))
 
         for batch in batches:
             langs = batch.column(0).to_pylist()
@@ -162,7 +162,7 @@ def build_shards(docs: DataFrame, depth: int = 5, *, text_col: str = "text", lan
                 starts, ends = tk.runs(_IN_WORD[low], at)
                 if not len(starts):
                     if goes_on and _BREAK[low].any():
-                        shards.setdefault(langs[first], _Shard()).add(np.zeros(1, np.int64))
+                        shards.setdefault(langs[first], _Shard()).add(np.zeros(1, np.int32))
                     continue
                 owner = tk.owner(at, starts)
                 hashes = tk.Hasher(low).spans(starts, ends)
@@ -186,16 +186,17 @@ def build_shards(docs: DataFrame, depth: int = 5, *, text_col: str = "text", lan
                     local = np.array([now.words.setdefault(names[i], len(now.words) + 1) for i in used], dtype=np.int64)[inverse]
                     separate = cut[at_word].astype(np.int64)
                     place = np.cumsum(separate + 1) - 1
-                    ids = np.zeros(int(place[-1]) + 1, np.int64)
+                    ids = np.zeros(int(place[-1]) + 1, np.int32)
                     ids[place] = local
                     now.add(ids)
                     if now.size >= shard_size + depth:
                         yield from closed(lang, False)
                 if low[-1:].size and len(at) == 2 and _BREAK[low[ends[-1] :]].any():
-                    shards[langs[first]].add(np.zeros(1, np.int64))
+                    shards[langs[first]].add(np.zeros(1, np.int32))
         for lang in list(shards):
             if shards[lang].size:
                 yield from closed(lang, True)
+        pa.default_memory_pool().release_unused()
 
     return slim.mapInArrow(build, "shard long, lang string, n long, bwt binary, width int, outside array<long>, words array<string>, starts array<long>, sizes array<long>, counts array<long>")
 
@@ -215,6 +216,12 @@ def _intervals(shards: DataFrame) -> DataFrame:
     return shards.select("shard", "lang", words).select("shard", "lang", F.col("w.words").alias("phrase"), F.col("w.starts").alias("lo"), F.expr("w.starts + w.sizes").alias("hi"), F.col("w.counts").alias("n"))
 
 
+def _released(out: pa.Table) -> pa.Table:
+    """The table, after Arrow has given back what it keeps for later: idle workers stay beside the running ones."""
+    pa.default_memory_pool().release_unused()
+    return out
+
+
 def _planes(values: np.ndarray, kind: type) -> bytes:
     """Numbers byte by byte, all first bytes first: small numbers leave long runs of zeros, which every codec shrinks."""
     return np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(len(values), -1).T.tobytes()
@@ -271,7 +278,7 @@ def _extend(shards: DataFrame, frontier: DataFrame, parts: int) -> DataFrame:
         for k in np.flatnonzero(np.diff(ends, prepend=0)):
             own = order[ends[k - 1] if k else 0 : ends[k]]
             out.append((int(k), row["shard"], len(own), _packed(*(x[own] for x in found))))
-        return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), schema)], schema=schema) if out else schema.empty_table()
+        return _released(pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), schema)], schema=schema) if out else schema.empty_table())
 
     left = shards.select("shard", "bwt", "width", "outside").groupBy("shard")
     return left.cogroup(frontier.withColumnRenamed("shard", "of").groupBy("of")).applyInArrow(extend, "part int, shard long, m long, data binary")
@@ -300,7 +307,7 @@ def _summed(extensions: DataFrame, least: int, parts: int) -> DataFrame:
             own = own[often[group[own]]]
             if len(own):
                 out.append((shard, len(own), _packed(lo[own], hi[own], number[group[own]]), None, None, None, None))
-        return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), schema)], schema=schema) if out else schema.empty_table()
+        return _released(pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), schema)], schema=schema) if out else schema.empty_table())
 
     return extensions.groupBy("part").applyInArrow(add_up, "shard long, m long, data binary, gid array<long>, pre array<long>, suf array<long>, a array<long>")
 
@@ -313,7 +320,7 @@ def _frequent(shards: DataFrame, depth: int, least: int) -> list[DataFrame]:
     """
     spark = shards.sparkSession
     n = shards.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // SHARD + 1)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // PART_WORDS + 1)
     words = _intervals(shards)
     # A word's gid is the least of its rows' numbers: its intervals get it, and its count, where they meet, without a join.
     alike = Window.partitionBy("lang", "phrase")
