@@ -18,14 +18,17 @@ UNIT_COLUMNS = ("vin_is_dummy", "vin_base", "vin_pass_no", "date")
 
 
 class Assembled(NamedTuple):
-    """The panel and its reports (tables; ``match`` and ``unmatched`` are None where nothing was asked for)."""
+    """The panel and its reports (tables; ``match`` and ``unmatched`` are None where nothing was asked for).
 
-    panel: DataFrame
+    Where the folds were not joined there is no panel, and none of ``pruned``, ``match`` and ``dictionary``.
+    """
+
+    panel: DataFrame | None
     quality: DataFrame
-    pruned: DataFrame
+    pruned: DataFrame | None
     match: DataFrame | None
     unmatched: DataFrame | None
-    dictionary: DataFrame
+    dictionary: DataFrame | None
 
 
 def with_category(df: DataFrame, table: DataFrame | None, keys: dict[str, str], value: str, output: str) -> DataFrame:
@@ -48,7 +51,7 @@ def _fold(kind: str, df: DataFrame, spec: dict, several_rows: bool) -> DataFrame
 
 def assemble_panel(
     read: Callable[[str, str], DataFrame], specs: Sequence[dict], *, key: str = "vin", category: dict | None = None, required: Sequence[str] = (),
-    trends: dict | None = None, prune: dict | None = None,
+    trends: dict | None = None, prune: dict | None = None, join: bool = True,
 ) -> Assembled:
     """Read every source of the lake, fold it to the unit, and join all to the ledger.
 
@@ -60,6 +63,8 @@ def assemble_panel(
     anchors, and options of ``join_trends``) adds sensor columns; ``prune``
     takes the options of ``profile.prune``.  Units of repairs never extend the
     ledger.  A source without rows is left out, unless it is ``required``.
+    Without ``join`` the sources are folded and reported on (``quality``,
+    ``unmatched``), but not joined.
 
     A source is read for its counts and for its fold; the folds are written
     once, bucketed by unit, and joined without a shuffle.  All reports come from
@@ -109,6 +114,9 @@ def assemble_panel(
         for told in quality:
             if told["kind"] == "repair":
                 told["n_vin_not_in_ledger"] = panel.not_in_ledger(tables[told["source"]][1], ledger).count()
+        report = spark.createDataFrame([tuple(told[c.split()[0]] for c in panel.QUALITY.split(", ")) for told in quality], panel.QUALITY)
+        if not join:
+            return Assembled(None, report, None, None, unmatched, None)
         out = panel.add_any_flag(panel.assemble(ledger, [folded for _, folded in tables.values()], repairs))
         match = None
         if trends:
@@ -120,5 +128,4 @@ def assemble_panel(
         out = settled(out, "panel")
     out, pruned = profile.prune(out, sources=list(tables), **(prune or {}))
     out = downcast(out)
-    report = spark.createDataFrame([tuple(told[c.split()[0]] for c in panel.QUALITY.split(", ")) for told in quality], panel.QUALITY)
     return Assembled(out, report, pruned, match, unmatched, profile.dictionary(out, list(tables)))

@@ -509,3 +509,13 @@ def test_rank_correlations_with_gaps(spark, monkeypatch, lookup):
             else:
                 assert got[a, b]["r"] == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-12)
     assert [r["n"] for r in stats.correlation_matrix(df.where("a < -1"), ["a", "c"], "spearman").collect()] == [0, 0, 0]
+
+
+def test_reports_without_joining(spark, monkeypatch):
+    """Quality and unmatched rows need no panel, so none is joined."""
+    rows = spark.createDataFrame([("A", False, at(0), 1.0), ("B", False, at(1), 2.0), ("D", True, at(2), 3.0)], "vin string, vin_is_dummy boolean, at timestamp, x double")
+    specs = [{"kind": "traceability", "source": "booth", "time": "at"}, {"kind": "repair", "source": "fix", "time": "at", "repair": {"time_column": "at"}}]
+    whole = assembly.assemble_panel(lambda kind, name: rows, specs).quality.collect()
+    monkeypatch.setattr(panel, "assemble", None)
+    out = assembly.assemble_panel(lambda kind, name: rows, specs, join=False)
+    assert out.quality.collect() == whole and out.panel is None and out.dictionary is None
