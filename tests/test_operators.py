@@ -251,6 +251,29 @@ def test_wide_correlation_matrix(spark):
             assert r["r"] == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-8)
 
 
+def test_correlations_of_derived_columns_run_compiled(spark, monkeypatch):
+    """Sixty derived columns make a method that the JVM would interpret: the sums are taken in small methods, a few rows at once."""
+    key, seen = "spark.sql.codegen.hugeMethodLimit", []
+    monkeypatch.setattr(stats, "settled", lambda df, name: seen.append(spark.conf.get(key)) or shared.settled(df, name))
+    monkeypatch.setattr(stats, "ROWS_AT_ONCE", 7)
+    names = [f"c{k}" for k in range(60)]
+    df = spark.range(0, 100, 1, 2).select(*[F.expr(f"CAST(CASE WHEN (id + {k}) % 9 > 0 THEN (id * {k + 2}) % 31 + id * {k % 4} END AS DOUBLE)").alias(c) for k, c in enumerate(names)])
+    got = {(r["a"], r["b"]): r for r in stats.correlation_matrix(df, names).collect()}
+    x = df.toPandas()
+    for (a, b), r in got.items():
+        both = x[a].notna() & x[b].notna()
+        assert r["n"] == both.sum() and r["r"] == pytest.approx(np.corrcoef(x[a][both], x[b][both])[0, 1], abs=1e-9)
+    assert len(got) == 1830 and seen == ["8000"]
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, "60000")
+    try:
+        with pytest.raises(ZeroDivisionError), shared.compiled_methods(spark):
+            1 / 0
+        assert spark.conf.get(key) == "60000"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_correlation_in_blocks(spark, monkeypatch):
     df = spark.createDataFrame([(float(i), float(i * i % 7), float(i % 3), 2.0) for i in range(40)], "a double, b double, c double, d double")
     whole = {(r["a"], r["b"]): (r["r"], r["n"]) for r in stats.correlation_matrix(df, df.columns).collect()}
