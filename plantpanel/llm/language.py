@@ -91,6 +91,18 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return out[:-1], int(out[-1])
 
 
+def summable(weights: np.ndarray) -> np.ndarray:
+    """Single-precision weights on one grid, 24 bits below the largest.
+
+    A text's counts times such weights add up in doubles without rounding (up to
+    2**29 n-grams), so its score does not depend on the order of the sum, which
+    BLAS chooses by the processor and by how many texts it is given at once.
+    """
+    top = np.abs(weights).max(initial=0.0)
+    step = 2.0 ** (np.ceil(np.log2(top)) - 24) if top > 0 else 1.0
+    return (np.rint(weights / step) * step).astype(np.float32)
+
+
 def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, n_classes: int, *, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.02, epochs: int = 6) -> np.ndarray:
     """Multinomial FTRL-proximal; the last column of the weights is the bias."""
     shape = (n_classes, BUCKETS + 1)
@@ -159,20 +171,24 @@ def identify_languages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         weights, temperature = _fit(sample, names, idf)
     else:
         idf, weights, temperature = np.ones(BUCKETS), np.zeros((0, BUCKETS + 1)), 1.0
-    shared = spark.sparkContext.broadcast(((idf[:, None] * weights[:, :-1].T).astype(np.float32), weights[:, -1], (idf**2).astype(np.float32), temperature, names))
+    shared = spark.sparkContext.broadcast((summable(idf[:, None] * weights[:, :-1].T), weights[:, -1], idf**2, temperature, names))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, bias, idf2, t, names = shared.value
+        w = w.astype(np.float64)
         labels = np.array([*names, UNKNOWN_LANGUAGE], dtype=object)
         for batch in batches:
             data, offsets = tk.packed(batch.column(1))
             best, score = np.full(batch.num_rows, len(names)), np.zeros(batch.num_rows)
             for i, _, part, at in tk.chunks(data, offsets):
                 for first, x in counts(part, at) if names else ():
-                    x = x.astype(np.float32)
-                    norm = np.sqrt((x * x) @ idf2)
+                    x = x.astype(np.float64)
+                    s = x @ w
+                    np.multiply(x, x, out=x)
+                    # Summed row by row: a matrix product adds up by the number of rows.
+                    norm = np.sqrt(np.multiply(x, idf2, out=x).sum(axis=1))
                     some = norm > 0
-                    s = ((x @ w) / np.maximum(norm, 1e-9)[:, None] + bias) / t
+                    s = (s / np.maximum(norm, 1e-9)[:, None] + bias) / t
                     p = np.exp(s - s.max(axis=1, keepdims=True))
                     p /= p.sum(axis=1, keepdims=True)
                     rows = slice(i + first, i + first + len(x))

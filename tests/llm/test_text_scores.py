@@ -228,3 +228,20 @@ def test_languages_with_equal_scores(spark):
         by_text.setdefault(r["text"], set()).add((r["lang_pred"], r["score"]))
     assert all(len(v) == 1 for v in by_text.values())
     assert same(language.identify_languages(docs.repartition(5)), first)
+
+
+def test_language_scores_do_not_depend_on_batches(spark):
+    """A text has the same score, to the last bit, alone in its batch and among others."""
+    texts = [f"{a} {b} {a}{b}" for a in ("ka", "lo", "mi", "tu") for b in ("re", "so", "na", "vi")]
+    rows = [(4 * k + j, t, lang) for k, t in enumerate(texts * 4) for j, lang in enumerate(("bb", "aa"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2, "doc_id")
+    first = language.identify_languages(docs).collect()
+    try:
+        for n in ("1", "3"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)
+            assert sorted(language.identify_languages(docs).collect()) == sorted(first)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rng = np.random.default_rng(4)
+    w, x = language.summable(rng.normal(size=(1000, 3))).astype(float), rng.integers(0, 10_000, (5, 1000)).astype(float)
+    assert (x @ w == (x[:, ::-1].copy() @ w[::-1].copy())).all() and not language.summable(np.zeros((4, 0))).size
