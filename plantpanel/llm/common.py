@@ -37,6 +37,15 @@ def settled(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """One side of a join that shuffles whatever Spark takes the sides for.
+
+    An exploded list counts for one row in Spark's estimate, so a table of many
+    times the broadcast threshold would be gathered on the driver.
+    """
+    return df.hint("merge")
+
+
 def in_order(ids: DataFrame) -> DataFrame:
     """(id, number): the distinct ids, nulls left out, numbered from 0 in their order.
 

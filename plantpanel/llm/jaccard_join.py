@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .common import settled, unused
+from .common import settled, shuffled, unused
 from .graph import components
 
 SHINGLE_WORDS = 5
@@ -328,21 +328,21 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     def meet(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Sets that are not alone at a node, and the candidates of small nodes."""
         sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("cid").alias("least")).where("n > 1")
-        met = settled(rows.join(sizes, "node"))
+        met = settled(rows.join(shuffled(sizes), "node"))
         few = met.where(F.col("n") <= SMALL_NODE).select("node", "cid")
         buckets = max(1, math.ceil(few.count() / BUCKET_ROWS))
-        small = few.join(info.select("cid", "size", "used", "bit"), "cid").withColumn("bucket", F.pmod(F.xxhash64("node"), F.lit(buckets)))
+        small = few.join(shuffled(info.select("cid", "size", "used", "bit")), "cid").withColumn("bucket", F.pmod(F.xxhash64("node"), F.lit(buckets)))
         return met.where(F.col("n") > SMALL_NODE), small.groupBy("bucket").applyInArrow(lambda t: compare_small(t, threshold), "a long, b long")
 
     many, candidates = meet(info.select("cid", F.explode("nodes").alias("node")))
     missed = -math.log(1 - target_recall)
     parents = many.groupBy("cid").agg(F.count("*").alias("n_large"), F.collect_list("node").alias("parents"))
-    deep = info.select("cid", F.size("nodes").alias("m")).join(parents, "cid")
+    deep = info.select("cid", F.size("nodes").alias("m")).join(shuffled(parents), "cid")
     deep = settled(deep.where(F.col("m") - F.col("n_large") - (1 - threshold) * F.col("m") < missed).select("cid", "parents"))
     if not deep.isEmpty():
         steps = settled(_deep_steps(slim, classes, deep, shingle_words, threshold))
         second, more = meet(steps.where("level = 2").select("cid", "node").distinct())
-        third = steps.where("level = 3").join(second.select("cid", F.col("node").alias("parent")), ["cid", "parent"], "left_semi")
+        third = steps.where("level = 3").join(shuffled(second.select("cid", F.col("node").alias("parent"))), ["cid", "parent"], "left_semi")
         last, still_more = meet(third.select("cid", "node").distinct())
         candidates = candidates.unionByName(more).unionByName(still_more).unionByName(last.select(F.col("cid").alias("a"), F.col("least").alias("b")))
     clusters = settled(components(candidates.distinct()))
@@ -438,7 +438,7 @@ def _exact(slim: DataFrame, clusters: DataFrame, classes: DataFrame, info: DataF
             for k in range(batch.num_rows):
                 yield compare_tile(batch.slice(k, 1).to_pylist()[0], threshold)
 
-    tiles = settled(left.join(right, ["component", "i", "j"]).mapInArrow(compare, "cid long, links long, root long"))
+    tiles = settled(left.join(shuffled(right), ["component", "i", "j"]).mapInArrow(compare, "cid long, links long, root long"))
     links = tiles.groupBy("cid").agg(F.sum("links").alias("links"))
     return links, tiles.select(F.col("cid").alias("a"), F.col("root").alias("b"))
 

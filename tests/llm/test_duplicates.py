@@ -37,6 +37,20 @@ def brute_join(docs):
     return {(i, t): (group.get(t, i) if group.get(t) is not None else i, len(near.get(t, ()))) for i, t in rows}
 
 
+def test_exploded_tables_are_not_broadcast(spark, monkeypatch):
+    """Spark counts an exploded list for one row, so it would gather the steps of all sets on the driver."""
+    plans, real = [], jaccard_join.settled
+
+    def spy(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df)
+
+    monkeypatch.setattr(jaccard_join, "settled", spy)
+    jaccard_join.near_duplicates(corpus(spark)).count()
+    exploded = [p for p in plans if "Generate explode" in p]
+    assert exploded and not any("BroadcastExchange" in p for p in exploded)
+
+
 def crowd(spark, n=300):
     """One crowd of near copies, larger than a small node, with a chain of ever farther edits."""
     rng = random.Random(9)
