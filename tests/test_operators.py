@@ -542,3 +542,73 @@ def test_reports_without_joining(spark, monkeypatch):
     monkeypatch.setattr(panel, "assemble", None)
     out = assembly.assemble_panel(lambda kind, name: rows, specs, join=False)
     assert out.quality.collect() == whole and out.panel is None and out.dictionary is None
+
+
+def _coded(spark, task):
+    rows = spark.range(400).selectExpr("cast(id % 40 AS double) AS x", "CASE WHEN id % 3 = 0 THEN 'u' ELSE 'v' END AS c", "id % 5 AS e")
+    rows = rows.withColumn("y", F.expr("x * 2 + IF(c = 'u', 9, 0) + e") if task == "regression" else F.expr("cast(x > 20 OR c = 'u' AND e > 2 AS int)"))
+    return ml.PipelineModel(ml.fit_codes(data := ml.prepare(rows, ["x"], ["c"], "y"), ["x"], ["c"])).transform(ml.balanced(data) if task == "classification" else data)
+
+
+@pytest.mark.parametrize("task", ["classification", "regression"])
+def test_boosted_trees_of_groups_are_those_of_rows(spark, task):
+    """Trees fitted on the numbers of rows of equal codes predict what Spark's predict that are fitted on the rows."""
+    coded = ml.settled(_coded(spark, task), "coded")
+    stages = ml.fit_trees(coded, ["x"], ["c"], task, "boosted_trees", 1, 3, 42)
+    ready = ml.PipelineModel(stages[:-1]).transform(coded)
+    theirs = (ml.GBTClassifier(maxIter=3, seed=42, weightCol="weight") if task == "classification" else ml.GBTRegressor(maxIter=3, seed=42)).fit(ready)
+    codes = ["x__bin", "c__idx"]
+    want = {tuple(r[c] for c in codes): r["score"] for r in ml.score(theirs, ready, task).collect()}
+    got = {tuple(r[c] for c in codes): r["score"] for r in ml.predictions(stages, coded, codes, task).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+def test_forests_are_fitted_on_groups(spark, monkeypatch):
+    """Rows of equal codes and label are one row with their number, and the order of rows changes nothing."""
+    seen, real = [], ml.forest.fit_forest
+
+    def spy(groups, *args, **options):
+        seen.append((groups.count(), groups.agg(F.sum("n")).first()[0]))
+        return real(groups, *args, **options)
+
+    monkeypatch.setattr(ml.forest, "fit_forest", spy)
+    df = spark.createDataFrame([(float(i % 10), "ab"[i % 2], float(i % 10 > 5)) for i in range(400)], "x double, c string, label double")
+    scores = []
+    for rows in (df, df.repartition(3)):
+        fitted, scored = ml.holdout(rows, ["x"], ["c"], "classification", trees=5)
+        assert scored.count() == 100
+        scores.append(sorted((r["x"], r["c"], r["score"], r["prediction"], r["label"]) for r in scored.collect()))
+        assert sum(fitted.stages[-1].featureImportances.toArray()) == pytest.approx(1)
+        assert sum(r["prediction"] == r["label"] for r in fitted.transform(rows).collect()) >= 390
+    assert scores[0] == scores[1] and seen == [(10, 300), (10, 300)]
+
+
+def test_forest_of_numbers(spark):
+    groups = spark.range(300).selectExpr("cast(id % 15 AS double) AS a", "cast(id % 4 AS double) AS b", "cast(id % 15 * 3 AS double) AS label", "2L AS n")
+    ready = ml.VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(groups)
+    model = ml.forest.fit_forest(ready, "regression", 20, bins=ml.BINS + 2)
+    assert ml.regression_metrics(model.transform(ready)).first()["r2"] > 0.8
+    assert model.featureImportances[0] > 0.8
+
+
+def test_trees_may_split_off_a_rare_value(spark):
+    rows = spark.range(2000).selectExpr("cast(id = 7 AS double) AS rare", "cast(id AS double) AS many", "1.0D AS same")
+    rare, many, same = ml.cut_points(rows, ["rare", "many", "same"])
+    assert rare == [0.5] and len(many) == ml.BINS - 1 and same == []
+
+
+@pytest.mark.parametrize("task", ["classification", "regression"])
+def test_cross_validation_counts_every_row(spark, monkeypatch, task):
+    """Rows of equal codes are scored once and count as many times as they are."""
+    counts, real = [], ml.class_metrics if task == "classification" else ml.regression_metrics
+
+    def spy(scored, group=()):
+        counts.append(int(scored.agg(F.sum(F.col("n") if "n" in scored.columns else F.lit(1))).first()[0]))
+        return real(scored, group)
+
+    monkeypatch.setattr(ml, real.__name__, spy)
+    df = spark.createDataFrame([(float(i % 10), "ab"[i % 2], float(i % 10 > 5)) for i in range(200)], "x double, c string, label double")
+    found = {(r["model"], r["metric"]): r["mean"] for r in ml.cross_validate(df, ["x"], ["c"], task, k=2, trees=5, rounds=2, names=["random_forest", "boosted_trees"]).collect()}
+    assert counts == [200, 200]
+    metric = "roc_auc" if task == "classification" else "r2"
+    assert found["random_forest", metric] > 0.6 and found["boosted_trees", metric] > 0.9
