@@ -597,6 +597,23 @@ def test_trees_may_split_off_a_rare_value(spark):
     assert rare == [0.5] and len(many) == ml.BINS - 1 and same == []
 
 
+def test_reports_take_all_rounds(monkeypatch):
+    """The query of the hold-out reports leaves trees, rounds and repeats at the operator's defaults."""
+    from plantpanel.plans import analysis_queries
+
+    asked = {}
+
+    def stop(*args, **options):
+        asked.update(options)
+        raise StopIteration
+
+    monkeypatch.setattr(analysis_queries.ml, "run_holdout", stop)
+    monkeypatch.setattr(analysis_queries, "panel", lambda *_: None)
+    with pytest.raises(StopIteration):
+        analysis_queries.ml_holdout_reports(None, None)
+    assert not {"trees", "rounds", "repeats", "test_size"} & asked.keys()
+
+
 @pytest.mark.parametrize("task", ["classification", "regression"])
 def test_cross_validation_counts_every_row(spark, monkeypatch, task):
     """Rows of equal codes are scored once and count as many times as they are."""
